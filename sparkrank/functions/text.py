@@ -61,8 +61,12 @@ def replace_word(text: Column, old: Column, new: Column, substring: bool = False
     """Replace ``old`` by ``new`` as a whole word, or wherever it occurs."""
     if substring:
         return F.replace(text, old, new)
-    swapped = F.transform(F.split(text, " "), lambda w: F.when(w == old, new).otherwise(w))
-    return F.array_join(swapped, " ")
+    # doubled spaces give every word two of its own, so neighbours can both match
+    padded = F.concat(F.lit(" "), F.replace(text, F.lit(" "), F.lit("  ")), F.lit(" "))
+    space = F.lit(" ")
+    swapped = F.replace(padded, F.concat(space, old, space), F.concat(space, new, space))
+    inner = F.substring(swapped, F.lit(2), F.length(swapped) - 2)
+    return F.replace(inner, F.lit("  "), space)
 
 
 def clean_corpus_text(title: Column, body: Column, newline_as_space: bool = False) -> Column:

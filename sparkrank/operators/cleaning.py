@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.operators.entities import Dictionary
 
 
-def clean_title(
-    title: Column, dictionary: Dictionary, substring: bool = False
-) -> Column:
-    """Title with its first known ticker replaced by the company name.
+def clean_titles(docs: DataFrame, dictionary: Dictionary, substring: bool = False) -> DataFrame:
+    """Titles with their first known ticker replaced by the company name.
 
     Only a title that names a ticker also has its repeated words removed.
     """
-    lowered = F.lower(F.coalesce(title, F.lit("")))
-    known = F.filter(F.split(lowered, " "), dictionary.is_ticker)
-    ticker = F.try_element_at(known, F.lit(1))
-    named = T.replace_word(lowered, ticker, dictionary.company_of(ticker), substring)
-    return F.when(ticker.isNull(), lowered).otherwise(T.distinct_words(named))
+    lowered = docs.withColumn("title", F.lower(F.coalesce("title", F.lit(""))))
+    known = F.filter(F.split("title", " "), dictionary.is_ticker)
+    found = lowered.withColumn("__ticker", F.try_element_at(known, F.lit(1)))
+    ticker = F.col("__ticker")
+    named = T.replace_word(F.col("title"), ticker, dictionary.company_of(ticker), substring)
+    title = F.when(ticker.isNull(), F.col("title")).otherwise(T.distinct_words(named))
+    return found.withColumn("title", title).drop("__ticker")
 
 
 def clean_corpus(
@@ -37,9 +37,7 @@ def clean_corpus(
     lower-cases them. ``substring`` replaces tickers inside words as well.
     """
     doc_id = F.lower("_id") if as_coded_ids else T.normal_id("_id")
-    titled = docs.withColumns(
-        {"_id": doc_id, "title": clean_title(F.col("title"), dictionary, substring)}
-    )
+    titled = clean_titles(docs.withColumn("_id", doc_id), dictionary, substring)
     return titled.withColumn(
         "text", T.clean_corpus_text(F.col("title"), F.col("text"), newline_as_space)
     )
