@@ -52,15 +52,13 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.semantic_segments(long_documents(spark, sf_dir), embedder())
 
 
-def collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+def collection(spark: SparkSession, sf_dir: str) -> index.StoredCollection:
     """The collection as stored in the shared folder, written on first use."""
     known = entities.Dictionary.from_table(inputs.dictionary(spark, sf_dir))
-    return index.stored_collection(
-        spark,
+    return index.StoredCollection(
         inputs.raw_corpus(spark, sf_dir),
         known,
         embedder(),
-        name="sparkrank-collection",
         folder=store.shared_folder(spark, "/tmp/checkpoints"),
     )
 
@@ -180,7 +178,7 @@ def embed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def build_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the collection, or find it written, and count it by tag."""
-    return collection(spark, sf_dir).groupBy("ticker").agg(
+    return collection(spark, sf_dir).table.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("n_chunks"),
         F.countDistinct("parent_id").alias("n_documents"),
         F.sum(F.length("text")).alias("n_chars"),
@@ -262,12 +260,14 @@ def judged_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = collection(spark, sf_dir)
     ranked = retrieve.retrieve_and_rerank(
         inputs.raw_queries(spark, sf_dir),
         cleaning.clean_judgments(inputs.judgments(spark, sf_dir)),
         inputs.dictionary(spark, sf_dir),
-        collection(spark, sf_dir),
+        stored.table,
         embedder(),
+        scorer=retrieve.overlap_scorer(stored.weights),
     )
     return ranked.select("query_id", "corpus_id", "rerank_score", "rank")
 
@@ -278,12 +278,14 @@ def evaluate_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = collection(spark, sf_dir)
     return retrieve.retrieve_and_evaluate(
         inputs.raw_queries(spark, sf_dir),
         inputs.judgments(spark, sf_dir),
         inputs.dictionary(spark, sf_dir),
-        collection(spark, sf_dir),
+        stored.table,
         embedder(),
+        scorer=retrieve.overlap_scorer(stored.weights),
     )
 
 

@@ -28,6 +28,10 @@ class Embedder:
         self.load = load
         self.dim = dim
 
+    def __repr__(self) -> str:
+        """Names the embedder in the path of a stored collection."""
+        return f"{type(self).__name__}({getattr(self.load, '__qualname__', self.load)}, {self.dim})"
+
     def vector(self, text: Column | str) -> Column:
         """``array<float>`` per text."""
         load = self.load

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.functions.embedding import Embedder
-from sparkrank.operators import chunking, cleaning
+from sparkrank.operators import chunking, cleaning, rerank
 from sparkrank.operators.entities import Dictionary
 from sparkrank.sources import collection as store
-from sparkrank.sources.readers import table_fingerprint
+from sparkrank.sources.readers import input_fingerprint
 
 
 # Part of the name of a stored collection: raise it when the same inputs would
@@ -60,25 +61,48 @@ def build_collection(
     )
 
 
-def stored_collection(
-    spark: SparkSession,
-    docs: DataFrame,
-    dictionary: Dictionary,
-    embedder: Embedder,
-    *,
-    name: str = "collection",
-    folder: str | None = None,
-    **options,
-) -> DataFrame:
-    """The collection of these documents, built once and read after that."""
-    made = spark.createDataFrame(
-        [(repr((FORMAT, embedder.dim, sorted(options.items()), list(dictionary.companies.items()))),)], "settings string"
-    )
-    data, settings = (table_fingerprint(t).first()["md5"] for t in (docs, made))
-    return store.get_or_create(
-        spark,
-        folder or store.shared_folder(spark),
-        name,
-        f"{data}-{settings}",
-        lambda: build_collection(docs, dictionary, embedder, **options),
-    )
+class StoredCollection:
+    """A collection in the shared folder with the statistics made from it.
+
+    ``table`` holds the chunks and their vectors, ``weights`` the word weights
+    that scoring needs. Each is built on first use and read after that.
+    """
+
+    def __init__(
+        self,
+        docs: DataFrame,
+        dictionary: Dictionary,
+        embedder: Embedder,
+        *,
+        name: str = "sparkrank-collection",
+        folder: str | None = None,
+        **options,
+    ):
+        self.spark = docs.sparkSession
+        self.build = lambda: build_collection(docs, dictionary, embedder, **options)
+        made_with = repr(
+            (FORMAT, repr(embedder), sorted(options.items()), list(dictionary.companies.items()))
+        )
+        settings = hashlib.md5(made_with.encode()).hexdigest()
+        folder = folder or store.shared_folder(self.spark)
+        self.path = f"{folder}/{name}/{input_fingerprint(docs)}-{settings}"
+
+    @property
+    def table(self) -> DataFrame:
+        return store.get_or_create(
+            self.spark,
+            f"{self.path}/chunks",
+            self.build,
+            store.write_collection,
+            store.read_collection,
+        )
+
+    @property
+    def weights(self) -> DataFrame:
+        return store.get_or_create(
+            self.spark,
+            f"{self.path}/weights",
+            lambda: rerank.word_weights(self.table),
+            store.write_table,
+            store.read_table,
+        )

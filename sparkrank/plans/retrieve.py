@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 from sparkrank.functions.embedding import Embedder
 from sparkrank.operators import cleaning, entities, evaluate, knn, rerank
+from sparkrank.sources.collection import checkpointed
 
-Scorer = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
+Scorer = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def overlap_scorer(pairs: DataFrame, queries: DataFrame, collection: DataFrame) -> DataFrame:
-    return rerank.overlap_scores(pairs, queries, rerank.word_weights(collection))
+def overlap_scorer(weights: DataFrame) -> Scorer:
+    """The built-in scorer: weight of the query words found in the text."""
+    return lambda pairs, queries: rerank.overlap_scores(pairs, queries, weights)
+
+
+def pair_scorer(load: Callable) -> Scorer:
+    """A scorer from a user-supplied function of query texts and texts."""
+    return lambda pairs, queries: rerank.pair_scores(pairs, load)
 
 
 def route(
@@ -52,21 +59,25 @@ def retrieve_and_rerank(
     k: int = 100,
     top: int = 10,
     on_unresolved: str = "carry",
-    scorer: Scorer = overlap_scorer,
+    scorer: Scorer | None = None,
     **search,
 ) -> DataFrame:
     """Best parent documents of each judged query.
 
     Routing sees all queries, because an unresolved one may take the ticker of a
-    query nobody judged; only judged queries are searched.
+    query nobody judged; only judged queries are searched. ``scorer`` defaults
+    to the built-in one with weights computed from the collection here.
     """
     routed = route(queries, dictionary, on_unresolved)
     if judgments is not None:
         routed = evaluate.judged_only(routed, judgments)
+    # read by the search, the pairing and the scoring
+    routed = checkpointed(routed)
+    scorer = scorer or overlap_scorer(rerank.word_weights(collection))
     candidates = retrieve(routed, collection, embedder, k=k, **search)
     texts = routed.select("query_id", "query_text")
     pairs = candidates.join(texts, "query_id")
-    return rerank.best_parents(scorer(pairs, texts, collection), top)
+    return rerank.best_parents(scorer(pairs, texts), top)
 
 
 def retrieve_and_evaluate(

@@ -39,19 +39,40 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.COLLECTION).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder, for results read many times.
+
+    The folder is the one the cluster names; without one the plan stays as it is.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            return df
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def get_or_create(
     spark: SparkSession,
-    folder: str,
-    name: str,
-    fingerprint: str,
+    path: str,
     build: Callable[[], DataFrame],
+    write: Callable[[DataFrame, str], None],
+    read: Callable[[SparkSession, str], DataFrame],
 ) -> DataFrame:
-    """The stored collection for these inputs; built only when there is none.
+    """What is stored at ``path``; built only when no complete write is there.
 
-    The fingerprint of the inputs is part of the path, so changed data never
-    meets a stale index, and a write that was cut off is done again.
+    The path holds a fingerprint of the inputs, so changed data never meets a
+    stale table, and a write that was cut off is done again.
     """
-    path = f"{folder}/{name}/{fingerprint}"
     if not is_complete(spark, path):
-        write_collection(build(), path)
-    return read_collection(spark, path)
+        write(build(), path)
+    return read(spark, path)
+
+
+def write_table(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
