@@ -44,12 +44,9 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_corpus(inputs.raw_corpus(spark, sf_dir), known)
 
 
-def long_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.mark_long(corpus(spark, sf_dir)).filter("is_long")
-
-
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.semantic_segments(long_documents(spark, sf_dir), embedder())
+    marked = chunking.mark_long(corpus(spark, sf_dir))
+    return chunking.semantic_segments(marked, embedder(), only="is_long")
 
 
 def collection(spark: SparkSession, sf_dir: str) -> index.StoredCollection:

@@ -51,18 +51,26 @@ def semantic_segments(
     *,
     threshold: float = SIMILARITY,
     split: Callable[[str], Column] = T.sentences,
+    only: str | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Documents cut where neighbouring sentences stop being similar.
 
     The sentences of a document stay in its row, so nothing is shuffled. Adds
     ``segment_no`` and ``segment``; a document without a sentence has no row.
+    ``only`` names a flag column: documents without the flag have no row, or
+    stay one segment with ``whole``. A flag is looked at inside the expressions,
+    because Spark would move a filter on it, and with it a second evaluation of
+    all the cleaning behind the flag, down to the scan.
     """
-    cut = docs.withColumn("__sentences", split("text")).drop("text")
+    flag = F.col(only) if only else F.lit(True)
+    cut = docs.withColumn("__sentences", F.when(flag, split("text")))
     compared = cut.withColumn("__similarity", embedder.similarity_to_previous("__sentences"))
-    segments = compared.withColumn(
-        "__segments",
-        splitting.join_segments(F.col("__sentences"), F.col("__similarity"), threshold),
-    ).drop("__sentences", "__similarity")
+    joined = splitting.join_segments(F.col("__sentences"), F.col("__similarity"), threshold)
+    rest = F.array("text") if whole else F.lit(None)
+    segments = compared.withColumn("__segments", F.when(flag, joined).otherwise(rest)).drop(
+        "__sentences", "__similarity", "text"
+    )
     return _explode(segments, "__segments", "segment_no", "segment")
 
 
@@ -72,15 +80,19 @@ def size_pieces(
     size: int = PIECE_SIZE,
     overlap: int = PIECE_OVERLAP,
     split: Callable[[str], Column] | None = None,
+    only: str | None = None,
 ) -> DataFrame:
     """Segments over ``size`` characters cut into overlapping pieces.
 
     Adds ``piece_no`` (null for a segment that stays whole) and ``text``.
+    Segments without the flag ``only`` stay whole.
     """
     pieces = split("segment") if split else splitting.size_pieces("segment", size, overlap)
-    cut = segments.withColumns(
-        {"__pieces": pieces, "__whole": F.length("segment") <= size}
-    ).drop("segment")
+    whole = F.length("segment") <= size
+    if only:
+        whole = whole | ~F.col(only)
+        pieces = F.when(F.col(only), pieces).otherwise(F.array("segment"))
+    cut = segments.withColumns({"__pieces": pieces, "__whole": whole}).drop("segment")
     rows = _explode(cut, "__pieces", "piece_no", "text")
     return rows.withColumn("piece_no", F.when(~F.col("__whole"), F.col("piece_no"))).drop("__whole")
 
@@ -124,22 +136,80 @@ def counter_chunk_ids(
     return named.withColumn("_id", F.concat_ws("_", "_id", digits)).drop("__first", "__doc_no")
 
 
+def repeat_numbers(docs: DataFrame, pos: str = "pos", width: int = WIDTH) -> DataFrame:
+    """``_id, pos, repeat`` of the second and later documents with an id.
+
+    Only documents whose id repeats are looked at any further.
+    """
+    repeated = docs.groupBy("_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    affected = docs.select("_id", pos).join(repeated.select("_id"), "_id", "left_semi")
+    return occurrence_number(affected, "_id", pos, "repeat", width).filter("repeat > 0")
+
+
 def number_repeats(docs: DataFrame, pos: str = "pos", width: int = WIDTH) -> DataFrame:
     """Give the n-th repeat of an id the suffix ``_n``; keeps ``parent_id``."""
-    numbered = occurrence_number(docs, "_id", pos, "__n", width)
-    suffixed = F.when(F.col("__n") > 0, F.concat_ws("_", "_id", F.col("__n").cast("string")))
-    return (
-        numbered.withColumn("parent_id", F.col("_id"))
-        .withColumn("_id", F.coalesce(suffixed, F.col("_id")))
-        .drop("__n")
+    return _suffix_repeats(docs.withColumn("parent_id", F.col("_id")), repeat_numbers(docs, pos, width), pos)
+
+
+def _suffix_repeats(docs: DataFrame, numbers: DataFrame, pos: str) -> DataFrame:
+    keys = numbers.select(F.col("_id").alias("parent_id"), pos, "repeat")
+    joined = docs.join(keys, ["parent_id", pos], "left")
+    suffixed = F.concat_ws("_", "_id", F.col("repeat").cast("string"))
+    return joined.withColumn("_id", suffixed).drop("repeat")
+
+
+# Repeat numbers are broadcast up to this many rows (about 100 bytes each).
+BROADCAST_REPEATS = 1_000_000
+
+
+def chunk_documents(
+    docs: DataFrame,
+    embedder: Embedder,
+    *,
+    pos: str = "pos",
+    threshold: float = SIMILARITY,
+    size: int = PIECE_SIZE,
+    overlap: int = PIECE_OVERLAP,
+    split: Callable[[str], Column] = T.sentences,
+    width: int = WIDTH,
+) -> DataFrame:
+    """Marked documents as chunks, ids numbered: one pass without a shuffle.
+
+    Long documents are segmented and packed, short ones stay whole; both kinds
+    leave the same scan. Repeated ids of short documents are looked up first, on
+    the narrow id columns. When they are few, which the lookup counts, their
+    numbers are broadcast; otherwise chunks and numbers are joined by id and
+    position, which no two documents share.
+    """
+    segments = semantic_segments(
+        docs, embedder, threshold=threshold, split=split, only="is_long", whole=True
     )
+    pieces = size_pieces(segments, size=size, overlap=overlap, only="is_long")
+    number = F.when(F.col("is_long"), F.col("segment_no"))
+    named = chunk_ids(pieces.withColumn("segment_no", number))
+
+    repeated = docs.groupBy("_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    affected = repeated.agg(F.sum("__n")).first()[0] or 0
+    if affected == 0:
+        return named
+    numbers = repeat_numbers(docs.filter(~F.col("is_long")), pos, width)
+    if affected <= BROADCAST_REPEATS:
+        numbers = F.broadcast(numbers)
+    return _suffix_repeats(named, numbers, pos)
 
 
 def combine(short_docs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Short documents and chunks in one collection, tagged by entity."""
+    """Short documents and chunks in one collection, tagged by entity.
+
+    For parts that come from different places; :func:`chunk_documents` gives
+    both kinds in one pass.
+    """
     columns = ["_id", "parent_id", "title", "text"]
-    both = short_docs.select(*columns).unionByName(chunks.select(*columns))
-    return both.withColumn("ticker", T.tag_of("parent_id"))
+    return tagged(short_docs.select(*columns).unionByName(chunks.select(*columns)))
+
+
+def tagged(chunks: DataFrame) -> DataFrame:
+    return chunks.withColumn("ticker", T.tag_of("parent_id"))
 
 
 def repeated_ids(collection: DataFrame) -> DataFrame:

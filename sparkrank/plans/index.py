@@ -32,20 +32,14 @@ def chunk_corpus(
     count: Callable[[str], Column] = T.word_count,
     skip_as_coded: bool = False,
 ) -> DataFrame:
-    """Clean documents (``_id, title, text, pos``) as one table of chunks.
-
-    Short documents stay whole and only get their repeated ids numbered, the
-    single step that needs a shuffle.
-    """
+    """Clean documents (``_id, title, text, pos``) as one table of tagged chunks."""
     marked = chunking.mark_long(docs, limit=long_words, count=count)
     if skip_as_coded:
         marked = chunking.skip_after_removal(marked)
-    short = chunking.number_repeats(marked.filter(~F.col("is_long")))
-    segments = chunking.semantic_segments(
-        marked.filter("is_long"), embedder, threshold=threshold
+    chunks = chunking.chunk_documents(
+        marked, embedder, threshold=threshold, size=size, overlap=overlap
     )
-    pieces = chunking.size_pieces(segments, size=size, overlap=overlap)
-    return chunking.combine(short, chunking.chunk_ids(pieces))
+    return chunking.tagged(chunks).select("_id", "parent_id", "title", "text", "ticker")
 
 
 def embed_collection(chunks: DataFrame, embedder: Embedder) -> DataFrame:
