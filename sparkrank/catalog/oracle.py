@@ -538,6 +538,7 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                   coalesce(string_agg(name, ',' ORDER BY name) FILTER (status = 'changed'), '') AS changed_files,
                   coalesce(string_agg(name, ',' ORDER BY name) FILTER (status = 'new'), '') AS new_files,
                   coalesce(string_agg(name, ',' ORDER BY name) FILTER (status = 'missing'), '') AS missing_files,
+                  coalesce(string_agg('v1.1', ',') FILTER (status = 'changed'), '') AS changed_versions,
                   bool_and(status = 'unchanged') AS data_integrity_passed,
                   NOT bool_and(status = 'unchanged') AS intentional_data_update,
                   CASE WHEN bool_and(status = 'unchanged') THEN 'v1.0'

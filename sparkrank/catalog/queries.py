@@ -351,7 +351,7 @@ def version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = tracking.compare_manifests(*inputs.shard_manifests(spark, sf_dir))
     by_source = diff.withColumn("source", F.substring_index("name", "/", 1))
     entries = tracking.version_entries(by_source, F.lit(MAIN_VERSION), by=["source"])
-    lists = ("changed_files", "new_files", "missing_files")
+    lists = ("changed_files", "new_files", "missing_files", "changed_versions")
     return entries.withColumns({c: F.array_join(c, ",") for c in lists})
 
 

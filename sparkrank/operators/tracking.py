@@ -65,15 +65,18 @@ def version_entries(
     :func:`compare_manifests` themselves as the log.
     """
 
-    def names(status: str) -> Column:
-        return F.sort_array(F.collect_list(F.when(F.col("status") == status, F.col("name"))))
+    def names(status: str, value: str = "name") -> Column:
+        found = F.collect_list(F.when(F.col("status") == status, F.struct("name", F.col(value).alias("v"))))
+        return F.transform(F.sort_array(found), lambda f: f["v"])
 
+    diff = with_new_versions(diff, main_version)
     touched = F.count(F.when(F.col("status") != "unchanged", 1)) > 0
     return diff.groupBy(*by).agg(
         F.first(main_version).alias("base_main_version"),
         names("changed").alias("changed_files"),
         names("new").alias("new_files"),
         names("missing").alias("missing_files"),
+        names("changed", "new_version").alias("changed_versions"),
         (~touched).alias("data_integrity_passed"),
         touched.alias("intentional_data_update"),
         F.when(touched, UPDATED_VERSION).otherwise(F.first(main_version)).alias("data_version"),

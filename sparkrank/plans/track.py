@@ -64,23 +64,13 @@ def track_and_promote(
     runs = spark.read.parquet(runs_path)
     decision = decide(run, runs, main_manifest, current_manifest, main_version)
     writers.write_decision(decision, f"{folder}/promotion")
-    stamp = run.select("run_name", "branch", "ts").limit(1)
-    diff = tracking.with_new_versions(
-        tracking.compare_manifests(main_manifest, current_manifest), main_version
-    )
+    name = run.select(F.max("run_name")).scalar()
     compared = run.select(F.max(tracking.is_compared(F.col("branch")))).scalar()
-    changed = diff.filter((F.col("status") != "unchanged") & compared)
-    entry = changed.withColumns(
-        {
-            "run_name": stamp.select("run_name").scalar(),
-            "base_main_version": main_version,
-        }
-    )
-    writers.append_log(entry, f"{folder}/version_log")
+    diff = tracking.compare_manifests(main_manifest, current_manifest)
+    entry = tracking.version_entries(diff, main_version).filter(compared)
+    writers.append_log(entry.withColumn("run_name", name), f"{folder}/version_log")
     models = tracking.compare_settings(main_settings, settings).filter(compared)
-    writers.append_log(
-        models.withColumn("run_name", stamp.select("run_name").scalar()), f"{folder}/model_version_log"
-    )
+    writers.append_log(models.withColumn("run_name", name), f"{folder}/model_version_log")
     writers.append_table(settings, f"{folder}/run_params")
     writers.append_table(run, runs_path)
     return spark.read.json(f"{folder}/promotion", schema=decision.schema)
