@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.operators.tracking import run_name
+from sparkrank.sources.collection import checkpointed
 from sparkrank.sources.readers import read_parquet, spread
 
 SHARED_SENTENCE_WORDS = 5  # a shared sentence this long makes a document relevant
@@ -63,7 +64,8 @@ def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share a whole sentence with a benchmark item."""
     items = _sentences(table(spark, sf_dir, "benchmark"), "item_id").distinct()
     docs = _sentences(spread(table(spark, sf_dir, "documents")), "doc_id", "source")
-    return docs.join(items, "sentence").select("item_id", "doc_id", "source").distinct()
+    # queries and judgments are both made from these few rows
+    return checkpointed(docs.join(items, "sentence").select("item_id", "doc_id", "source").distinct())
 
 
 def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:

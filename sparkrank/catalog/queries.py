@@ -141,7 +141,7 @@ def assign_chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def assign_chunk_ids_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = segments(spark, sf_dir)
+    cut = store.checkpointed(segments(spark, sf_dir))  # counted and cut further
     named = chunking.counter_chunk_ids(chunking.size_pieces(cut), cut)
     return named.select("_id", "parent_id", F.length("text").alias("n_chars"))
 

@@ -119,7 +119,8 @@ def counter_chunk_ids(
 
     The counter runs over the segments of all documents in order, the document
     number over the documents that gave segments. ``segments`` are the rows
-    before size splitting; both need ``pos``.
+    before size splitting; both need ``pos``. Both come from the same rows, so
+    a stored or checkpointed table of segments saves making them twice.
     """
     per_doc = segments.groupBy(pos).agg(F.count(F.lit(1)).alias("__n"))
     run = running_sums(per_doc, {"__segments": F.col("__n"), "__docs": F.lit(1)}, pos, width=width)

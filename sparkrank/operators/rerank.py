@@ -6,23 +6,34 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
+from sparkrank.functions.columns import let
+from sparkrank.sources.collection import checkpointed
 
 SCORE_DIGITS = 6
 SALTS = 16
+# Candidates are broadcast up to this many rows (about 100 bytes each).
+BROADCAST_CANDIDATES = 1_000_000
 
 
-def with_texts(candidates: DataFrame, collection: DataFrame) -> DataFrame:
+def with_texts(
+    candidates: DataFrame, collection: DataFrame, broadcast_rows: int = BROADCAST_CANDIDATES
+) -> DataFrame:
     """Candidates with the text and parent of their chunk.
 
-    The tag is part of the join key: it prunes a collection partitioned by tag.
+    The candidates are written once and counted. When they are few the texts
+    are scanned where they lie, and only those of the tags that occur; more
+    candidates meet the texts in a shuffle. The tag is part of the key.
     """
     texts = collection.select(F.col("_id").alias("corpus_id"), "ticker", "parent_id", "text")
-    return candidates.join(texts, ["ticker", "corpus_id"])
+    candidates = checkpointed(candidates)
+    if candidates.count() <= broadcast_rows:
+        candidates = F.broadcast(candidates)
+    return texts.join(candidates, ["ticker", "corpus_id"])
 
 
 def word_weights(collection: DataFrame) -> DataFrame:
@@ -63,14 +74,15 @@ def overlap_scores(pairs: DataFrame, queries: DataFrame, weights: DataFrame) ->
     A query meets its own candidates only; the comparison is inside the row.
     """
     worded = weighted_queries(queries, weights)
-    joined = pairs.join(worded, "query_id", "left").withColumn(
-        "__words", F.array_distinct(T.words("text"))
-    )
-    shared = F.filter("query_words", lambda q: F.array_contains(F.col("__words"), q["word"]))
-    score = F.aggregate(shared, F.lit(0.0), lambda acc, q: acc + q["weight"])
-    return joined.withColumn(
-        "rerank_score", F.round(F.coalesce(score, F.lit(0.0)), SCORE_DIGITS)
-    ).drop("query_words", "__words")
+    joined = pairs.join(worded, "query_id", "left")
+
+    def score(found: Column) -> Column:
+        shared = F.filter("query_words", lambda q: F.array_contains(found, q["word"]))
+        return F.aggregate(shared, F.lit(0.0), lambda acc, q: acc + q["weight"])
+
+    # the words of a text are bound once, not split again for every query word
+    total = F.coalesce(let(T.words("text"), score), F.lit(0.0))
+    return joined.withColumn("rerank_score", F.round(total, SCORE_DIGITS)).drop("query_words")
 
 
 def pair_scores(
@@ -98,9 +110,13 @@ def best_parents(scored: DataFrame, k: int = 10, group: str = "query_id") -> Dat
     may be ``query_text`` to let queries with equal text share one list.
     """
     score = F.nullif(F.col("rerank_score"), F.lit(float("nan")))
-    best = scored.groupBy(group, F.col("parent_id").alias("corpus_id")).agg(
-        F.max(score).alias("rerank_score"), F.min("query_id").alias("__query_id")
-    )
+    parent = F.col("parent_id").alias("corpus_id")
+    if group == "query_id":
+        best = scored.groupBy("query_id", parent).agg(F.max(score).alias("rerank_score"))
+    else:
+        best = scored.groupBy(group, parent).agg(
+            F.max(score).alias("rerank_score"), F.min("query_id").alias("query_id")
+        )
     order = W.partitionBy(group).orderBy(F.col("rerank_score").desc_nulls_last(), "corpus_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select(F.col("__query_id").alias("query_id"), "corpus_id", "rerank_score", "rank")
+    return ranked.select("query_id", "corpus_id", "rerank_score", "rank")
