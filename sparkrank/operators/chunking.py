@@ -11,6 +11,7 @@ from sparkrank.functions import splitting
 from sparkrank.functions import text as T
 from sparkrank.functions.embedding import Embedder
 from sparkrank.operators.ordered import WIDTH, occurrence_number, place_in_run, running_sums
+from sparkrank.sources.collection import checkpointed
 
 LONG_WORDS = 300
 SIMILARITY = 0.55
@@ -105,11 +106,13 @@ def _explode(df: DataFrame, array: str, number: str, value: str) -> DataFrame:
     return rows.filter(F.col(number).isNotNull())
 
 
-def chunk_ids(pieces: DataFrame) -> DataFrame:
-    """Chunk id from parent id, segment and piece number; keeps ``parent_id``."""
-    return pieces.withColumn("parent_id", F.col("_id")).withColumn(
-        "_id", F.concat_ws("_", "_id", F.col("segment_no").cast("string"), F.col("piece_no").cast("string"))
-    )
+def chunk_ids(pieces: DataFrame, suffix: str | None = None) -> DataFrame:
+    """Chunk id from parent id, segment and piece number; keeps ``parent_id``.
+
+    ``suffix`` names a column that tells documents with the same id apart.
+    """
+    parts = [F.col(c).cast("string") for c in (suffix, "segment_no", "piece_no") if c]
+    return pieces.withColumn("parent_id", F.col("_id")).withColumn("_id", F.concat_ws("_", "_id", *parts))
 
 
 def counter_chunk_ids(
@@ -149,14 +152,11 @@ def repeat_numbers(docs: DataFrame, pos: str = "pos", width: int = WIDTH) -> Dat
 
 def number_repeats(docs: DataFrame, pos: str = "pos", width: int = WIDTH) -> DataFrame:
     """Give the n-th repeat of an id the suffix ``_n``; keeps ``parent_id``."""
-    return _suffix_repeats(docs.withColumn("parent_id", F.col("_id")), repeat_numbers(docs, pos, width), pos)
-
-
-def _suffix_repeats(docs: DataFrame, numbers: DataFrame, pos: str) -> DataFrame:
-    keys = numbers.select(F.col("_id").alias("parent_id"), pos, "repeat")
-    joined = docs.join(keys, ["parent_id", pos], "left")
+    joined = docs.join(repeat_numbers(docs, pos, width), ["_id", pos], "left")
     suffixed = F.concat_ws("_", "_id", F.col("repeat").cast("string"))
-    return joined.withColumn("_id", suffixed).drop("repeat")
+    return (
+        joined.withColumn("parent_id", F.col("_id")).withColumn("_id", suffixed).drop("repeat")
+    )
 
 
 # Repeat numbers are broadcast up to this many rows (about 100 bytes each).
@@ -177,26 +177,43 @@ def chunk_documents(
     """Marked documents as chunks, ids numbered: one pass without a shuffle.
 
     Long documents are segmented and packed, short ones stay whole; both kinds
-    leave the same scan. Repeated ids of short documents are looked up first, on
-    the narrow id columns. When they are few, which the lookup counts, their
-    numbers are broadcast; otherwise chunks and numbers are joined by id and
-    position, which no two documents share.
+    leave the same scan. Documents with a repeated id are looked up first, on
+    the narrow id columns: short ones get their repeat number, long ones their
+    position in the chunk ids, so chunk ids are unique. When such documents are
+    few, which the lookup counts, their suffixes are broadcast; otherwise chunks
+    and suffixes are joined by id and position, which no two documents share.
     """
     segments = semantic_segments(
         docs, embedder, threshold=threshold, split=split, only="is_long", whole=True
     )
     pieces = size_pieces(segments, size=size, overlap=overlap, only="is_long")
     number = F.when(F.col("is_long"), F.col("segment_no"))
-    named = chunk_ids(pieces.withColumn("segment_no", number))
+    pieces = pieces.withColumn("segment_no", number)
 
     repeated = docs.groupBy("_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
     affected = repeated.agg(F.sum("__n")).first()[0] or 0
     if affected == 0:
-        return named
-    numbers = repeat_numbers(docs.filter(~F.col("is_long")), pos, width)
+        return chunk_ids(pieces)
+    marks = docs.select("_id", pos, "is_long")
     if affected <= BROADCAST_REPEATS:
-        numbers = F.broadcast(numbers)
-    return _suffix_repeats(named, numbers, pos)
+        # only documents with such an id are read and cleaned again
+        marks = marks.join(F.broadcast(repeated.select("_id")), "_id", "left_semi")
+        suffixes = F.broadcast(_suffixes(marks, pos, width))
+    else:
+        # written first, so that the flags and not the texts are shuffled
+        marks = checkpointed(marks).join(repeated.select("_id"), "_id", "left_semi")
+        suffixes = _suffixes(marks, pos, width)
+    return chunk_ids(pieces.join(suffixes, ["_id", pos], "left"), "__suffix").drop("__suffix")
+
+
+def _suffixes(marks: DataFrame, pos: str, width: int) -> DataFrame:
+    """``_id, pos, __suffix`` of documents that share their id with others."""
+    short = F.when(F.col("is_long"), 0).otherwise(1)
+    counted = running_sums(marks, {"__n": short}, pos, ["_id"], width)
+    suffix = F.when(F.col("is_long"), F.concat(F.lit("p"), F.col(pos).cast("string"))).when(
+        F.col("__n") > 1, (F.col("__n") - 1).cast("string")
+    )
+    return counted.select("_id", pos, suffix.alias("__suffix"))
 
 
 def combine(short_docs: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.operators.ordered import WIDTH, carry_forward
+from sparkrank.operators.skew import join_spread
 
 # The company names and tickers known by default.
 COMPANIES = {
@@ -88,8 +89,8 @@ def resolve_entities(queries: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     The first word that is a company name decides; if the query has none, the
     first word that is a ticker. Queries that name nothing have no row. Words
-    meet the dictionary in an ordinary join, and only the best hit per query
-    goes into the shuffle.
+    meet the dictionary in a join that spreads frequent words, and hits are
+    reduced to the best per query before the shuffle.
     """
     lookup = dictionary.select(
         F.col("company").alias("word"), F.lit(0).alias("kind"), "ticker", "company"
@@ -98,7 +99,7 @@ def resolve_entities(queries: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     named = queries.select("query_id", F.posexplode(F.split("query_text", " ")).alias("at", "word"))
     best = (
-        named.join(lookup, "word")
+        join_spread(named, lookup, "word", by="query_id")
         .groupBy("query_id")
         .agg(F.min(F.struct("kind", "at", "ticker", "company")).alias("hit"))
     )

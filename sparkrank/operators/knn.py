@@ -71,12 +71,13 @@ class _Best:
         self.worst = np.full(len(ids), np.inf)
         self.found: list[list[tuple[float, str, str | None]]] = [[] for _ in ids]
 
-    def add(self, ids: list[str], tags: list[str | None], rows: np.ndarray) -> None:
-        for start in range(0, len(ids), VECTOR_BLOCK):
+    def add(self, ids: pa.Array, tags: pa.Array, rows: np.ndarray) -> None:
+        """Compare with a batch; ids and tags stay Arrow, only picks become Python."""
+        for start in range(0, len(rows), VECTOR_BLOCK):
             part = slice(start, start + VECTOR_BLOCK)
             self._add_block(ids[part], tags[part], rows[part])
 
-    def _add_block(self, ids: list[str], tags: list[str | None], rows: np.ndarray) -> None:
+    def _add_block(self, ids: pa.Array, tags: pa.Array, rows: np.ndarray) -> None:
         if self.metric == "cosine":
             rows = _unit(rows)
         squares = np.einsum("ij,ij->i", rows, rows)
@@ -97,9 +98,9 @@ class _Best:
         # ... and those get their distance from the differences themselves
         gap = rows[picks] - self.rows[query]
         exact = np.round((gap * gap).sum(axis=1) * self.scale, DISTANCE_DIGITS)
-        merged = self.found[query] + [
-            (float(d), ids[j], tags[j]) for d, j in zip(exact, picks)
-        ]
+        where = pa.array(picks)
+        named = zip(exact.tolist(), ids.take(where).to_pylist(), tags.take(where).to_pylist())
+        merged = self.found[query] + list(named)
         merged.sort(key=lambda hit: hit[:2])
         self.found[query] = merged[: self.k]
         if len(merged) >= self.k:
@@ -133,17 +134,21 @@ def _scan(vectors: DataFrame, queries: pa.Table, k: int, metric: str) -> DataFra
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            corpus_ids = batch.column("_id").to_pylist()
-            found_tags = batch.column("ticker").to_pylist()
+            corpus_ids, tags = batch.column("_id"), batch.column("ticker")
             matrix = _matrix(batch.column("embedding"))
             if None in best:
-                best[None].add(corpus_ids, found_tags, matrix)
-            members: dict[str, list[int]] = {}
-            for i, tag in enumerate(found_tags):
-                if tag is not None and tag in best:
-                    members.setdefault(tag, []).append(i)
-            for tag, at in members.items():
-                best[tag].add([corpus_ids[i] for i in at], [tag] * len(at), matrix[at])
+                best[None].add(corpus_ids, tags, matrix)
+            coded = tags.dictionary_encode()
+            codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            for code, tag in enumerate(coded.dictionary.to_pylist()):
+                if tag not in best:
+                    continue
+                at = np.flatnonzero(codes == code)
+                if len(at) == len(codes):  # a file of one tag needs no copy
+                    best[tag].add(corpus_ids, tags, matrix)
+                else:
+                    where = pa.array(at)
+                    best[tag].add(corpus_ids.take(where), tags.take(where), matrix[at])
         for state in best.values():
             yield state.table()
 
@@ -201,8 +206,8 @@ def _cells(
             return HITS_ARROW.empty_table()
         best = _Best(query_rows["query_id"].to_pylist(), _matrix(query_rows["embedding"]), k, metric)
         best.add(
-            vector_rows["_id"].to_pylist(),
-            vector_rows["ticker"].to_pylist(),
+            vector_rows["_id"].combine_chunks(),
+            vector_rows["ticker"].combine_chunks(),
             _matrix(vector_rows["embedding"]),
         )
         return pa.Table.from_batches([best.table()])

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.functions.columns import let
+from sparkrank.operators.skew import join_spread
 from sparkrank.sources.collection import checkpointed
 
 SCORE_DIGITS = 6
-SALTS = 16
 # Candidates are broadcast up to this many rows (about 100 bytes each).
 BROADCAST_CANDIDATES = 1_000_000
 
@@ -48,21 +48,18 @@ def word_weights(collection: DataFrame) -> DataFrame:
     return df.select("word", F.log1p(total / F.col("df")).alias("weight"))
 
 
-def weighted_queries(queries: DataFrame, weights: DataFrame, salts: int = SALTS) -> DataFrame:
+def weighted_queries(queries: DataFrame, weights: DataFrame) -> DataFrame:
     """Each query with its distinct known words and their weights.
 
-    The same word may stand in most queries. Only words that queries use are
-    kept from ``weights``, and these few rows are repeated ``salts`` times so
-    that the queries of a frequent word spread over as many tasks.
+    Only weights of words that queries use take part in the join, and a word
+    that stands in most queries is spread over several tasks.
     """
     named = queries.select(
         "query_id", F.explode(F.array_distinct(T.words("query_text"))).alias("word")
     )
     used = weights.join(named.select("word").distinct(), "word", "left_semi")
-    salted = used.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = named.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(salts)).cast("int"))
     return (
-        spread.join(salted, ["word", "salt"])
+        join_spread(named, used, "word", by="query_id")
         .groupBy("query_id")
         .agg(F.sort_array(F.collect_list(F.struct("word", "weight"))).alias("query_words"))
     )

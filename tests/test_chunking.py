@@ -111,6 +111,11 @@ def test_chunk_corpus(spark, monkeypatch):
     assert len(parts) > 4 and all(len(r.text) <= 300 and r.ticker == "bb" for r in parts)
     covered = {w for r in parts for w in r.text.split()}
     assert covered == set(long.split())
+    # documents long and short with one id: chunk ids stay unique
+    mixed = docs.withColumn("_id", F.lit("aa1"))
+    mixed = chunk_corpus(mixed.unionByName(mixed.withColumn("pos", F.col("pos") + 10)), HashedBow()).collect()
+    assert len({r._id for r in mixed}) == len(mixed) == 2 * len(out)
+    assert {r.parent_id for r in mixed} == {"aa1"}
     # the same rows without the broadcast
     monkeypatch.setattr(chunking, "BROADCAST_REPEATS", 0)
     again = chunk_corpus(docs, HashedBow()).collect()
