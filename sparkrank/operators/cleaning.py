@@ -1,4 +1,4 @@
-"""Corpus, query and judgment cleaning. Narrow: no shuffle."""
+"""Corpus, query and judgment cleaning."""
 
 from __future__ import annotations
 
@@ -6,26 +6,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
-from sparkrank.operators.entities import Dictionary
+from sparkrank.operators.entities import Dictionary, invert
+from sparkrank.operators.skew import join_spread
 
 
-def clean_titles(docs: DataFrame, dictionary: Dictionary, substring: bool = False) -> DataFrame:
+def clean_titles(
+    docs: DataFrame, dictionary: Dictionary | DataFrame, substring: bool = False, pos: str = "pos"
+) -> DataFrame:
     """Titles with their first known ticker replaced by the company name.
 
-    Only a title that names a ticker also has its repeated words removed.
+    Only a title that names a ticker also has its repeated words removed. A
+    :class:`Dictionary` is looked up inside the row. A dictionary table may have
+    any size; its hits are joined back by ``pos``, which shuffles the documents.
     """
     lowered = docs.withColumn("title", F.lower(F.coalesce("title", F.lit(""))))
-    known = F.filter(F.split("title", " "), dictionary.is_ticker)
-    found = lowered.withColumn("__ticker", F.try_element_at(known, F.lit(1)))
+    if isinstance(dictionary, Dictionary):
+        known = F.filter(F.split("title", " "), dictionary.is_ticker)
+        found = lowered.withColumn("__ticker", F.try_element_at(known, F.lit(1)))
+        company = dictionary.company_of(F.col("__ticker"))
+    else:
+        words = lowered.select(pos, F.posexplode(F.split("title", " ")).alias("at", "ticker"))
+        hits = (
+            join_spread(words, invert(dictionary), "ticker", by=pos)
+            .groupBy(pos)
+            .agg(F.min(F.struct("at", "ticker", "company")).alias("hit"))
+        )
+        named = hits.select(pos, F.col("hit.ticker").alias("__ticker"), F.col("hit.company").alias("__company"))
+        found = lowered.join(named, pos, "left")
+        company = F.col("__company")
     ticker = F.col("__ticker")
-    named = T.replace_word(F.col("title"), ticker, dictionary.company_of(ticker), substring)
-    title = F.when(ticker.isNull(), F.col("title")).otherwise(T.distinct_words(named))
-    return found.withColumn("title", title).drop("__ticker")
+    replaced = T.distinct_words(T.replace_word(F.col("title"), ticker, company, substring))
+    title = F.when(ticker.isNull(), F.col("title")).otherwise(replaced)
+    return found.withColumn("title", title).drop("__ticker", "__company")
 
 
 def clean_corpus(
     docs: DataFrame,
-    dictionary: Dictionary,
+    dictionary: Dictionary | DataFrame,
     *,
     as_coded_ids: bool = False,
     substring: bool = False,

@@ -49,11 +49,12 @@ class Dictionary:
     """A small company dictionary held in the plan as a map literal.
 
     It is meant for the cleaning of titles, where a join would shuffle the whole
-    corpus for a lookup. ``MAX_ENTRIES`` bounds it; query routing works on
-    dictionary tables of any size, see :func:`route_queries`.
+    corpus for a lookup. ``MAX_ENTRIES`` bounds it, because every word of a title
+    is compared with every entry; cleaning and routing also take a table of any
+    size.
     """
 
-    MAX_ENTRIES = 5_000
+    MAX_ENTRIES = 1_000
 
     def __init__(self, companies: Mapping[str, str]):
         if len(companies) > self.MAX_ENTRIES:

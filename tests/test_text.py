@@ -49,6 +49,18 @@ def test_corpus_cleaning_defaults(spark):
     assert cleaned(spark, rows, newline_as_space=True)[1][2] == "brk.a report x y"
 
 
+def test_titles_by_dictionary_table(spark):
+    rows = [("A1", "V and MSFT v", "x", 0), ("B2", "no name no", "y", 1), ("C3", None, "z", 2), ("D4", "aapl", "", 3)]
+    docs = spark.createDataFrame(rows, "_id string, title string, text string, pos long")
+    small = Dictionary(COMPANIES)
+    sides = [
+        sorted(map(tuple, cleaning.clean_corpus(docs, d).select("_id", "title", "text", "pos").collect()))
+        for d in (small, small.table(spark))
+    ]
+    assert sides[0] == sides[1]
+    assert [r[1] for r in sides[0]] == ["visa and msft", "no name no", "", "appl"]
+
+
 def test_missing_title_and_text(spark):
     assert cleaned(spark, [("A1", None, None)]) == [("a1", "", "")]
 
