@@ -416,6 +416,23 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         f"""SELECT _id, regexp_extract(lower(_id), '^([^0-9]*)', 1) AS ticker, split_part(_id, '_', 1) AS parent_id
             FROM (SELECT {_normal_id('_id')} || '_' || pos AS _id FROM raw_corpus)""",
     ),
+    "scan_json_lines": (
+        ("raw_corpus",),
+        "SELECT _id, title, md5(text) AS md5, length(text)::INT AS n_chars FROM raw_corpus",
+    ),
+    "scan_judgments": (
+        ("item_document",),
+        f"""SELECT 'q' || item_id AS query_id, {_raw_id('source', 'doc_id')} AS corpus_id, 1::INT AS score
+            FROM item_document""",
+    ),
+    "metrics_file": (
+        ("vector", "vector_judgment"),
+        _metrics(f"({_FILTERED})", "vector_judgment"),
+    ),
+    "run_log": (
+        ("run",),
+        "SELECT run_name, branch, 'recall' AS metric, round(value, 6) AS value FROM run",
+    ),
     "invert_dictionary": (("inverted",), "SELECT ticker, company FROM inverted"),
     "route_entities": (
         ("routed",),

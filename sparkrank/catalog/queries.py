@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -22,6 +23,7 @@ from sparkrank.operators import (
 )
 from sparkrank.plans import index, retrieve, track
 from sparkrank.sources import collection as store
+from sparkrank.sources import readers, writers
 
 DIM = 64
 MAIN_VERSION = "v1.0"
@@ -89,6 +91,47 @@ def derive_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("_id", T.tag_of("_id").alias("ticker"), T.parent_of("_id").alias("parent_id"))
 
 
+# files: rows written in the formats the engine reads and logs, and read back
+
+
+def _fresh(spark: SparkSession, name: str) -> str:
+    folder = store.shared_folder(spark, "/tmp/checkpoints")
+    return f"{folder}/sparkrank-files/{name}-{uuid.uuid4()}"
+
+
+@query
+def scan_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _fresh(spark, "corpus")
+    inputs.raw_corpus(spark, sf_dir).select("_id", "title", "text").write.json(path)
+    docs = readers.read_documents(spark, path)
+    return docs.select("_id", "title", F.md5("text").alias("md5"), F.length("text").alias("n_chars"))
+
+
+@query
+def scan_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _fresh(spark, "judgments")
+    inputs.judgments(spark, sf_dir).write.csv(path, sep="\t", header=True)
+    return readers.read_judgments(spark, path)
+
+
+@query
+def metrics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _fresh(spark, "metrics")
+    writers.write_metrics(knn_eval_metrics(spark, sf_dir), path)
+    return readers.read_metrics(spark, path)
+
+
+@query
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs appended to a log in two goes, main runs first."""
+    path = _fresh(spark, "runs")
+    rows = inputs.runs(spark, sf_dir).select("run_name", "branch", "metric", F.round("value", 6).alias("value"))
+    compared = tracking.is_compared(F.col("branch"))
+    writers.append_log(rows.filter(~compared), path)
+    writers.append_log(rows.filter(compared), path)
+    return spark.read.json(path, schema=rows.schema)
+
+
 # entities
 
 

@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparkrank.operators.skew import broadcast_if_small
+
 # Distances are compared after rounding, so that equal distances tie whatever
 # the order of summation; ties go to the smaller id.
 DISTANCE_DIGITS = 9
 
 BROADCAST_QUERIES = 20_000
 BROADCAST_BYTES = 64 << 20
+BROADCAST_TAGS = 100_000
 CELL_VECTORS = 200_000
 CELL_QUERIES = 4_000
 QUERY_BLOCK = 256  # queries per matrix product
@@ -155,7 +158,7 @@ def _scan(vectors: DataFrame, queries: pa.Table, k: int, metric: str) -> DataFra
     wanted = sorted(tag for tag in groups if tag is not None)
     if None not in groups and len(wanted) <= 1_000:
         vectors = vectors.filter(F.col("ticker").isin(wanted))  # prunes tag partitions
-    return vectors.mapInArrow(scan, HITS)
+    return vectors.filter(F.col("embedding").isNotNull()).mapInArrow(scan, HITS)
 
 
 def _cells(
@@ -176,12 +179,18 @@ def _cells(
     scoped = queries.select(
         "query_id", "embedding", F.coalesce(by_tag, F.lit("all")).alias("scope")
     )
-    query_parts = scoped.groupBy("scope").agg(parts(cell_queries).alias("query_parts"))
-    vector_parts = vectors.groupBy("ticker").agg(parts(cell_vectors).alias("vector_parts"))
+    # one row per tag; counting reads no vectors, as those without one only make
+    # a cell smaller
+    query_parts = broadcast_if_small(
+        scoped.groupBy("scope").agg(parts(cell_queries).alias("query_parts")), BROADCAST_TAGS
+    )
+    vector_parts = broadcast_if_small(
+        vectors.groupBy("ticker").agg(parts(cell_vectors).alias("vector_parts")), BROADCAST_TAGS
+    )
     scopes = F.explode(F.array(F.lit("all"), by_tag)).alias("scope")
 
     left = (
-        vectors.join(vector_parts.withColumnRenamed("ticker", "__t"), F.col("ticker").eqNullSafe(F.col("__t")))
+        vectors.filter(F.col("embedding").isNotNull()).join(vector_parts.withColumnRenamed("ticker", "__t"), F.col("ticker").eqNullSafe(F.col("__t")))
         .withColumn("slot", slot("_id", "vector_parts"))
         .select("_id", "ticker", "embedding", "slot", scopes)
         .join(query_parts, "scope")
@@ -243,7 +252,7 @@ def nearest(
     if strategy not in ("auto", "broadcast", "blocks"):
         raise ValueError(f"unknown strategy: {strategy}")
     queries = queries.select("query_id", "ticker", "embedding")
-    vectors = vectors.select("_id", "ticker", "embedding").filter(F.col("embedding").isNotNull())
+    vectors = vectors.select("_id", "ticker", "embedding")
 
     probe = None
     if strategy != "blocks":

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.functions.columns import let
-from sparkrank.operators.skew import join_spread
-from sparkrank.sources.collection import checkpointed
+from sparkrank.operators.skew import broadcast_if_small, join_spread
 
 SCORE_DIGITS = 6
 # Candidates are broadcast up to this many rows (about 100 bytes each).
@@ -30,10 +29,7 @@ def with_texts(
     candidates meet the texts in a shuffle. The tag is part of the key.
     """
     texts = collection.select(F.col("_id").alias("corpus_id"), "ticker", "parent_id", "text")
-    candidates = checkpointed(candidates)
-    if candidates.count() <= broadcast_rows:
-        candidates = F.broadcast(candidates)
-    return texts.join(candidates, ["ticker", "corpus_id"])
+    return texts.join(broadcast_if_small(candidates, broadcast_rows), ["ticker", "corpus_id"])
 
 
 def word_weights(collection: DataFrame) -> DataFrame:

@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkrank.sources.collection import checkpointed
+
 SALTS = 16
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """A join side marked for broadcast when it has at most ``rows`` rows.
+
+    The side is written to the checkpoint folder once and counted there. A side
+    that is larger is left to the shuffle join Spark plans by itself.
+    """
+    written = checkpointed(df)
+    return F.broadcast(written) if written.count() <= rows else written
+
+
 def join_spread(many: DataFrame, few: DataFrame, key: str, by: str, salts: int = SALTS) -> DataFrame:
     """Inner join on ``key`` of a long table with a short lookup table.
 

@@ -21,7 +21,7 @@ def overlap_scorer(weights: DataFrame) -> Scorer:
 
 def pair_scorer(load: Callable) -> Scorer:
     """A scorer from a user-supplied function of query texts and texts."""
-    return lambda pairs, queries: rerank.pair_scores(pairs, load)
+    return lambda pairs, queries: rerank.pair_scores(pairs.join(queries, "query_id"), load)
 
 
 def route(
@@ -76,8 +76,7 @@ def retrieve_and_rerank(
     scorer = scorer or overlap_scorer(rerank.word_weights(collection))
     candidates = retrieve(routed, collection, embedder, k=k, **search)
     texts = routed.select("query_id", "query_text")
-    pairs = candidates.join(texts, "query_id")
-    return rerank.best_parents(scorer(pairs, texts), top)
+    return rerank.best_parents(scorer(candidates, texts), top)
 
 
 def retrieve_and_evaluate(
