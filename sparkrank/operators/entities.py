@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkrank.functions import text as T
 from sparkrank.operators.ordered import WIDTH, carry_forward
 from sparkrank.operators.skew import join_spread
+from sparkrank.sources.collection import checkpointed
 
 # The company names and tickers known by default.
 COMPANIES = {
@@ -127,7 +128,10 @@ def route_queries(
     if on_unresolved not in ("carry", "all", "drop"):
         raise ValueError(f"unknown on_unresolved: {on_unresolved}")
     how = "inner" if on_unresolved == "drop" else "left"
-    joined = queries.join(resolve_entities(queries, dictionary), "query_id", how)
+    resolved = resolve_entities(queries, dictionary)
+    if on_unresolved == "carry":
+        resolved = checkpointed(resolved)  # read for each range and for each query
+    joined = queries.join(resolved, "query_id", how)
     rewritten = T.replace_word(F.col("query_text"), F.col("ticker"), F.col("company"), substring)
     routed = joined.withColumn(
         "embed_text",

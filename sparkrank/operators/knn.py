@@ -30,6 +30,7 @@ DISTANCE_DIGITS = 9
 
 BROADCAST_QUERIES = 20_000
 BROADCAST_BYTES = 64 << 20
+BROADCAST_HITS = 500_000  # queries times k that one task may have to hold
 BROADCAST_TAGS = 100_000
 CELL_VECTORS = 200_000
 CELL_QUERIES = 4_000
@@ -245,7 +246,8 @@ def nearest(
     rows. ``metric`` is ``l2`` (squared distance) or ``cosine`` (1 - cosine).
 
     ``auto`` reads at most ``max_queries + 1`` queries to learn whether the
-    query side is small in rows and bytes, and takes ``blocks`` if it is not.
+    query side is small in rows, bytes and hits to hold, and takes ``blocks`` if
+    it is not.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric: {metric}")
@@ -256,8 +258,9 @@ def nearest(
 
     probe = None
     if strategy != "blocks":
-        probe = queries.limit(max_queries + 1).toArrow()
-        small = probe.num_rows <= max_queries and probe.nbytes <= max_bytes
+        most = min(max_queries, max(BROADCAST_HITS // k, 1))
+        probe = queries.limit(most + 1).toArrow()
+        small = probe.num_rows <= most and probe.nbytes <= max_bytes
         if not small:
             if strategy == "broadcast":
                 raise ValueError("the query side is too large to broadcast")

@@ -21,7 +21,7 @@ RANGE = "__range"
 
 
 def with_range(df: DataFrame, pos: str, width: int = WIDTH) -> DataFrame:
-    return df.withColumn(RANGE, F.floor(F.col(pos) / F.lit(width)).cast("long"))
+    return df.withColumn(RANGE, F.expr(f"`{pos}` div {int(width)}"))
 
 
 def _inside(keys: Sequence[str], pos: str):
