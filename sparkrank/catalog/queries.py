@@ -54,12 +54,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collection(spark: SparkSession, sf_dir: str) -> index.StoredCollection:
     """The collection as stored in the shared folder, written on first use."""
     known = entities.Dictionary.from_table(inputs.dictionary(spark, sf_dir))
-    return index.StoredCollection(
-        inputs.raw_corpus(spark, sf_dir),
-        known,
-        embedder(),
-        folder=store.shared_folder(spark, "/tmp/checkpoints"),
-    )
+    return index.StoredCollection(inputs.raw_corpus(spark, sf_dir), known, embedder())
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +90,7 @@ def derive_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
-    folder = store.shared_folder(spark, "/tmp/checkpoints")
-    return f"{folder}/sparkrank-files/{name}-{uuid.uuid4()}"
+    return f"{store.shared_folder(spark)}/sparkrank-files/{name}-{uuid.uuid4()}"
 
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkrank import schemas
 
 
-def shared_folder(spark: SparkSession, default: str | None = None) -> str:
-    """Folder that all executors see, as named by the cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", default)
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors see, as named by the cluster.
+
+    Only a session on one machine, where any folder is shared, may do without.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and context.master.startswith("local"):
+        folder = os.path.join(tempfile.gettempdir(), "sparkrank")
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set and no folder was given")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 
@@ -40,16 +48,10 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written once to the checkpoint folder, for results read many times.
-
-    The folder is the one the cluster names; without one the plan stays as it is.
-    """
+    """The rows written once to the shared folder, for results read many times."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            return df
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
