@@ -55,4 +55,24 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM docs LEFT JOIN hit USING (line) LEFT JOIN named USING (line)
 """
 
-STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op9_decontamination": OP9}
+OP7 = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS line, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT line, doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS w
+  FROM docs, unnest(range(1, len(words) - 48)) AS r(i)
+), least AS (
+  SELECT w, min(doc_id) AS lo FROM starts GROUP BY w HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT line, j FROM starts JOIN least USING (w), unnest(range(i, i + 50)) AS r(j) WHERE doc_id > lo
+), spread AS (
+  SELECT line, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM docs
+), kept AS (
+  SELECT line, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS line_text FROM spread ANTI JOIN gone USING (line, j) GROUP BY line
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(line_text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (line)
+"""
+
+STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op7_substrings": OP7, "op9_decontamination": OP9}
