@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm import chat, decontamination, packing, simhash, substrings
+from sparkrank.llm import chat, decontamination, packing, pii, simhash, substrings, toxicity
 from sparkrank.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,10 +29,18 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns.union(added)))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["first"])
@@ -50,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
+    "op4_pii": op4_pii,
     "op7_substrings": op7_substrings,
+    "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
 }
