@@ -75,4 +75,16 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM docs LEFT JOIN kept USING (line)
 """
 
-STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op7_substrings": OP7, "op9_decontamination": OP9}
+OP6 = r"""
+WITH known AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), marked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM known
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM marked
+"""
+
+STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9}

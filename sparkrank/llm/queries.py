@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm import chat, decontamination, packing, pii, simhash, substrings, toxicity
+from sparkrank.llm import chat, decontamination, multi_index, packing, pii, quality, simhash, substrings, toxicity, warc
 from sparkrank.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("key")
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed(table(spark, sf_dir, "documents"))
 
@@ -54,12 +62,19 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
     "op3_chat": op3_chat,
     "op4_pii": op4_pii,
+    "op5_multi_index": op5_multi_index,
+    "op6_warc": op6_warc,
     "op7_substrings": op7_substrings,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
 }
