@@ -251,15 +251,16 @@ def duplicates(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, bits
     texts = texts.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"), "text")
     indexed = stored(texts.mapInArrow(_index(window, anchor), INDEXED_DDL), "blocks")
     whole = indexed.filter(F.col("n_words") >= window).groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    whole = whole.filter("n > 1").select("w1", "w2", "least")
+    # what is looked up is written first: only then can Spark split the other side where a key is frequent
+    whole = stored(whole.filter("n > 1").select("w1", "w2", "least"), "whole")
     rows = indexed.join(whole, ["w1", "w2"], "left").withColumn("copied", F.coalesce(F.col("least") < F.col("doc_id"), F.lit(False)))
     rows = stored(rows.select("doc_id", "key", "n_words", "sha", "copied", F.when(~F.col("copied") & F.col("doc_id").isNotNull(), F.col("blocks")).alias("blocks")), "rows")
     drop_stored(indexed)
 
     blocks = rows.select("doc_id", "key", F.explode("blocks").alias("b")).select("doc_id", "key", "b.*").distinct()
     anchors = blocks.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-    shared = stored(blocks.join(anchors.select("anchor"), "anchor"), "shared")
-    sources = shared.groupBy("b1", "b2").agg(F.min(F.struct("doc_id", "at")).alias("source"))
+    shared = stored(blocks.join(stored(anchors.select("anchor"), "anchors"), "anchor"), "shared")
+    sources = stored(shared.groupBy("b1", "b2").agg(F.min(F.struct("doc_id", "at")).alias("source")), "sources")
     looked = shared.join(sources, ["b1", "b2"]).select("doc_id", "key", F.struct("at", "size", F.col("source.doc_id").alias("ref"), F.col("source.at").alias("place")).alias("p"))
     parts = stored(looked.groupBy("key", "doc_id").agg(F.collect_list("p").alias("parts")), "parts")
     drop_stored(shared)
@@ -269,8 +270,9 @@ def duplicates(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, bits
     drop_stored(parts)
     checked = found.filter("end = 0")
     least = checked.groupBy("w1", "w2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("w1", "w2", "lo")
+    least = stored(least, "least")
     repeated = checked.join(least, ["w1", "w2"]).filter("doc_id > lo").select("key", "at", (F.col("at") + window).alias("end"))
-    spans = repeated.union(found.filter("end > 0").select("key", "at", "end"))
+    spans = stored(repeated.union(found.filter("end > 0").select("key", "at", "end")), "marked")
     return rows.drop("blocks"), stored(spans.groupBy("key").agg(F.collect_list(F.struct("at", "end")).alias("spans")), "spans"), texts
 
 
