@@ -133,7 +133,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS,
     """``a, b``: links of a table of distinct ``fp`` that join the same components as all links do."""
     rows = _entries(prints, distance, segments)
     kept = rows.groupBy("segment", "key").agg(F.count("*").alias("n"), F.sum("own").alias("tabled")).filter("n > 1 and tabled > 0")
-    met = rows.join(kept.drop("tabled"), ["segment", "key"])
+    # written first: only then can Spark split the other side where a key is frequent
+    met = rows.join(stored(kept.drop("tabled"), "kept"), ["segment", "key"])
     blocks = F.ceil(F.col("n") / cell).cast("int")
     met = met.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -153,6 +154,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.join(smallest, "root").select("fp", "component_id")
     labels = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    labels = stored(labels, "labels")
     return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
