@@ -56,16 +56,16 @@ def drop_stored(df: DataFrame) -> None:
         _file_system(df.sparkSession, path, lambda fs, p: fs.delete(p, True))
 
 
-def per_process(key: str, make: Callable):
-    """What ``make`` gives, kept by a worker process for its later tasks too.
+def per_process(key: str, make: Callable, version: str = ""):
+    """What ``make`` gives, kept by a worker process for its later tasks of the same ``version``.
 
     Functions travel to the workers by value, so module globals do not last.
     """
     name = "sparkrank_worker_state"
     kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get(key, ("", None))[0] != version or key not in kept:
+        kept[key] = (version, make())
+    return kept[key][1]
 
 
 def utf8(column: pa.Array) -> list[bytes]:

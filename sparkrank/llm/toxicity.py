@@ -9,7 +9,8 @@ words of reporting) from abuse (address in the second person). Counts of
 hits by kind are the features of a logistic regression, which gives the score.
 
 Lexicon and weights are learned from a bounded sample: at most ``SAMPLE`` labelled rows
-of each class, taken by the hash of the id; one half gives the lexicon, the other the weights.
+of each class, taken by the hash of the id. Weights are learned from each half of it with the
+lexicon of the other half; the lexicon that scores comes from both.
 Every document is scored, on its whole text and nothing else.
 
 Defined cases: null and empty texts are scored like texts without hits; a document with several
@@ -20,6 +21,7 @@ an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import held_out, stored, strings
+from sparkrank.llm.common import held_out, per_process, stored, strings
 
 SAMPLE = 10_000  # labelled rows of each class
 STEM = (4, 9)  # shortest and longest stem
@@ -246,9 +248,12 @@ def _features(terms):
 def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[dict, np.ndarray]:
     """Lexicon and weights."""
     sample = labelled_sample(docs, labels, size)
-    terms = learn_terms(sample.filter("part = 0"))
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-    rows = sample.filter("part = 1").select("text", "toxic").mapInArrow(_features(shared), "x array<double>, toxic int").collect()
+    context, rows = docs.sparkSession.sparkContext, []
+    for part in (0, 1):
+        shared = context.broadcast(learn_terms(sample.filter(F.col("part") != part)))
+        own = sample.filter(F.col("part") == part).select("text", "toxic")
+        rows += own.mapInArrow(_features(shared), "x array<double>, toxic int").collect()
+    terms = learn_terms(sample)
     y = np.array([r.toxic for r in rows], float)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.0
@@ -258,8 +263,10 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[dict,
 
 
 def _score(model, text_at: int):
+    version = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*model.value)
+        scorer = per_process("toxicity", lambda: Scorer(*model.value), version)
         for batch in batches:
             found = pa.array([scorer.score(t) for t in strings(batch.column(text_at))], pa.float64())
             columns = [c for i, c in enumerate(batch.columns) if i != text_at]
@@ -279,8 +286,10 @@ def scored(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
 
 
 def _civil(model, text_at: int):
+    version = uuid.uuid4().hex
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*model.value)
+        scorer = per_process("toxicity", lambda: Scorer(*model.value), version)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in strings(batch.column(text_at))], pa.bool_()))
 
