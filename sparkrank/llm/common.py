@@ -59,11 +59,14 @@ def drop_stored(df: DataFrame) -> None:
 def per_process(key: str, make: Callable, version: str = ""):
     """What ``make`` gives, kept by a worker process for its later tasks of the same ``version``.
 
-    Functions travel to the workers by value, so module globals do not last.
+    Functions travel to the workers by value, so module globals do not last. A
+    process keeps one such thing at a time: another key or version frees it.
     """
     name = "sparkrank_worker_state"
     kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
     if kept.get(key, ("", None))[0] != version or key not in kept:
+        for other in [k for k, v in kept.items() if isinstance(v, tuple)]:
+            del kept[other]
         kept[key] = (version, make())
     return kept[key][1]
 

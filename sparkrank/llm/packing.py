@@ -28,7 +28,7 @@ from sparkrank.llm.common import per_process, stored, utf8
 SIZE = 4096
 END_ID = 2
 FLUSH_BYTES = 8 << 20
-CHUNKS, CORES = 250_000, 500_000  # entries kept by a task's caches
+CHUNKS, CORES = 150_000, 400_000  # entries kept by a task's caches
 
 #: A chunk of Latin letters between marks: no apostrophe, so each part is one unit of the tokenizer.
 SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
