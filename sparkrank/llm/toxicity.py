@@ -39,7 +39,7 @@ MIN_ODDS = 12.0  # how much more frequent a term is in toxic documents
 MAX_TERMS = 20_000
 CONTEXT = 8  # words on each side of a hit
 CACHED = 200_000  # tokens whose result a task keeps
-STATES = 30_000  # states of the automaton kept before it starts anew
+STATES = 200_000  # states of the automaton kept before it starts anew
 
 MARKS = "\"'`.,;:!?()[]{}<>*#$%&|=«»“”„‘’-_~/\\+"
 OPENING, CLOSING = frozenset("\"'“„«‘`"), frozenset("\"'”“»’`")
