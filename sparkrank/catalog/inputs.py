@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def letters(source: Column) -> Column:
-    return F.translate(F.substring(source, 4, 100), "0123456789", "abcdefghij")
+    return F.translate(F.substring(source, 4, 2**31 - 1), "0123456789", "abcdefghij")
 
 
 def ticker(source: Column) -> Column:
@@ -47,7 +47,7 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit(1).alias("n"), F.lit("firm").alias("stem")),
         )
     ).alias("name")
-    number = F.substring("source", 4, 100).cast("long")
+    number = F.substring("source", 4, 2**31 - 1).cast("long")
     return sources.select("source", names).select(
         F.concat("name.stem", letters(F.col("source"))).alias("company"),
         ticker(F.col("source")).alias("ticker"),
@@ -146,7 +146,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("quality").alias("value"), F.count(F.lit(1)).alias("n")
     )
     branch = F.when(F.col("lang") == "en", "main").otherwise(F.col("lang"))
-    number = F.substring("source", 4, 100).cast("int")
+    number = F.substring("source", 4, 2**31 - 1).cast("int")
     ts = F.lit(RUN_TS).cast("timestamp_ntz") + F.make_dt_interval(mins=number)
     return means.select("source", "value", "n", branch.alias("branch"), ts.alias("ts")).select(
         run_name(F.col("branch"), F.col("ts")).alias("run_name"),
