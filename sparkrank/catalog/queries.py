@@ -42,7 +42,7 @@ def embedder() -> Embedder:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = entities.Dictionary.from_table(inputs.dictionary(spark, sf_dir))
+    known = entities.Dictionary.fitting(inputs.dictionary(spark, sf_dir))
     return cleaning.clean_corpus(inputs.raw_corpus(spark, sf_dir), known)
 
 
@@ -53,7 +53,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collection(spark: SparkSession, sf_dir: str) -> index.StoredCollection:
     """The collection as stored in the shared folder, written on first use."""
-    known = entities.Dictionary.from_table(inputs.dictionary(spark, sf_dir))
+    known = entities.Dictionary.fitting(inputs.dictionary(spark, sf_dir))
     return index.StoredCollection(inputs.raw_corpus(spark, sf_dir), known, embedder())
 
 
@@ -265,8 +265,8 @@ def knn_blocks_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.vectors(spark, sf_dir),
         10,
         strategy="blocks",
-        cell_vectors=20_000,
-        cell_queries=2_000,
+        cell_vectors=16,  # small, so that every label is cut into several cells
+        cell_queries=8,
     )
     return _hits(found)
 

@@ -24,13 +24,14 @@ class Embedder:
     the encoder sees whole batches.
     """
 
-    def __init__(self, load: Callable[[], Encode], dim: int):
+    def __init__(self, load: Callable[[], Encode], dim: int, name: str | None = None):
         self.load = load
         self.dim = dim
+        #: names model and version in the key of a stored collection, which needs it
+        self.name = name
 
     def __repr__(self) -> str:
-        """Names the embedder in the path of a stored collection."""
-        return f"{type(self).__name__}({getattr(self.load, '__qualname__', self.load)}, {self.dim})"
+        return f"{type(self).__name__}({self.name!r}, {self.dim})"
 
     def vector(self, text: Column | str) -> Column:
         """``array<float>`` per text."""
@@ -90,22 +91,24 @@ class HashedBow(Embedder):
         self.native = native
 
         def load() -> Encode:
-            known: dict[str, int] = {}
+            known: dict[bytes, int] = {}
+            digits = vectors.hash_digits(dim)
 
-            def bucket(word: str) -> int:
+            def bucket(word: bytes) -> int:
                 found = known.get(word)
                 if found is None:
                     if len(known) > 500_000:  # bounds the memory of a task
                         known.clear()
-                    digest = hashlib.md5(word.encode()).hexdigest()
-                    found = known[word] = int(digest[:4], 16) % dim
+                    digest = hashlib.md5(word).hexdigest()
+                    found = known[word] = int(digest[:digits], 16) % dim
                 return found
 
             def encode(texts: list[str]) -> np.ndarray:
                 cells: list[int] = []
                 for row, text in enumerate(texts):
                     base = row * dim
-                    cells.extend([base + bucket(w) for w in text.split()])
+                    # bytes are split at ASCII white space, as the built-in form does
+                    cells.extend([base + bucket(w) for w in text.encode("utf-8", "replace").split()])
                 counts = np.bincount(np.array(cells, dtype=np.int64), minlength=len(texts) * dim)
                 counts = counts.reshape(len(texts), dim)
                 length = np.sqrt((counts * counts).sum(axis=1).astype(np.float64))
@@ -114,7 +117,7 @@ class HashedBow(Embedder):
 
             return encode
 
-        super().__init__(load, dim)
+        super().__init__(load, dim, "hashed words")
 
     def vector(self, text: Column | str) -> Column:
         if self.native:

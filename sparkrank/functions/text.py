@@ -103,5 +103,7 @@ def sentences(text: Column | str) -> Column:
 
 def bump_version(label: Column | str, step: str = "0.1") -> Column:
     """Next version label: the numeric part plus one step, null if there is none."""
-    number = F.regexp_replace(as_column(label), "[^0-9.]", "").try_cast("decimal(10,1)")
-    return F.concat(F.lit("v"), (number + F.lit(step).cast("decimal(10,1)")).cast("string"))
+    number = F.regexp_replace(as_column(label), "[^0-9.]", "").try_cast("decimal(28,10)")
+    following = (number + F.lit(step).cast("decimal(28,10)")).cast("string")
+    # keeps at least one digit behind the point
+    return F.concat(F.lit("v"), F.regexp_replace(following, "([.][0-9]+?)0+$", "$1"))

@@ -30,8 +30,14 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
+def hash_digits(dim: int) -> int:
+    """Hexadecimal digits of a word's md5 that its bucket is taken from."""
+    return 4 if dim <= 1 << 12 else 12
+
+
 def word_bucket(word: Column, dim: int) -> Column:
-    return F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("int") % F.lit(dim)
+    digits = F.substring(F.md5(word), 1, hash_digits(dim))
+    return (F.conv(digits, 16, 10).cast("long") % F.lit(dim)).cast("int")
 
 
 def hashed_bow(text: Column | str, dim: int = 64) -> Column:

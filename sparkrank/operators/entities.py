@@ -75,6 +75,15 @@ class Dictionary:
         rows = table.select("company", "ticker", "pos").limit(cls.MAX_ENTRIES + 1).collect()
         return cls({r["company"]: r["ticker"] for r in sorted(rows, key=lambda r: r["pos"])})
 
+    @classmethod
+    def fitting(cls, table: DataFrame) -> Dictionary | DataFrame:
+        """The table in the plan when it is small enough for that, else the table itself.
+
+        Cleaning and routing take both and give the same rows.
+        """
+        few = table.select("company", "ticker", "pos").limit(cls.MAX_ENTRIES + 1)
+        return cls.from_table(table) if few.count() <= cls.MAX_ENTRIES else table
+
     def is_ticker(self, word: Column) -> Column:
         return F.array_contains(self._tickers, word)
 

@@ -34,6 +34,7 @@ BROADCAST_HITS = 500_000  # queries times k that one task may have to hold
 BROADCAST_TAGS = 100_000
 CELL_VECTORS = 200_000
 CELL_QUERIES = 4_000
+MERGE_GROUPS = 1_024  # groups of tasks whose hits are merged before the last step
 QUERY_BLOCK = 256  # queries per matrix product
 VECTOR_BLOCK = 8_192  # vectors per matrix product
 
@@ -77,6 +78,10 @@ class _Best:
 
     def add(self, ids: pa.Array, tags: pa.Array, rows: np.ndarray) -> None:
         """Compare with a batch; ids and tags stay Arrow, only picks become Python."""
+        sound = np.isfinite(rows).all(axis=1)
+        if not sound.all():
+            where = pa.array(np.flatnonzero(sound))
+            ids, tags, rows = ids.take(where), tags.take(where), rows[sound]
         for start in range(0, len(rows), VECTOR_BLOCK):
             part = slice(start, start + VECTOR_BLOCK)
             self._add_block(ids[part], tags[part], rows[part])
@@ -244,6 +249,8 @@ def nearest(
     vectors), ``vectors`` has ``_id, ticker, embedding``. Returns ``query_id,
     corpus_id, ticker, distance, rank``; a tag with fewer vectors gives fewer
     rows. ``metric`` is ``l2`` (squared distance) or ``cosine`` (1 - cosine).
+    Vectors and queries that are null or hold a null, NaN or infinite component
+    take no part.
 
     ``auto`` reads at most ``max_queries + 1`` queries to learn whether the
     query side is small in rows, bytes and hits to hold, and takes ``blocks`` if
@@ -253,7 +260,7 @@ def nearest(
         raise ValueError(f"unknown metric: {metric}")
     if strategy not in ("auto", "broadcast", "blocks"):
         raise ValueError(f"unknown strategy: {strategy}")
-    queries = queries.select("query_id", "ticker", "embedding")
+    queries = queries.select("query_id", "ticker", "embedding").filter(F.col("embedding").isNotNull())
     vectors = vectors.select("_id", "ticker", "embedding")
 
     probe = None
@@ -270,5 +277,13 @@ def nearest(
     else:
         hits = _cells(queries, vectors, k, metric, cell_vectors, cell_queries)
 
-    by_query = W.partitionBy("query_id").orderBy("distance", "corpus_id")
-    return hits.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
+    # every task hands on k hits of a query, so they are merged in two steps: no
+    # group of the first holds more than its share of the tasks
+    grouped = hits.withColumn("__group", F.spark_partition_id() % MERGE_GROUPS)
+    merged = _ranked(grouped, k, "query_id", "__group").drop("__group", "rank")
+    return _ranked(merged, k, "query_id")
+
+
+def _ranked(hits: DataFrame, k: int, *keys: str) -> DataFrame:
+    nearest_first = W.partitionBy(*keys).orderBy("distance", "corpus_id")
+    return hits.withColumn("rank", F.row_number().over(nearest_first)).filter(F.col("rank") <= k)

@@ -4,7 +4,8 @@ A running value over all rows (or over one very large key) would send every row
 to a single task. Here rows are cut into ranges of ``width`` positions: a window
 works inside each range, one summary row per range carries the total forward,
 and the two are added. ``pos`` is a whole number that gives the order, such as a
-line number; ranges should not be much sparser than ``width``.
+line number; ranges should not be much sparser than ``width``. Rows without a
+position come first, in no stated order; rows with null keys form one group.
 """
 
 from __future__ import annotations
@@ -18,10 +19,18 @@ from pyspark.sql import functions as F
 WIDTH = 1 << 15
 
 RANGE = "__range"
+KEY = "__key"
+BEFORE_ALL = -(1 << 63)  # range of the rows without a position
 
 
 def with_range(df: DataFrame, pos: str, width: int = WIDTH) -> DataFrame:
-    return df.withColumn(RANGE, F.expr(f"`{pos}` div {int(width)}"))
+    at = F.expr(f"`{pos}` div {int(width)}")
+    return df.withColumn(RANGE, F.coalesce(at, F.lit(BEFORE_ALL)))
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The keys as one struct, which meets its like in a join even where a key is null."""
+    return (df.withColumn(KEY, F.struct(*keys)), [KEY]) if keys else (df, [])
 
 
 def _inside(keys: Sequence[str], pos: str):
@@ -46,7 +55,7 @@ def running_sums(
     width: int = WIDTH,
 ) -> DataFrame:
     """Add one column per entry of ``values``: its sum up to and with the row."""
-    ranged = with_range(df, pos, width)
+    ranged, keys = _keyed(with_range(df, pos, width), keys)
     local, before = {n: f"__in_{n}" for n in values}, {n: f"__before_{n}" for n in values}
     totals = ranged.groupBy(*keys, RANGE).agg(*[F.sum(v).alias(local[n]) for n, v in values.items()])
     carried = totals.select(
@@ -61,7 +70,7 @@ def running_sums(
     summed = _join_ranges(inside, carried, keys).withColumns(
         {n: F.col(local[n]) + F.col(before[n]) for n in values}
     )
-    return summed.drop(RANGE, *local.values(), *before.values())
+    return summed.drop(RANGE, KEY, *local.values(), *before.values())
 
 
 def occurrence_number(
@@ -76,7 +85,7 @@ def carry_forward(
     df: DataFrame, value: str, pos: str, name: str, keys: Sequence[str] = (), width: int = WIDTH
 ) -> DataFrame:
     """Add ``name``: the last value that is not null up to and with the row."""
-    ranged = with_range(df, pos, width)
+    ranged, keys = _keyed(with_range(df, pos, width), keys)
     latest = ranged.groupBy(*keys, RANGE).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(pos))).alias("__last")
     )
@@ -85,7 +94,7 @@ def carry_forward(
     )
     inside = ranged.withColumn("__in", F.last(value, ignorenulls=True).over(_inside(keys, pos)))
     joined = _join_ranges(inside, carried, keys)
-    return joined.withColumn(name, F.coalesce("__in", "__before")).drop(RANGE, "__in", "__before")
+    return joined.withColumn(name, F.coalesce("__in", "__before")).drop(RANGE, KEY, "__in", "__before")
 
 
 def place_in_run(
@@ -105,7 +114,7 @@ def place_in_run(
     # flagged rows that stand at the end of each range, and whether the range
     # has a break at all; already grouped by range, so without another shuffle
     tails = inside.groupBy(RANGE).agg(
-        F.max_by(F.col("__row") - F.col("__stop"), pos).alias("__tail"),
+        F.max_by(F.col("__row") - F.col("__stop"), "__row").alias("__tail"),
         F.max(F.when(F.col("__stop") > 0, 1).otherwise(0)).alias("__broken"),
     )
     up_to = W.orderBy(RANGE).rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -26,10 +26,17 @@ def with_texts(
 
     The candidates are written once and counted. When they are few the texts
     are scanned where they lie, and only those of the tags that occur; more
-    candidates meet the texts in a shuffle. The tag is part of the key.
+    candidates meet the texts in a shuffle. The tag is part of the key; an empty
+    tag comes back from a partitioned table as null, and the two are one tag.
     """
-    texts = collection.select(F.col("_id").alias("corpus_id"), "ticker", "parent_id", "text")
-    return texts.join(broadcast_if_small(candidates, broadcast_rows), ["ticker", "corpus_id"])
+    texts = collection.select(
+        F.col("_id").alias("__id"), F.col("ticker").alias("__tag"), "parent_id", "text"
+    )
+    same_tag = F.coalesce("__tag", F.lit("")) == F.coalesce("ticker", F.lit(""))
+    found = texts.join(
+        broadcast_if_small(candidates, broadcast_rows), same_tag & (F.col("__id") == F.col("corpus_id"))
+    )
+    return found.drop("__id", "__tag")
 
 
 def word_weights(collection: DataFrame) -> DataFrame:
@@ -100,15 +107,17 @@ def best_parents(scored: DataFrame, k: int = 10, group: str = "query_id") -> Dat
     """Top ``k`` parent documents per query by the best score of their chunks.
 
     Scores that are not numbers come last; ties go to the smaller id. ``group``
-    may be ``query_text`` to let queries with equal text share one list.
+    may be ``query_text`` to let queries with equal text share one list, whose
+    rows name the query that gave the best chunk (the smaller id on ties).
     """
     score = F.nullif(F.col("rerank_score"), F.lit(float("nan")))
     parent = F.col("parent_id").alias("corpus_id")
     if group == "query_id":
         best = scored.groupBy("query_id", parent).agg(F.max(score).alias("rerank_score"))
     else:
+        first = F.min(F.struct(score.isNull().alias("none"), (-score).alias("down"), "query_id"))
         best = scored.groupBy(group, parent).agg(
-            F.max(score).alias("rerank_score"), F.min("query_id").alias("query_id")
+            F.max(score).alias("rerank_score"), first["query_id"].alias("query_id")
         )
     order = W.partitionBy(group).orderBy(F.col("rerank_score").desc_nulls_last(), "corpus_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

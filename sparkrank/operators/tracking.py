@@ -109,9 +109,14 @@ def is_compared(branch: Column) -> Column:
     return ~branch.isin(*BASE_BRANCHES)
 
 
+def _score(value: Column | str = "value") -> Column:
+    """A metric that counts: null and NaN are no score."""
+    return F.nullif(F.col(value) if isinstance(value, str) else value, F.lit(float("nan")))
+
+
 def best_run_per_branch(runs: DataFrame, metric: str = "recall") -> DataFrame:
     """Best run of every branch; the smaller run name wins a tie."""
-    scored = runs.filter((F.col("metric") == metric) & F.col("value").isNotNull())
+    scored = runs.filter((F.col("metric") == metric) & _score().isNotNull())
     # negated value so that one minimum orders by value down and name up
     best = scored.groupBy("branch").agg(
         F.min(F.struct((-F.col("value")).alias("down"), "run_name")).alias("best")
@@ -121,21 +126,22 @@ def best_run_per_branch(runs: DataFrame, metric: str = "recall") -> DataFrame:
 
 def best_run(runs: DataFrame, metric: str = "recall", branch: str = "main") -> DataFrame:
     """The best run of one branch; no row when it has none."""
-    scored = runs.filter((F.col("branch") == branch) & (F.col("metric") == metric))
-    return scored.orderBy(F.col("value").desc_nulls_last(), "run_name").limit(1)
+    scored = runs.filter((F.col("branch") == branch) & (F.col("metric") == metric) & _score().isNotNull())
+    return scored.orderBy(F.col("value").desc(), "run_name").limit(1)
 
 
 def promotion_decisions(candidates: DataFrame, runs: DataFrame, metric: str = "recall") -> DataFrame:
     """Whether each candidate run beats the best main run.
 
-    Runs on the base branches are left out. Without a main run the baseline is 0.
+    Runs on the base branches are left out. Without a main run that has a score
+    the baseline is 0, and a candidate without one is skipped.
     """
     # the maximum over no row is null, so there is always one baseline row
     main_runs = runs.filter((F.col("branch") == "main") & (F.col("metric") == metric))
-    baseline = main_runs.agg(F.coalesce(F.max("value"), F.lit(0.0)).alias("main_score")).scalar()
+    baseline = main_runs.agg(F.coalesce(F.max(_score()), F.lit(0.0)).alias("main_score")).scalar()
     compared = candidates.filter(is_compared(F.col("branch")) & (F.col("metric") == metric))
     scored = compared.withColumn("main_score", baseline)
-    status = F.when(F.col("value") > F.col("main_score"), "approved").otherwise("skipped")
+    status = F.when(_score() > F.col("main_score"), "approved").otherwise("skipped")
     return scored.select(
         "run_name",
         status.alias("promotion_status"),

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import inspect
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkrank.functions import splitting
 from sparkrank.functions import text as T
+from sparkrank.functions import embedding, vectors
 from sparkrank.functions.embedding import Embedder
 from sparkrank.operators import chunking, cleaning, rerank
 from sparkrank.operators.entities import Dictionary
 from sparkrank.sources import collection as store
-from sparkrank.sources.readers import input_fingerprint
+from sparkrank.sources.readers import input_fingerprint, table_fingerprint
 
 
-# Part of the name of a stored collection: raise it when the same inputs would
-# give other chunks or vectors.
-FORMAT = 1
+# Their source is part of the key of a stored collection: after a change of a rule
+# no chunks of the old one are read.
+RULES = (T, splitting, vectors, embedding, cleaning, chunking)
 
 
 def chunk_corpus(
@@ -47,36 +50,53 @@ def embed_collection(chunks: DataFrame, embedder: Embedder) -> DataFrame:
 
 
 def build_collection(
-    docs: DataFrame, dictionary: Dictionary, embedder: Embedder, **options
+    docs: DataFrame,
+    dictionary: Dictionary | DataFrame,
+    embedder: Embedder,
+    *,
+    clean: Mapping[str, bool] | None = None,
+    **options,
 ) -> DataFrame:
-    """Raw documents (``_id, title, text, pos``) as an embedded collection."""
-    return embed_collection(
-        chunk_corpus(cleaning.clean_corpus(docs, dictionary), embedder, **options), embedder
-    )
+    """Raw documents (``_id, title, text, pos``) as an embedded collection.
+
+    ``clean`` holds options of :func:`cleaning.clean_corpus`, the others are those
+    of :func:`chunk_corpus`.
+    """
+    cleaned = cleaning.clean_corpus(docs, dictionary, **(clean or {}))
+    return embed_collection(chunk_corpus(cleaned, embedder, **options), embedder)
 
 
 class StoredCollection:
     """A collection in the shared folder with the statistics made from it.
 
     ``table`` holds the chunks and their vectors, ``weights`` the word weights
-    that scoring needs. Each is built on first use and read after that.
+    that scoring needs. Each is built on first use and read after that. The path
+    is a key of the input files and the plan on them, the dictionary, the options,
+    the name of the embedder and the source of the rules; give ``version`` where
+    the plan calls functions of your own. ``embedder`` needs a name.
     """
 
     def __init__(
         self,
         docs: DataFrame,
-        dictionary: Dictionary,
+        dictionary: Dictionary | DataFrame,
         embedder: Embedder,
         *,
+        version: str = "",
         name: str = "sparkrank-collection",
         folder: str | None = None,
         **options,
     ):
+        if embedder.name is None:
+            raise ValueError("a stored collection needs an embedder with a name")
         self.spark = docs.sparkSession
         self.build = lambda: build_collection(docs, dictionary, embedder, **options)
-        made_with = repr(
-            (FORMAT, repr(embedder), sorted(options.items()), list(dictionary.companies.items()))
-        )
+        if isinstance(dictionary, Dictionary):
+            entries = repr(list(dictionary.companies.items()))
+        else:
+            entries = table_fingerprint(dictionary).first()["md5"]
+        rules = "".join(inspect.getsource(module) for module in RULES)
+        made_with = repr((version, repr(embedder), sorted(options.items()), entries, rules))
         settings = hashlib.md5(made_with.encode()).hexdigest()
         folder = folder or store.shared_folder(self.spark)
         self.path = f"{folder}/{name}/{input_fingerprint(docs)}-{settings}"

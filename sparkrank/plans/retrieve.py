@@ -25,13 +25,13 @@ def pair_scorer(load: Callable) -> Scorer:
 
 
 def route(
-    queries: DataFrame, dictionary: DataFrame, on_unresolved: str = "carry"
+    queries: DataFrame, dictionary: DataFrame, on_unresolved: str = "carry", substring: bool = False
 ) -> DataFrame:
     """Raw queries (``_id, text, pos``) cleaned and given their ticker."""
     cleaned = cleaning.clean_queries(queries).select(
         F.col("_id").alias("query_id"), F.col("text").alias("query_text"), "pos"
     )
-    return entities.route_queries(cleaned, dictionary, on_unresolved=on_unresolved)
+    return entities.route_queries(cleaned, dictionary, on_unresolved=on_unresolved, substring=substring)
 
 
 def retrieve(
@@ -59,6 +59,8 @@ def retrieve_and_rerank(
     k: int = 100,
     top: int = 10,
     on_unresolved: str = "carry",
+    substring: bool = False,
+    group: str = "query_id",
     scorer: Scorer | None = None,
     **search,
 ) -> DataFrame:
@@ -68,7 +70,7 @@ def retrieve_and_rerank(
     query nobody judged; only judged queries are searched. ``scorer`` defaults
     to the built-in one with weights computed from the collection here.
     """
-    routed = route(queries, dictionary, on_unresolved)
+    routed = route(queries, dictionary, on_unresolved, substring)
     if judgments is not None:
         routed = evaluate.judged_only(routed, judgments)
     # read by the search, the pairing and the scoring
@@ -76,7 +78,10 @@ def retrieve_and_rerank(
     scorer = scorer or overlap_scorer(rerank.word_weights(collection))
     candidates = retrieve(routed, collection, embedder, k=k, **search)
     texts = routed.select("query_id", "query_text")
-    return rerank.best_parents(scorer(candidates, texts), top)
+    scored = scorer(candidates, texts)
+    if group not in scored.columns:
+        scored = scored.join(texts, "query_id")
+    return rerank.best_parents(scored, top, group)
 
 
 def retrieve_and_evaluate(

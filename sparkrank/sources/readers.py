@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,13 +96,16 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
 
 
 def input_fingerprint(df: DataFrame) -> str:
-    """Fingerprint of the files a table is read from, or of its rows without any.
+    """Fingerprint of the files and the plan of a table, or of its rows without files.
 
     Path, length and modification time of each file are enough to notice new
     data; no content is read, which for a large corpus would cost a full scan.
+    The plan tells tables apart that take different rows from the same files.
     """
     files = [unquote(f) for f in df.inputFiles()]
     if not files:
         return table_fingerprint(df).first()["md5"]
     found = df.sparkSession.read.format("binaryFile").load(files)
-    return table_fingerprint(found.select("path", "length", "modificationTime")).first()["md5"]
+    state = table_fingerprint(found.select("path", "length", "modificationTime")).first()["md5"]
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    return hashlib.md5(f"{state}/{plan}".encode()).hexdigest()

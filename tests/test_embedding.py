@@ -48,3 +48,13 @@ def test_user_embedder_loads_once_per_task_and_sees_batches(spark):
     df = spark.createDataFrame([("ab",), (None,), ("abc",)], "t string").coalesce(1)
     out = [r.v for r in df.select("t", Embedder(load, 2).vector("t").alias("v")).collect()]
     assert out == [[2.0, 1.0], [0.0, 1.0], [3.0, 1.0]]
+
+
+def test_forms_split_words_alike(spark):
+    texts = ["a\u00a0b c", "a\u2003b\tc\x0bd", "a\x1cb \x85 c", "\u00e9\u00e8 x", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").filter("text is not null")
+    for dim in (16, 70_000):
+        out = df.select(HashedBow(dim).vector("text").alias("a"), HashedBow(dim, native=True).vector("text").alias("b"))
+        if dim > 16:
+            out = df.filter("i < 2").select(HashedBow(dim).vector("text").alias("a"), HashedBow(dim, native=True).vector("text").alias("b"))
+        assert all(r.a == r.b for r in out.collect())

@@ -93,3 +93,29 @@ def test_vectors_are_not_shuffled_when_queries_are_few(spark):
     plan = knn.nearest(queries, stored, 5)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("MapInArrow") :]
     assert "hashpartitioning" not in below and "Cartesian" not in plan
+
+
+def test_broken_vectors_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(f"v{i:03}", "a", [float(i), 1.0]) for i in range(100)]
+    bad = [("n1", "a", [nan, 1.0]), ("n2", "a", [1.0, inf]), ("n3", "a", None), ("n4", "a", [None, 1.0])]
+    schema = "_id string, ticker string, embedding array<float>"
+    vectors = spark.createDataFrame(good + bad, schema)
+    asked = [("q1", "a", [3.2, 1.0]), ("q2", "a", None), ("q3", "a", [nan, 0.0]), ("q4", None, [96.9, 1.0])]
+    queries = spark.createDataFrame(asked, schema.replace("_id", "query_id"))
+    for metric in ("l2", "cosine"):
+        for options in ({"strategy": "broadcast"}, {"strategy": "blocks", "cell_vectors": 9, "cell_queries": 2}):
+            rows = knn.nearest(queries, vectors, 5, metric=metric, **options).collect()
+            assert sorted((r.query_id, r["rank"]) for r in rows) == [(q, i) for q in ("q1", "q4") for i in range(1, 6)]
+            if metric == "l2":
+                assert {r.corpus_id for r in rows if r.query_id == "q1"} == {"v001", "v002", "v003", "v004", "v005"}
+
+
+def test_hits_of_many_tasks_are_merged(spark):
+    rows = [(f"v{i:04}", "a", [float(i % 97), float(i % 89)]) for i in range(2_000)]
+    schema = "_id string, ticker string, embedding array<float>"
+    vectors = spark.createDataFrame(rows, schema).repartition(40)
+    queries = spark.createDataFrame([("q", "a", [0.0, 0.0])], schema.replace("_id", "query_id"))
+    found = knn.nearest(queries, vectors, 7).orderBy("rank").collect()
+    want = sorted((x * x + y * y, name) for name, _, (x, y) in rows)[:7]
+    assert [(r.distance, r.corpus_id) for r in found] == want

@@ -70,3 +70,14 @@ def test_place_in_run_with_gaps_in_positions(spark):
     df = table(spark, list(flags.items()), "pos long, f boolean")
     out = place_in_run(df, "f", "pos", width=10).orderBy("pos").collect()
     assert [r.place for r in out] == [1, 2, 0, 1, 2, 3]
+
+
+def test_rows_without_position_or_key_stay(spark):
+    rows = [(None, True, "k"), (1, True, None), (2, True, None), (50, True, None), (51, False, "k"), (52, True, "k")]
+    df = table(spark, rows, "pos long, f boolean, k string")
+    placed = {r.pos: r.place for r in place_in_run(df, "f", "pos", width=10).collect()}
+    assert placed == {None: 1, 1: 2, 2: 3, 50: 4, 51: 0, 52: 1}
+    numbered = {r.pos: r.occurrence for r in occurrence_number(df, "k", "pos", width=10).collect()}
+    assert numbered == {None: 0, 1: 0, 2: 1, 50: 2, 51: 1, 52: 2}
+    carried = carry_forward(df.withColumn("v", F.when(F.col("pos") == 1, "x")), "v", "pos", "w", ["k"], width=10)
+    assert {r.pos: r.w for r in carried.collect()} == {None: None, 1: "x", 2: "x", 50: "x", 51: None, 52: None}

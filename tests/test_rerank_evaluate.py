@@ -98,3 +98,27 @@ def test_judged_only_and_means(spark):
     assert [r.query_id for r in evaluate.judged_only(rows, judged).collect()] == ["a"]
     table = spark.createDataFrame([("a", 0.5, 1.0, 0.5), ("b", 0.0, 0.0, 0.0)], "query_id string, precision double, recall double, map double")
     assert tuple(evaluate.mean_metrics(table).first()) == (2, 0.25, 0.5, 0.25)
+
+
+def test_candidates_with_an_empty_tag_find_their_text(spark, tmp_path):
+    from sparkrank.sources import collection as store
+
+    rows = [("1a", "p1", "t", "one", [1.0], ""), ("b1", "p2", "t", "two", [2.0], "b")]
+    schema = "_id string, parent_id string, title string, text string, embedding array<float>, ticker string"
+    store.write_collection(spark.createDataFrame(rows, schema), str(tmp_path / "c"))
+    kept = store.read_collection(spark, str(tmp_path / "c"))
+    hits = spark.createDataFrame(
+        [("q", "1a", None), ("q", "b1", "b"), ("r", "1a", "")], "query_id string, corpus_id string, ticker string"
+    )
+    for limit in (10, 0):
+        out = rerank.with_texts(hits, kept, limit).collect()
+        assert sorted((r.query_id, r.corpus_id, r.text) for r in out) == [
+            ("q", "1a", "one"), ("q", "b1", "two"), ("r", "1a", "one")
+        ]
+
+
+def test_text_groups_name_the_query_of_the_best_chunk(spark):
+    rows = [("q1", "same", "p", 0.2), ("q2", "same", "p", 0.9), ("q0", "same", "p", float("nan")), ("q3", "same", "o", None)]
+    scored = spark.createDataFrame(rows, "query_id string, query_text string, parent_id string, rerank_score double")
+    out = rerank.best_parents(scored, 5, "query_text").orderBy("rank").collect()
+    assert [(r.query_id, r.corpus_id, r.rerank_score) for r in out] == [("q2", "p", 0.9), ("q3", "o", None)]

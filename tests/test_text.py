@@ -127,3 +127,7 @@ def test_version_label(spark):
 def test_judgments(spark):
     rows = spark.createDataFrame([("q1", "BRK.A20230396", 1)], "query_id string, corpus_id string, score int")
     assert cleaning.clean_judgments(rows).first()["corpus_id"] == "brka20230396"
+
+
+def test_version_keeps_its_digits(spark):
+    assert values(spark, T.bump_version, ["v1.25", "v1.04", "7", "v12.50"]) == ["v1.35", "v1.14", "v7.1", "v12.6"]

@@ -1,14 +1,15 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkrank import schemas
-from sparkrank.functions.embedding import HashedBow
+from sparkrank.functions.embedding import Embedder, HashedBow
 from sparkrank.operators import tracking
 from sparkrank.operators.entities import COMPANIES, Dictionary
 from sparkrank.plans import retrieve, track
-from sparkrank.plans.index import StoredCollection
+from sparkrank.plans.index import StoredCollection, build_collection
 from sparkrank.sources import collection as store
 from sparkrank.sources import readers, writers
 
@@ -145,8 +146,6 @@ def test_retrieval_end_to_end(spark, tmp_path):
     )
     words = Dictionary(COMPANIES)
     embedder = HashedBow(64)
-    from sparkrank.plans.index import build_collection
-
     coll = build_collection(docs, words, embedder)
     for options in ({}, {"strategy": "blocks"}):
         out = retrieve.retrieve_and_evaluate(
@@ -183,3 +182,54 @@ def test_track_and_promote(spark, tmp_path):
     assert entry.run_name == "dev_run_20250102_030405"
     assert entry.changed_files == ["x"] and entry.changed_versions == ["v1.1"]
     assert spark.read.json(f"{folder}/model_version_log").first().differs
+
+
+def test_scores_that_are_no_numbers_do_not_count(spark):
+    nan = float("nan")
+    main = runs(spark, [("m1", "main", nan), ("m2", "main", 0.5), ("m3", "main", None)])
+    assert tracking.best_run(main).first().run_name == "m2"
+    assert tracking.best_run_per_branch(main).first().run_name == "m2"
+    assert tracking.best_run(main.filter("run_name <> 'm2'")).count() == 0
+    new = runs(spark, [("a", "dev", 0.9), ("b", "dev", nan), ("c", "dev", None)])
+    out = {r.run_name: (r.promotion_status, r.main_score) for r in tracking.promotion_decisions(new, main).collect()}
+    assert out == {"a": ("approved", 0.5), "b": ("skipped", 0.5), "c": ("skipped", 0.5)}
+
+
+def test_stored_collection_tells_rows_models_and_options_apart(spark, tmp_path):
+    rows = [(f"AAPL2023{i}", "AAPL report", f"text number {i} about phones", i) for i in range(20)]
+    source = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "_id string, title string, text string, pos long").write.parquet(source)
+    docs = spark.read.parquet(source)
+
+    def stored(rows=docs, model=None, words=None, **options):
+        model = model or HashedBow(16)
+        return StoredCollection(rows, words or Dictionary(COMPANIES), model, folder=str(tmp_path / "shared"), **options)
+
+    few = stored(docs.filter("pos < 10"))
+    assert stored().table.count() == 20 and few.table.count() == 10
+    table = Dictionary(COMPANIES).table(spark)
+
+    def load():
+        return lambda texts: [[1.0]] * len(texts)
+
+    paths = [
+        stored().path, few.path, stored(model=HashedBow(8)).path, stored(size=100).path, stored(version="2").path,
+        stored(clean={"substring": True}).path, stored(words=table).path, stored(words=table.limit(3)).path,
+        stored(model=Embedder(load, 1, "a")).path, stored(model=Embedder(load, 1, "b")).path,
+    ]
+    assert len(set(paths)) == len(paths)
+    with pytest.raises(ValueError):
+        stored(model=Embedder(load, 1))
+
+
+def test_a_dictionary_table_of_any_size_builds_a_collection(spark):
+    many = spark.range(5_000).select(
+        F.concat(F.lit("c"), "id").alias("company"), F.concat(F.lit("t"), "id").alias("ticker"), F.col("id").alias("pos")
+    )
+    assert Dictionary.fitting(many) is many and isinstance(Dictionary.fitting(many.limit(9)), Dictionary)
+    docs = spark.createDataFrame(
+        [("T4321.1", "T4321 rose", "words", 0), ("1A", "none", "other words", 1)],
+        "_id string, title string, text string, pos long",
+    )
+    out = {r._id: r for r in build_collection(docs, many, HashedBow(8)).collect()}
+    assert len(out) == 2 and any(r.text.startswith("c4321 rose") for r in out.values())
