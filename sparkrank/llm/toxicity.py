@@ -22,6 +22,7 @@ an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -40,6 +41,7 @@ MAX_TERMS = 20_000
 CONTEXT = 8  # words on each side of a hit
 CACHED = 200_000  # tokens whose result a task keeps
 STATES = 200_000  # states of the automaton kept before it starts anew
+PAIRS = 25_000_000  # pairs of all its states, likewise: 100 MB
 
 MARKS = "\"'`.,;:!?()[]{}<>*#$%&|=«»“”„‘’-_~/\\+"
 OPENING, CLOSING = frozenset("\"'“„«‘`"), frozenset("\"'”“»’`")
@@ -78,11 +80,12 @@ class Lexicon:
         self._reset()
 
     def _reset(self):
-        self.states: dict[frozenset, int] = {}
+        self.states: dict[bytes, int] = {}
         self.moves: list[dict[str, int]] = []
         self.found: list[tuple[str, int] | None] = []
         self.stems: list[str | None] = []
-        self.sets: list[frozenset] = []
+        self.sets: list[bytes] = []  # four bytes a pair: the node's number times four, plus the errors
+        self.pairs = 0
         self.start = self._state({(0, 0)})
 
     def _state(self, pairs: Iterable[tuple[int, int]]) -> int:
@@ -95,12 +98,13 @@ class Lexicon:
                 continue
             best[node] = e
             todo.extend((child, e + 1) for child in self.next[node].values())
-        key = frozenset(best.items())
+        key = array("i", sorted(n << 2 | e for n, e in best.items())).tobytes()
         if key not in self.states:
             self.states[key] = len(self.moves)
             self.moves.append({})
             self.sets.append(key)
-            hits = [(e, self.term[n]) for n, e in key if self.term[n] is not None]
+            self.pairs += len(best)
+            hits = [(e, self.term[n]) for n, e in best.items() if self.term[n] is not None]
             words = sorted((e, t) for e, t in hits if e == 0 or not self.terms[t][0] and e <= errors_allowed(t))
             self.found.append((words[0][1], words[0][0]) if words else None)
             stems = sorted(t for e, t in hits if e == 0 and self.terms[t][0])
@@ -109,14 +113,15 @@ class Lexicon:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The closest term and its distance; a stem that begins the word counts as distance 0."""
-        if len(self.moves) > STATES:
+        if len(self.moves) > STATES or self.pairs > PAIRS:
             self._reset()
         state, stem = self.start, None
         for letter in word:
             known = self.moves[state].get(letter)
             if known is None:
                 pairs = []
-                for node, e in self.sets[state]:
+                for packed in memoryview(self.sets[state]).cast("i"):
+                    node, e = packed >> 2, packed & 3
                     child = self.next[node].get(letter)
                     if child is not None:
                         pairs.append((child, e))
