@@ -51,8 +51,23 @@ ADDRESS = frozenset("you your youre u ur tu vous te toi du dich ihr usted vos".s
 FEATURES = ("exact", "stem", "misspelled", "quoted", "addressed", "density", "strength")
 
 
+MAX_ERRORS = 2
+
+
 def errors_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 8 else MAX_ERRORS
+
+
+class _State:
+    """A state of the automaton: its pairs of node and errors, four bytes each, and what ends in it."""
+
+    __slots__ = ("pairs", "moves", "found", "stem")
+
+    def __init__(self, pairs: bytes):
+        self.pairs = pairs
+        self.moves: dict[str, _State] = {}
+        self.found: tuple[str, int] | None = None
+        self.stem: str | None = None
 
 
 class Lexicon:
@@ -77,65 +92,63 @@ class Lexicon:
                 node = self.next[node][letter]
                 self.most[node] = max(self.most[node], allowed)
             self.term[node] = term
+        # children of each node that may be reached with so many errors
+        self.below = [[tuple(c for c in n.values() if self.most[c] >= e) for n in self.next] for e in range(MAX_ERRORS + 1)]
         self._reset()
 
     def _reset(self):
-        self.states: dict[bytes, int] = {}
-        self.moves: list[dict[str, int]] = []
-        self.found: list[tuple[str, int] | None] = []
-        self.stems: list[str | None] = []
-        self.sets: list[bytes] = []  # four bytes a pair: the node's number times four, plus the errors
+        self.states: dict[bytes, _State] = {}
         self.pairs = 0
-        self.start = self._state({(0, 0)})
+        self.start = self._state([[0], [], []])
 
-    def _state(self, pairs: Iterable[tuple[int, int]]) -> int:
-        """Number of a state: the pairs, with letters of terms left out at one error each."""
+    def _state(self, levels: list[list[int]]) -> _State:
+        """The state of the nodes at 0, 1 and 2 errors, with letters of terms left out at one error each."""
         best: dict[int, int] = {}
-        todo = list(pairs)
-        while todo:
-            node, e = todo.pop()
-            if e > self.most[node] or best.get(node, 9) <= e:
-                continue
-            best[node] = e
-            todo.extend((child, e + 1) for child in self.next[node].values())
+        for e, nodes in enumerate(levels):
+            further = levels[e + 1] if e < MAX_ERRORS else None
+            for node in nodes:
+                if node not in best and self.most[node] >= e:
+                    best[node] = e
+                    if further is not None:
+                        further.extend(self.below[e + 1][node])
         key = array("i", sorted(n << 2 | e for n, e in best.items())).tobytes()
-        if key not in self.states:
-            self.states[key] = len(self.moves)
-            self.moves.append({})
-            self.sets.append(key)
+        state = self.states.get(key)
+        if state is None:
+            state = self.states[key] = _State(key)
             self.pairs += len(best)
             hits = [(e, self.term[n]) for n, e in best.items() if self.term[n] is not None]
             words = sorted((e, t) for e, t in hits if e == 0 or not self.terms[t][0] and e <= errors_allowed(t))
-            self.found.append((words[0][1], words[0][0]) if words else None)
-            stems = sorted(t for e, t in hits if e == 0 and self.terms[t][0])
-            self.stems.append(stems[0] if stems else None)
-        return self.states[key]
+            state.found = (words[0][1], words[0][0]) if words else None
+            state.stem = min((t for e, t in hits if e == 0 and self.terms[t][0]), default=None)
+        return state
+
+    def _move(self, state: _State, letter: str) -> _State:
+        levels: list[list[int]] = [[] for _ in range(MAX_ERRORS + 1)]
+        for packed in memoryview(state.pairs).cast("i"):
+            node, e = packed >> 2, packed & 3
+            child = self.next[node].get(letter)
+            if child is not None:
+                levels[e].append(child)
+            if e < MAX_ERRORS:
+                levels[e + 1].append(node)  # a letter too many
+                levels[e + 1].extend(self.below[e + 1][node])  # another letter
+        state.moves[letter] = following = self._state(levels)
+        return following
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The closest term and its distance; a stem that begins the word counts as distance 0."""
-        if len(self.moves) > STATES or self.pairs > PAIRS:
+        if len(self.states) > STATES or self.pairs > PAIRS:
             self._reset()
         state, stem = self.start, None
         for letter in word:
-            known = self.moves[state].get(letter)
-            if known is None:
-                pairs = []
-                for packed in memoryview(self.sets[state]).cast("i"):
-                    node, e = packed >> 2, packed & 3
-                    child = self.next[node].get(letter)
-                    if child is not None:
-                        pairs.append((child, e))
-                    pairs.append((node, e + 1))  # a letter too many
-                    pairs.extend((other, e + 1) for c, other in self.next[node].items() if c != letter)
-                known = self.moves[state][letter] = self._state(pairs)
-            state = known
-            if self.stems[state]:
-                stem = self.stems[state]
-            if not self.sets[state]:
+            state = state.moves.get(letter) or self._move(state, letter)
+            if state.stem:
+                stem = state.stem
+            if not state.pairs:
                 break
         if stem:
             return stem, 0
-        return self.found[state]
+        return state.found
 
 
 class Scorer:
@@ -146,13 +159,18 @@ class Scorer:
         self.terms = terms
         self.weights = weights
         self.known: dict[str, tuple[str, int] | None] = {}
+        self.older: dict[str, tuple[str, int] | None] = {}
 
     def hit(self, token: str) -> tuple[str, int] | None:
+        """What a token is found as; tokens used since the last change of the two halves are kept."""
         if token not in self.known:
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            word = token.strip(MARKS).lower()
-            self.known[token] = self.lexicon.match(word) if 3 <= len(word) <= 40 else None
+            if len(self.known) >= CACHED // 2:
+                self.older, self.known = self.known, {}
+            found = self.older.get(token, False)
+            if found is False:
+                word = token.strip(MARKS).lower()
+                found = self.lexicon.match(word) if 3 <= len(word) <= 40 else None
+            self.known[token] = found
         return self.known[token]
 
     def features(self, text: str) -> list[float]:
