@@ -56,17 +56,34 @@ def drop_stored(df: DataFrame) -> None:
         _file_system(df.sparkSession, path, lambda fs, p: fs.delete(p, True))
 
 
+def _worker_state() -> dict:
+    name = "sparkrank_worker_state"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+def release() -> None:
+    """Free what ``per_process`` keeps; operators without such a thing call it, as workers serve them all."""
+    kept = _worker_state()
+    for other in [k for k, v in kept.items() if isinstance(v, tuple)]:
+        del kept[other]
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, few at a time, for work that makes many objects of a row; no empty ones."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def per_process(key: str, make: Callable, version: str = ""):
     """What ``make`` gives, kept by a worker process for its later tasks of the same ``version``.
 
     Functions travel to the workers by value, so module globals do not last. A
     process keeps one such thing at a time: another key or version frees it.
     """
-    name = "sparkrank_worker_state"
-    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    kept = _worker_state()
     if kept.get(key, ("", None))[0] != version or key not in kept:
-        for other in [k for k, v in kept.items() if isinstance(v, tuple)]:
-            del kept[other]
+        release()
         kept[key] = (version, make())
     return kept[key][1]
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import stored, strings
+from sparkrank.llm.common import release, slices, stored, strings
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -125,7 +125,8 @@ SCANNED_DDL = (
 
 
 def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    release()
+    for batch in slices(batches):
         rows = []
         for text in strings(batch.column(2)):
             spans = base_spans(text)
@@ -206,7 +207,7 @@ def cut(text: str, spans: str) -> str:
 
 def _mask(text_at: int, spans_at: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, spans = strings(batch.column(text_at)), batch.column(spans_at).to_pylist()
             new = pa.array([cut(t, s) if s else t for t, s in zip(texts, spans, strict=True)], pa.string())
             columns = [new if i == text_at else c for i, c in enumerate(batch.columns) if i != spans_at]

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import record, sorted_groups, space_blocks, stored, utf8
+from sparkrank.llm.common import record, release, sorted_groups, space_blocks, stored, utf8
 from sparkrank.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -69,6 +69,7 @@ PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
 def _fingerprints(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = np.fromiter((fingerprint(x, words) for x in utf8(batch.column(1))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found.view(np.int64))], schema=PRINTS)
