@@ -409,6 +409,18 @@ _FILTERED = _top(_squared("q.embedding", "c.embedding"), "q.ticker = c.ticker")
 # name -> (what it reads, statement)
 STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "clean_corpus": (("corpus",), "SELECT _id, title, text FROM corpus"),
+    "clean_corpus_as_coded": (
+        ("raw_corpus", "titles"),
+        f"""SELECT _id, title, {_clean("regexp_replace(title || ' ' || text, '\\s', ' ', 'g')")} AS text
+            FROM (SELECT lower(r._id) AS _id, r.text, CASE WHEN t.ticker IS NULL THEN t.title ELSE
+                    (SELECT string_agg(word, ' ' ORDER BY place) FROM
+                      (SELECT word, min(place) AS place FROM
+                        (SELECT unnest(t.named) AS word, generate_subscripts(t.named, 1) AS place)
+                       WHERE word <> '' GROUP BY word)) END AS title
+                  FROM raw_corpus r JOIN
+                    (SELECT *, regexp_split_to_array(replace(title, ticker, company), '\\s+') AS named FROM titles) t
+                    ON r.pos = t.pos)""",
+    ),
     "clean_queries": (("raw_query",), f"SELECT _id, {_clean_query('text')} AS text FROM raw_query"),
     "normalize_judgments": (("judgment",), "SELECT query_id, corpus_id, score FROM judgment"),
     "derive_tag": (
@@ -438,6 +450,16 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         ("routed",),
         "SELECT query_id, query_text, embed_text, ticker, route FROM routed",
     ),
+    "route_entities_all": (
+        ("routed",),
+        """SELECT query_id, query_text, embed_text, CASE WHEN route IN ('company', 'ticker') THEN ticker END AS ticker,
+                  CASE WHEN route IN ('company', 'ticker') THEN route ELSE 'all' END AS route FROM routed""",
+    ),
+    "route_entities_drop": (
+        ("routed",),
+        """SELECT query_id, query_text, embed_text, ticker, route FROM routed
+           WHERE route IN ('company', 'ticker')""",
+    ),
     "route_long_docs": (("marked",), "SELECT _id, n_tokens, is_long FROM marked"),
     "route_long_docs_skip": (
         ("marked",),
@@ -487,6 +509,13 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT ticker, count(*) AS n_chunks, count(DISTINCT parent_id) AS n_documents,
                   sum(length(text))::BIGINT AS n_chars FROM tagged GROUP BY ticker""",
     ),
+    "collection_chunks": (("tagged",), "SELECT _id, parent_id, ticker, md5(text) AS md5 FROM tagged"),
+    "collection_vectors": (
+        ("collection",),
+        """SELECT _id, bucket, round(weight::DOUBLE, 6) AS weight FROM
+             (SELECT _id, generate_subscripts(embedding, 1)::INT - 1 AS bucket, unnest(embedding) AS weight FROM collection)
+           WHERE weight > 0""",
+    ),
     "repeated_ids": (
         (),
         "SELECT source || '-' || lang AS _id, count(*) AS n FROM documents GROUP BY source, lang HAVING count(*) > 1",
@@ -507,6 +536,15 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         ("reranked",),
         "SELECT query_id, corpus_id, rerank_score, rank FROM reranked",
     ),
+    "rerank_by_text": (
+        ("score", "asked"),
+        """SELECT query_id, corpus_id, rerank_score, rank FROM (
+             SELECT first(s.query_id ORDER BY s.score DESC, s.query_id) AS query_id, s.parent_id AS corpus_id,
+                    max(s.score) AS rerank_score,
+                    row_number() OVER (PARTITION BY a.query_text ORDER BY max(s.score) DESC, s.parent_id)::INT AS rank
+             FROM score s JOIN asked a ON s.query_id = a.query_id GROUP BY a.query_text, s.parent_id)
+           WHERE rank <= 10""",
+    ),
     "evaluate_retrieval": (
         ("reranked", "judgment"),
         _metrics("reranked", "judgment", "ORDER BY j.query_id"),
@@ -589,6 +627,12 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT _id, generate_subscripts(s, 1)::INT - 1 AS sentence_no, unnest(s) AS sentence
            FROM (SELECT _id, list_filter(string_split(text, chr(10)), lambda s: s <> '') AS s FROM raw_corpus)""",
     ),
+    "udf_size_split": (
+        ("segment",),
+        """SELECT _id, segment_no, CASE WHEN length(segment) > 300 THEN i ELSE -1 END::INT AS piece_no,
+                  substr(segment, 300 * i + 1, 300) AS text
+           FROM (SELECT *, unnest(range((length(segment) + 299) // 300)) AS i FROM segment)""",
+    ),
     "udf_count": (
         ("corpus",),
         """SELECT _id, n_tokens, n_tokens > 300 AS is_long

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank.catalog import inputs
@@ -69,6 +69,15 @@ def clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("_id", "title", "text")
 
 
+@query
+def clean_corpus_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The literal forms: ids only in lower case, tickers also inside words, line breaks as spaces."""
+    known = entities.Dictionary.fitting(inputs.dictionary(spark, sf_dir))
+    docs = inputs.raw_corpus(spark, sf_dir)
+    cleaned = cleaning.clean_corpus(docs, known, as_coded_ids=True, substring=True, newline_as_space=True)
+    return cleaned.select("_id", "title", "text")
+
+
 @query
 def clean_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_queries(inputs.raw_queries(spark, sf_dir)).select("_id", "text")
@@ -139,6 +148,22 @@ def route_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed(spark, sf_dir).select("query_id", "query_text", "embed_text", "ticker", "route")
 
 
+def _routed(spark: SparkSession, sf_dir: str, on_unresolved: str) -> DataFrame:
+    asked, names = inputs.raw_queries(spark, sf_dir), inputs.dictionary(spark, sf_dir)
+    found = retrieve.route(asked, names, on_unresolved)
+    return found.select("query_id", "query_text", "embed_text", "ticker", "route")
+
+
+@query
+def route_entities_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed(spark, sf_dir, "all")
+
+
+@query
+def route_entities_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed(spark, sf_dir, "drop")
+
+
 # long documents and chunks
 
 
@@ -219,6 +244,21 @@ def build_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def collection_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = collection(spark, sf_dir).table
+    return stored.select("_id", "parent_id", "ticker", F.md5("text").alias("md5"))
+
+
+@query
+def collection_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = collection(spark, sf_dir).table
+    cells = stored.select("_id", F.posexplode("embedding").alias("bucket", "weight"))
+    return cells.filter("weight > 0").select(
+        "_id", "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight")
+    )
+
+
 @query
 def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by source and language: how often each one repeats."""
@@ -294,6 +334,16 @@ def judged_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reranked(spark, sf_dir, "query_id")
+
+
+@query
+def rerank_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries of equal text share one list."""
+    return _reranked(spark, sf_dir, "query_text")
+
+
+def _reranked(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
     stored = collection(spark, sf_dir)
     ranked = retrieve.retrieve_and_rerank(
         inputs.raw_queries(spark, sf_dir),
@@ -301,6 +351,7 @@ def rerank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.dictionary(spark, sf_dir),
         stored.table,
         embedder(),
+        group=group,
         scorer=retrieve.overlap_scorer(stored.weights),
     )
     return ranked.select("query_id", "corpus_id", "rerank_score", "rank")
@@ -450,6 +501,19 @@ def udf_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("_id", "sentence_no", "sentence")
 
 
+def _every_300(segment: Column) -> Column:
+    starts = F.sequence(F.lit(1), F.length(segment), F.lit(300))
+    return F.transform(starts, lambda i: F.substring(segment, i, F.lit(300)))
+
+
+@query
+def udf_size_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A size splitter of the user's own: every 300 characters, without an overlap."""
+    pieces = chunking.size_pieces(segments(spark, sf_dir), split=_every_300)
+    piece_no = F.coalesce("piece_no", F.lit(-1)).alias("piece_no")
+    return pieces.select("_id", "segment_no", piece_no, "text")
+
+
 @query
 def udf_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A token counter of the user's own: one token per four characters."""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,23 +61,21 @@ def join_segments(sentences: Column, similarity: Column, threshold: float) -> Co
     return F.when(F.size(sentences) > 0, joined).otherwise(F.array().cast("array<string>"))
 
 
-def _slices(word: Column, size: int) -> Column:
-    """A word as itself, or cut every ``size`` characters when it is longer."""
-    starts = F.sequence(F.lit(1), F.length(word), F.lit(size))
-    cut = F.transform(starts, lambda i: F.substring(word, i, F.lit(size)))
-    return F.when(F.length(word) > size, cut).otherwise(F.array(word))
-
-
-def _overlap(piece: Column, room: Column) -> Column:
-    """Longest run of last words of a piece that fits ``room`` characters.
-
-    Never the whole piece: the run must follow a space.
-    """
-    tail = F.when(room > 0, F.right(piece, room + 1)).otherwise("")
-    return let(
-        tail,
-        lambda t: F.when(F.instr(t, " ") > 0, F.substring(t, F.instr(t, " ") + 1, F.length(t))).otherwise(""),
-    )
+def pack_words(words: Iterable[str], size: int, overlap: int) -> list[str]:
+    """Words in order as pieces of at most ``size`` characters, in one pass."""
+    pieces: list[str] = []
+    piece: deque[str] = deque()
+    length = -1  # of the words joined by spaces
+    for word in words:
+        for part in (word[i : i + size] for i in range(0, len(word), size)):
+            if piece and length + 1 + len(part) > size:
+                pieces.append(" ".join(piece))
+                length -= 1 + len(piece.popleft())
+                while piece and length > min(overlap, size - 1 - len(part)):
+                    length -= 1 + len(piece.popleft())
+            piece.append(part)
+            length += 1 + len(part)
+    return [*pieces, " ".join(piece)] if piece else pieces
 
 
 def size_pieces(text: Column | str, size: int = 300, overlap: int = 30) -> Column:
@@ -87,25 +89,12 @@ def size_pieces(text: Column | str, size: int = 300, overlap: int = 30) -> Colum
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
     text = as_column(text)
-    parts = F.flatten(F.transform(words(text), lambda w: _slices(w, size)))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
-
-    def step(state: Column, word: Column) -> Column:
-        cur = state["cur"]
-        fits = F.length(cur) + 1 + F.length(word) <= size
-        carried = _overlap(cur, F.least(F.lit(overlap), F.lit(size - 1) - F.length(word)))
-        grown = F.when(cur == "", word).when(fits, F.concat(cur, F.lit(" "), word)).otherwise(
-            let(carried, lambda c: F.when(c == "", word).otherwise(F.concat(c, F.lit(" "), word)))
-        )
-        done = F.when((cur == "") | fits, state["done"]).otherwise(
-            F.concat(state["done"], F.array(cur))
-        )
-        return F.struct(done.alias("done"), grown.alias("cur"))
-
-    packed = F.aggregate(
-        parts,
-        start,
-        step,
-        lambda s: F.when(s["cur"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["cur"]))),
-    )
-    return F.when(F.length(text) <= size, F.filter(F.array(text), lambda t: F.trim(t) != "")).otherwise(packed)
+
+    @F.pandas_udf("array<string>")
+    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([None if w is None else pack_words(w, size, overlap) for w in batch], index=batch.index, dtype=object)
+
+    # only words of texts over the limit go to Python
+    cut = packed(F.when(F.length(text) > size, words(text)))
+    return F.when(F.length(text) <= size, F.filter(F.array(text), lambda t: F.trim(t) != "")).otherwise(cut)

@@ -80,7 +80,7 @@ def size_pieces(
     *,
     size: int = PIECE_SIZE,
     overlap: int = PIECE_OVERLAP,
-    split: Callable[[str], Column] | None = None,
+    split: Callable[[Column], Column] | None = None,
     only: str | None = None,
 ) -> DataFrame:
     """Segments over ``size`` characters cut into overlapping pieces.
@@ -88,7 +88,8 @@ def size_pieces(
     Adds ``piece_no`` (null for a segment that stays whole) and ``text``.
     Segments without the flag ``only`` stay whole.
     """
-    pieces = split("segment") if split else splitting.size_pieces("segment", size, overlap)
+    segment = F.when(F.col(only), F.col("segment")) if only else F.col("segment")
+    pieces = split(segment) if split else splitting.size_pieces(segment, size, overlap)
     whole = F.length("segment") <= size
     if only:
         whole = whole | ~F.col(only)
@@ -172,6 +173,7 @@ def chunk_documents(
     size: int = PIECE_SIZE,
     overlap: int = PIECE_OVERLAP,
     split: Callable[[str], Column] = T.sentences,
+    split_segment: Callable[[Column], Column] | None = None,
     width: int = WIDTH,
 ) -> DataFrame:
     """Marked documents as chunks, ids numbered: one pass without a shuffle.
@@ -186,7 +188,7 @@ def chunk_documents(
     segments = semantic_segments(
         docs, embedder, threshold=threshold, split=split, only="is_long", whole=True
     )
-    pieces = size_pieces(segments, size=size, overlap=overlap, only="is_long")
+    pieces = size_pieces(segments, size=size, overlap=overlap, split=split_segment, only="is_long")
     number = F.when(F.col("is_long"), F.col("segment_no"))
     pieces = pieces.withColumn("segment_no", number)
 

@@ -33,6 +33,8 @@ def chunk_corpus(
     size: int = chunking.PIECE_SIZE,
     overlap: int = chunking.PIECE_OVERLAP,
     count: Callable[[str], Column] = T.word_count,
+    split: Callable[[str], Column] = T.sentences,
+    split_segment: Callable[[Column], Column] | None = None,
     skip_as_coded: bool = False,
 ) -> DataFrame:
     """Clean documents (``_id, title, text, pos``) as one table of tagged chunks."""
@@ -40,7 +42,7 @@ def chunk_corpus(
     if skip_as_coded:
         marked = chunking.skip_after_removal(marked)
     chunks = chunking.chunk_documents(
-        marked, embedder, threshold=threshold, size=size, overlap=overlap
+        marked, embedder, threshold=threshold, size=size, overlap=overlap, split=split, split_segment=split_segment
     )
     return chunking.tagged(chunks).select("_id", "parent_id", "title", "text", "ticker")
 

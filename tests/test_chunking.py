@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -46,6 +47,14 @@ def test_packing_matches_loop(spark):
             assert all(len(p) <= size for p in got)
 
 
+def test_packing_takes_one_pass():
+    words = ["word"] * 2_000_000
+    started = time.monotonic()
+    packed = splitting.pack_words(words, 300, 30)
+    assert time.monotonic() - started < 20
+    assert sum(len(p.split()) for p in packed) > len(words) and max(map(len, packed)) <= 300
+
+
 def test_packing_edges(spark):
     assert pieces(spark, ["", "   ", "short", "y" * 45], 20, 5) == [[], [], ["short"], ["y" * 20, "y" * 20, "y" * 5]]
 
