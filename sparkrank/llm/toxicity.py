@@ -73,15 +73,16 @@ class _State:
 class Lexicon:
     """The automaton of all words within the allowed distance of a term, or that begin with a stem."""
 
-    def __init__(self, terms: dict[str, tuple[bool, float]]):
-        """``terms``: whether a term is a stem, and its weight."""
+    def __init__(self, terms: dict[str, tuple]):
+        """``terms``: whether a term is a stem, its weight, and a third value if a stem is also a word."""
         self.next: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.most = [0]  # errors allowed by some term below a node
         self.terms = terms
-        for term, (stem, _) in sorted(terms.items()):
+        self.words = {t for t, (stem, _, *word) in terms.items() if word or not stem}
+        for term in sorted(terms):
             node = 0
-            allowed = 0 if stem else errors_allowed(term)
+            allowed = errors_allowed(term) if term in self.words else 0
             self.most[0] = max(self.most[0], allowed)
             for letter in term:
                 if letter not in self.next[node]:
@@ -117,7 +118,7 @@ class Lexicon:
             state = self.states[key] = _State(key)
             self.pairs += len(best)
             hits = [(e, self.term[n]) for n, e in best.items() if self.term[n] is not None]
-            words = sorted((e, t) for e, t in hits if e == 0 or not self.terms[t][0] and e <= errors_allowed(t))
+            words = sorted((e, t) for e, t in hits if e == 0 or t in self.words and e <= errors_allowed(t))
             state.found = (words[0][1], words[0][0]) if words else None
             state.stem = min((t for e, t in hits if e == 0 and self.terms[t][0]), default=None)
         return state
@@ -136,7 +137,7 @@ class Lexicon:
         return following
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The closest term and its distance; a stem that begins the word counts as distance 0."""
+        """The closest term and its distance; a stem that begins the word counts as distance 0, after the word itself."""
         if len(self.states) > STATES or self.pairs > PAIRS:
             self._reset()
         state, stem = self.start, None
@@ -146,7 +147,7 @@ class Lexicon:
                 stem = state.stem
             if not state.pairs:
                 break
-        if stem:
+        if stem and not (state.found and state.found[1] == 0):
             return stem, 0
         return state.found
 
@@ -154,7 +155,7 @@ class Lexicon:
 class Scorer:
     """Features of texts, and scores once there are weights."""
 
-    def __init__(self, terms: dict[str, tuple[bool, float]], weights: np.ndarray | None = None):
+    def __init__(self, terms: dict[str, tuple], weights: np.ndarray | None = None):
         self.lexicon = Lexicon(terms)
         self.terms = terms
         self.weights = weights
@@ -180,7 +181,7 @@ class Scorer:
         exact = stem = wrong = quoted = addressed = strength = 0.0
         for i in hits:
             term, distance = self.hit(tokens[i])
-            is_stem, weight = self.terms[term]
+            is_stem, weight = self.terms[term][:2]
             before, after = tokens[max(0, i - CONTEXT) : i + 1], tokens[i : i + 1 + CONTEXT]
             near = {t.strip(MARKS).lower() for t in before + after}
             inside = any(t[0] in OPENING for t in before) and any(t.rstrip(".,;:!?")[-1:] in CLOSING for t in after)
@@ -228,8 +229,12 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"term": list(terms), "stem": list(stems), "toxic": pa.array(toxic, pa.int32()), "n": list(counts.values())})
 
 
-def learn_terms(sample: DataFrame) -> dict[str, tuple[bool, float]]:
-    """Terms that mark toxic documents in a bounded ``sample`` (text, toxic)."""
+def learn_terms(sample: DataFrame) -> dict[str, tuple]:
+    """Terms that mark toxic documents in a bounded ``sample`` (text, toxic).
+
+    Words stay whether or not a stem begins them, as only words may be misspelled;
+    of stems that begin each other the shortest stays.
+    """
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     counts = sample.select("text", "toxic").mapInArrow(_word_counts, "term string, stem boolean, toxic int, n long")
@@ -237,13 +242,12 @@ def learn_terms(sample: DataFrame) -> dict[str, tuple[bool, float]]:
     odds = ((F.col("p") + 0.5) / (pos + 1)) / ((F.col("q") + 0.5) / (neg + 1))
     top = by_term.filter(F.col("p") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
     rows = top.orderBy(F.desc("p"), "term", "stem").limit(MAX_TERMS).collect()
-    terms: dict[str, tuple[bool, float]] = {}
+    terms: dict[str, tuple] = {}
     for r in sorted(rows, key=lambda r: (len(r.term), r.term, r.stem)):
-        covered = any(terms.get(r.term[:n], (False,))[0] for n in range(STEM[0], len(r.term)))
-        if r.stem and not covered:
-            terms[r.term] = (True, float(np.log(r.odds)))
-        elif not r.stem and not covered and r.term not in terms:
+        if not r.stem:
             terms[r.term] = (False, float(np.log(r.odds)))
+        elif not any(terms.get(r.term[:n], (False,))[0] for n in range(STEM[0], len(r.term))):
+            terms[r.term] = (True, float(np.log(r.odds)), *(["word"] if r.term in terms else []))
     return terms
 
 

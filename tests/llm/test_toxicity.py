@@ -44,6 +44,27 @@ def test_stems_and_context():
     assert quoted[names.index("exact")] == 0 < quoted[names.index("quoted")]
 
 
+def test_misspelled_learned_terms(spark):
+    toxic = ["you are a clown and worthless", "such a clown, worthless", "worthless clown ahead", "clown worthless pig pigs"] * 2
+    sample = spark.createDataFrame([(t, 1) for t in toxic] + [("a pleasant town with a closed road", 0)] * 40, "text string, toxic int")
+    terms = toxicity.learn_terms(sample)
+    lexicon = toxicity.Lexicon(terms)
+    assert terms["clow"][0] and not terms["clown"][0]
+    for word, term in (("cl0wn", "clown"), ("clwn", "clown"), ("vvorthless", "worthless"), ("w0rthles", "worthless")):
+        assert lexicon.match(word) == (term, distance(word, term))
+    # stems only add: a word itself is exact, what else a stem begins is found at no distance
+    assert lexicon.match("clown") == ("clown", 0) and lexicon.match("clownish") == ("clow", 0)
+    scorer, names = toxicity.Scorer(terms), toxicity.FEATURES
+    assert scorer.features("a clown")[names.index("exact")] > 0 and scorer.features("a cl0wn")[names.index("misspelled")] > 0
+    assert lexicon.match("town") is None
+
+
+def test_stem_that_is_also_a_word():
+    lexicon = toxicity.Lexicon({"clown": (True, 3.0, "word"), "moron": (True, 3.0)})
+    assert lexicon.match("clownish") == ("clown", 0) and lexicon.match("cl0wn") == ("clown", 1)
+    assert lexicon.match("moronic") == ("moron", 0) and lexicon.match("m0ron") is None
+
+
 def test_held_out_accuracy(spark):
     path = "/root/testdata/sf0.01"
     rows = {r.doc_id: r for r in QUERIES["op8_toxicity"](spark, path).collect()}
