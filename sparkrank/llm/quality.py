@@ -9,7 +9,7 @@ each view is calibrated on labelled rows kept aside, and the calibrated views ar
 into the score of every document.
 
 The text is read once; features are a narrow table that the rounds read. Classifiers are
-fitted on bounded samples: ``SAMPLE`` labelled rows, and ``HANDED`` rows of each class, view and
+fitted on bounded samples: ``SAMPLE`` labelled rows, of rows that share an id the one with the smallest hash, and ``HANDED`` rows of each class, view and
 round; what is counted and scored is the whole corpus.
 
 Defined cases: null and empty texts have the features of an empty text; null source and
@@ -138,8 +138,10 @@ def train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sample:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)")
     known = known.filter(~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "chosen")  # bounded: two numbers a row
-    rows = features.join(F.broadcast(chosen), "doc_id").dropDuplicates(["row"]).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.row))
+    # one row for each id, combined before the shuffle
+    least = features.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("row", "text_view", "meta_view")).alias("least"))
+    rows = least.select("doc_id", "quality", "least.*").collect()
+    rows.sort(key=lambda r: r.doc_id)
     y = np.array([r.quality for r in rows], float)
     if len(set(y.tolist())) < 2:
         share = float(np.clip(y.mean() if len(y) else 0.5, 1e-6, 1 - 1e-6))

@@ -9,7 +9,7 @@ words of reporting) from abuse (address in the second person). Counts of
 hits by kind are the features of a logistic regression, which gives the score.
 
 Lexicon and weights are learned from a bounded sample: at most ``SAMPLE`` labelled rows
-of each class, taken by the hash of the id. Weights are learned from each half of it with the
+of each class, taken by the hash of the id, and of rows that share an id the one whose text has the smallest hash. Weights are learned from each half of it with the
 lexicon of the other half; the lexicon that scores comes from both.
 Every document is scored, on its whole text and nothing else.
 
@@ -252,14 +252,15 @@ def learn_terms(sample: DataFrame) -> dict[str, tuple]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """``text, toxic, part`` of at most ``size`` labelled rows of each class that are not held out."""
+    """``text, toxic, part`` of at most ``size`` labelled rows of each class that are not held out, one for each id."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     known = known.filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size) for t in (0, 1)]
     chosen = stored(picked[0].union(picked[1]), "chosen")  # at most 2 * size rows of two numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("part"))
-    return stored(rows, "labelled")
+    # combined before the shuffle, so a frequent id is one row of a task
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row"))
+    return stored(rows.select("row.text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("part")), "labelled")
 
 
 def _features(terms):

@@ -28,3 +28,13 @@ def test_blocks_of_a_text_add_up(monkeypatch):
     whole = quality.text_features(text)
     monkeypatch.setattr(quality, "space_blocks", lambda data: [data[:600], data[600:]] if data[600:601].isspace() else [data])
     assert np.allclose(quality.text_features(text), whole)
+
+
+def test_repeated_ids_are_one_labelled_row(spark, monkeypatch):
+    """One document in many different rows does not dominate the fit, nor is it collected whole."""
+    docs = spark.createDataFrame([(1, f"text {i}", "s", "en") for i in range(50)] + [(i, f"other {i}", "s", "en") for i in range(2, 30)], "doc_id long, text string, source string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality").distinct()
+    sizes, fit = [], quality.fit_logistic
+    monkeypatch.setattr(quality, "fit_logistic", lambda x, y, **k: (sizes.append(len(y)), fit(x, y, **k))[1])
+    quality.train(quality.views(docs), labels, rounds=0)
+    assert sizes and max(sizes) <= 29

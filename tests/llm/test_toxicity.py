@@ -84,3 +84,12 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.scored(odd_docs, labels.filter("false")).filter("predicted = 0").count() == odd_docs.count()
     assert toxicity.scored(no_docs, labels).count() == 0
     assert toxicity.civil(odd_docs, labels.filter("toxic = 0")).columns == odd_docs.columns
+
+
+def test_repeated_ids_are_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(i, "other") for i in range(2, 30)] + [(2, None)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic").distinct()
+    held = {r.doc_id for r in docs.filter(toxicity.held_out()).select("doc_id").collect()}
+    assert 1 not in held
+    sample = toxicity.labelled_sample(docs, labels).collect()
+    assert len(sample) == 29 - len(held) and sum((r.text or "").startswith("text") for r in sample) == 1
