@@ -92,9 +92,10 @@ def _views(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def views(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, text_view, meta_view`` for every row; ``row`` stands for its contents."""
+    """``doc_id, row, text_view, meta_view`` for every row; ``row`` stands for its text, source and language, so copies share it."""
     cols = [F.col(c).cast("string").alias(c) for c in ("text", "source", "lang")]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text", "source", "lang").alias("row"), *cols)
+    nulls = [F.col(c).isNull() for c in ("source", "lang")]  # the hash passes over nulls
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", "source", "lang", *nulls).alias("row"), *cols)
     return rows.mapInArrow(_views, "doc_id long, row long, text_view array<float>, meta_view array<float>")
 
 

@@ -38,3 +38,23 @@ def test_repeated_ids_are_one_labelled_row(spark, monkeypatch):
     monkeypatch.setattr(quality, "fit_logistic", lambda x, y, **k: (sizes.append(len(y)), fit(x, y, **k))[1])
     quality.train(quality.views(docs), labels, rounds=0)
     assert sizes and max(sizes) <= 29
+
+
+def test_copies_are_handed_over_once(spark, monkeypatch):
+    """Copies of the surest text under many ids do not fill the exchange."""
+    good, bad = "Plain words of a calm page, with commas. ", "$$ 99 !! XX 77 ## "
+    known = [(i, (good if i % 2 else bad) * (3 + i % 5), "ab"[i % 2], "en") for i in range(40)]
+    free = [(i, good * 9, "b", "en") for i in range(100, 160)] + [(i, good * (4 + i % 7), "b", "en") for i in range(200, 207)]
+    docs = spark.createDataFrame(known + free, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "SURE", 0.5)
+    handed, arrays = [], quality._arrays
+
+    def seen(rows, label=None):
+        if label is not None:
+            handed.append([tuple(r.text_view) for r in rows])
+        return arrays(rows, label)
+
+    monkeypatch.setattr(quality, "_arrays", seen)
+    quality.train(quality.views(docs), labels, rounds=1, handed=5)
+    assert handed and all(len(set(h)) == len(h) for h in handed) and max(map(len, handed)) == 5
