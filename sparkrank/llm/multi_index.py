@@ -3,7 +3,7 @@
 Vectors are cut into two halves, each quantised by its own k-means, so a cell is a pair
 of centroids. A query visits cells in the order of the summed distances of its halves to
 the centroids, found with a heap over the sorted centroids of both sides, until the
-cells hold the wanted share of all entries. Entries of visited cells are ranked by their exact
+cells hold the wanted share of all entries, and ``k + 1`` at least. Entries of visited cells are ranked by their exact
 distances.
 
 Codebooks are fitted on a bounded sample (``SAMPLE`` distinct vectors by the hash of
@@ -175,7 +175,7 @@ def nearest(
     sizes = F.broadcast(spark.createDataFrame([(c, -(-int(n) // BLOCK)) for c, n in enumerate(books.counts) if n], "cell long, blocks int"))
     dealt = assigned.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     stock = dealt.select("cell", "block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(False).alias("asks"), "id", "vector")
-    visits = asking.select("id", "vector").mapInArrow(_visit(shared, visit * int(books.counts.sum())), "id long, cells array<long>, vector binary")
+    visits = asking.select("id", "vector").mapInArrow(_visit(shared, max(visit * int(books.counts.sum()), k + 1)), "id long, cells array<long>, vector binary")
     visits = visits.select("id", "vector", F.explode("cells").alias("cell")).join(sizes, "cell")
     visits = visits.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), F.lit(True).alias("asks"), "id", "vector")
     keys = ["cell", "block", "part"]

@@ -1,6 +1,7 @@
 """Neighbours against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sparkrank.llm import multi_index
@@ -61,3 +62,11 @@ def test_pairs_come_in_order():
     assert sorted(visited) == sorted(set(cells.tolist()))
     assert np.all(np.diff(sums[visited]) >= 0)
     assert sum(books.counts[c] for c in books.visit(x[0], 100)) >= 100
+
+
+@pytest.mark.parametrize("n", [3, 5, 11, 15])
+def test_few_distinct_vectors_give_all_candidates(spark, n):
+    rng = np.random.default_rng(n)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(n)], "vec_id long, embedding array<double>")
+    counts = {r.query_id: r["count"] for r in multi_index.nearest(df, F.lit(True)).groupBy("query_id").count().collect()}
+    assert counts == {i: min(10, n - 1) for i in range(n)}
