@@ -64,7 +64,7 @@ def fingerprint(data: bytes, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits * 2 > total, bitorder="little").view("<u8")[0])
 
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("key", pa.int64())])
 
 
 def _fingerprints(words: int):
@@ -72,15 +72,17 @@ def _fingerprints(words: int):
         release()
         for batch in batches:
             found = np.fromiter((fingerprint(x, words) for x in utf8(batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found.view(np.int64))], schema=PRINTS)
+            columns = [batch.column(0).cast(pa.int64()), pa.array(found.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(PRINTS)[: len(columns)]))
 
     return run
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp`` for every row; ``fp`` holds the 64 bits as a signed number."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_fingerprints(words), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, key: str | None = None) -> DataFrame:
+    """``doc_id, fp`` and, if a ``key`` column is named, ``key`` for every row; ``fp`` holds the 64 bits as a signed number."""
+    cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    texts = docs.select(*cols, *([F.col(key).alias("key")] if key else []))
+    return texts.mapInArrow(_fingerprints(words), "doc_id long, fp long" + (", key long" if key else ""))
 
 
 def _entries(prints: DataFrame, distance: int, segments: int) -> DataFrame:
@@ -144,26 +146,40 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS,
     return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_forest(distance), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
-    prints = stored(fingerprints(docs, words), "prints")
+def _labels(prints: DataFrame, distance: int, segments: int) -> DataFrame:
+    """``fp, component_id, root`` for every fingerprint; ``root`` tells components apart also where ids repeat."""
     # the entry of a fingerprint: its smallest document
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct.select("fp"), distance, segments))
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "least")
     linked = stored(linked, "linked")
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(smallest, "root").select("fp", "component_id")
-    labels = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    labels = stored(labels, "labels")
+    named = linked.join(smallest, "root").select("fp", "component_id", "root")
+    labels = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    return stored(labels, "labels")
+
+
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``docs``."""
+    prints = stored(fingerprints(docs, words), "prints")
+    labels = _labels(prints, distance, segments)
     return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest ``doc_id``, with all its columns.
 
-    Of repeated rows of that id one stays. Rows without an id cannot be told apart and stay.
+    Of several rows of that id in a group the one with the smallest hash of its contents
+    stays; an id in several groups stays once in each. Rows without an id are
+    grouped among themselves in the same way.
     """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.filter("doc_id is null"))
+    # the hash passes over nulls, so they are told apart by flags
+    key = F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
+    keyed = docs.withColumn("__key", key)
+    prints = stored(fingerprints(keyed, key="__key"), "prints")
+    row = F.min(F.struct("doc_id", "key")).alias("row")
+    # the candidate of each fingerprint first, so that large groups are few rows
+    least = prints.groupBy("fp", F.col("doc_id").isNull().alias("unnamed")).agg(row)
+    roots = _labels(prints, DISTANCE, SEGMENTS).select("fp", "root")
+    kept = least.join(roots, "fp").groupBy("root", "unnamed").agg(F.min("row").alias("row")).select(F.col("row.key").alias("__key")).distinct()
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -96,3 +96,10 @@ def test_one_of_each_group_stays(odd_docs):
     found = classes([(r.doc_id, plain(r.text)) for r in odd_docs.select("doc_id", "text").collect()])
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == sorted({d for d, _, least in found if d == least})
     assert kept.filter("doc_id is null").count() == 1
+
+
+def test_repeated_and_null_ids_lose_no_clean_document(spark):
+    a, b, c = "the first text is about one thing only", "an unrelated page of words on another matter", "third something else entirely written here today"
+    rows = [(1, a, "x"), (1, b, "x"), (2, b, "x"), (3, c, "x"), (3, c, None), (None, c, "x"), (None, c, "x"), (None, a + " again and so on for a while", None)]
+    kept = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (1, b), (3, c), (0, c), (0, rows[-1][1])])
