@@ -91,10 +91,10 @@ def shown(spans: Iterable[tuple[int, int, int]]) -> str:
 
 
 def _context(text: str, start: int) -> list[str]:
-    """Patterns of the place before ``start``: its last word, and its last two."""
+    """Patterns of the place before ``start``: its last word, and its last two where there are two."""
     words = text[max(0, start - 80) : start].lower().split()[-2:]
     words = [DIGITS.sub("0", w) for w in words]
-    return ["1 " + " ".join(words[-1:]), "2 " + " ".join(words)] if len(words) == 2 else []
+    return [f"{n} " + " ".join(words[-n:]) for n in range(1, len(words) + 1)]
 
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int | None, list[str]]]:

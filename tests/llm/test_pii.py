@@ -75,3 +75,10 @@ def test_odd_rows(odd_docs, no_docs):
     masked = pii.masked(odd_docs)
     assert masked.columns == odd_docs.columns and masked.count() == odd_docs.count()
     assert pii.personal_data(no_docs).count() == 0 and pii.masked(no_docs).count() == 0
+
+
+def test_one_word_before_is_a_pattern(spark):
+    seeds = [(i, f"some words call tel: +1 (555) 010-{i:04d} or so") for i in range(10)]
+    docs = spark.createDataFrame([*seeds, (100, "Tel: 555 020-7788")], "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    assert spans[100] == "phone:5:17"
