@@ -87,4 +87,49 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
-STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9}
+OP13 = r"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS line, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), summed AS (
+  SELECT *, CAST(len(words) AS BIGINT) AS n,
+         xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+             lambda x: list_concat([CAST(ascii(x) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+             lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS h
+  FROM split
+), placed AS (
+  SELECT *, h % 10 = 0 AND n > 0 AS planted, (h // 10) % greatest(n, 1) AS a FROM summed
+), docs AS (
+  SELECT doc_id, line, n, CASE WHEN planted
+    THEN list_transform(range(n), lambda i: words[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END + 1])
+    ELSE words END AS words
+  FROM placed
+), spread AS (
+  SELECT line, n, unnest(words) AS word, unnest(range(n)) AS i FROM docs
+), equal AS (
+  SELECT l.line, l.i, r.i - l.i AS q, l.i - row_number() OVER (PARTITION BY l.line, r.i - l.i ORDER BY l.i) AS island
+  FROM spread AS l JOIN spread AS r ON l.line = r.line AND l.word = r.word AND r.i > l.i AND 3 * (r.i - l.i) <= l.n
+), stretches AS (
+  SELECT line, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY line, q, island
+  HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (
+  SELECT line, start, length, min(q) AS period FROM stretches GROUP BY line, start, length
+), best AS (
+  SELECT line, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         max(CAST(length AS HUGEINT) * 1000000000000000000 // period) AS most
+  FROM runs GROUP BY line
+), chosen AS (
+  SELECT line, arg_min(r, (start, period)) AS r
+  FROM (SELECT line, start, period, {'start': start, 'length': length, 'period': period} AS r FROM runs JOIN best USING (line)
+        WHERE CAST(length AS HUGEINT) * 1000000000000000000 // period = most) GROUP BY line
+), gone AS (
+  SELECT DISTINCT line, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT line, string_agg(word, ' ' ORDER BY i) AS collapsed FROM spread ANTI JOIN gone USING (line, i) GROUP BY line
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, r.start AS start, r.length AS length, r.period AS period,
+       CAST(1000 * r.length // r.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (line) LEFT JOIN chosen USING (line) LEFT JOIN kept USING (line)
+"""
+
+STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9, "op13_periodic": OP13}
