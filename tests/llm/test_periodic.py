@@ -87,4 +87,4 @@ def test_query_on_planted_and_odd_rows(spark, tmp_path):
         expected.append((doc_id, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2], *digests))
     got = [tuple(r) for r in QUERIES["op13_periodic"](spark, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted(expected, key=str)
-    assert sum(r[1] > 0 for r in got) > 10
+    assert sum(r[1] > 0 for r in got) >= 5
