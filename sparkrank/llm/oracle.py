@@ -87,6 +87,40 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM marked
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), grams AS (
+  SELECT lang, s.k AS size, words[i : i + s.k - 1] AS phrase
+  FROM split, (SELECT unnest([1, 2, 3, 4]) AS k) AS s, unnest(range(1, len(words) - s.k + 2)) AS r(i)
+), counted AS (
+  SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY lang, size, phrase
+), totals AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT * FROM counted WHERE size > 1 AND a >= 30
+), cuts AS (
+  SELECT c.lang, c.size, c.phrase, c.a, k, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a + r.a) AS score
+  FROM candidates AS c, unnest(range(1, c.size)) AS t(k)
+  JOIN counted AS l ON l.lang = c.lang AND l.phrase = c.phrase[1 : k]
+  JOIN counted AS r ON r.lang = c.lang AND r.phrase = c.phrase[k + 1 :]
+), scored AS (
+  SELECT lang, size, phrase, a, arg_min({'score': score, 'l': l, 'r': r}, (score, k)) AS cut FROM cuts GROUP BY lang, size, phrase, a
+), inner_phrases AS (
+  SELECT lang, phrase[i : i + s.k - 1] AS phrase, max(a) AS longer
+  FROM candidates, (SELECT unnest([2, 3]) AS k) AS s, unnest(range(1, size - s.k + 2)) AS r(i) WHERE s.k < size GROUP BY ALL
+), kept AS (
+  SELECT s.lang, array_to_string(s.phrase, ' ') AS phrase, s.a, s.cut.l AS l, s.cut.r AS r, CAST(s.cut.score AS BIGINT) AS score
+  FROM scored AS s LEFT JOIN inner_phrases AS i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE NOT coalesce(100 * i.longer::HUGEINT >= 80 * s.a::HUGEINT, false)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 OP13 = r"""
 WITH split AS (
   SELECT doc_id, row_number() OVER () AS line, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
@@ -132,4 +166,4 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, r.start AS start, r.length AS leng
 FROM docs LEFT JOIN best USING (line) LEFT JOIN chosen USING (line) LEFT JOIN kept USING (line)
 """
 
-STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9, "op13_periodic": OP13}
+STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9, "op11_collocations": OP11, "op13_periodic": OP13}
