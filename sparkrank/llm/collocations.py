@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -42,13 +43,13 @@ TOP = 2000
 SHARE = 80
 SCALE = 1_000_000
 BITS = 26
-CHUNK = 1 << 20  # words that are counted together in a task
-FIELD = 21  # bits of a word number in a packed phrase
+CHUNK = 12 << 20  # bytes of texts that are counted together in a task
 GROUPS = 64  # groups of a language whose best phrases are found before the last step
 
 # The separators of pieces and of words.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 GAPS = b" \t"
+END = b"\xff"
 TO_LOWER = bytes.maketrans(bytes(range(65, 91)) + PIECE_ENDS + GAPS, bytes(range(97, 123)) + b"\n" * len(PIECE_ENDS) + b" " * len(GAPS))
 
 
@@ -71,63 +72,62 @@ def met(bitmap: np.ndarray, found: np.ndarray) -> np.ndarray:
     return bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) != 0
 
 
-def packed(numbers: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct phrases of ``size`` words at the places, as rows of word numbers, and how often they stand there."""
-    code, fields, tables = numbers[at], 1, []
+def packed(numbers: np.ndarray, at: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct phrases of ``size`` words at the places, as columns of word numbers, and how often they stand there."""
+    width = max(int(numbers.max(initial=0)).bit_length(), int(len(at)).bit_length())
+    code, fields, tables = numbers[at].astype(np.int64), 1, []
     for j in range(1, size):
-        if fields == 3:  # 63 bits are full: number what there is
+        if (fields + 1) * width > 62:  # the number is full: number what there is
             known, code = np.unique(code, return_inverse=True)
             tables.append((known, fields))
             fields = 1
-        code = code << FIELD | numbers[at + j]
+        code = code << width | numbers[at + j]
         fields += 1
     code, counts = np.unique(code, return_counts=True)
-    columns, mask = [], (1 << FIELD) - 1
+    columns, mask = [], (1 << width) - 1
     while True:
-        columns += [code >> FIELD * i & mask for i in range(fields - bool(tables))]
+        columns += [code >> width * i & mask for i in range(fields - bool(tables))]
         if not tables:
-            return np.stack(columns[::-1], axis=1), counts
+            return columns[::-1], counts
         known, of = tables.pop()
-        code, fields = known[code >> FIELD * (fields - 1)], of
-
-
-class _Language:
-    """The words of one language that a task has read and not yet counted."""
-
-    def __init__(self, lang: bytes):
-        self.lang = lang
-        self.clear()
-
-    def clear(self) -> None:
-        self.number = {b"\n": 0, b"": -1}
-        self.hashes, self.parts, self.size = [0], [], 0
-
-    def add(self, text: bytes) -> None:
-        words = (text.translate(TO_LOWER).replace(b"\n", b" \n ") + b" \n").split(b" ")
-        number = self.number
-        for w in set(words).difference(number):
-            number[w] = len(number) - 1
-            self.hashes.append(word_hash(self.lang, w))
-        found = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        self.parts.append(found[found >= 0])
-        self.size += len(self.parts[-1])
-
-    def count(self, size: int, wanted) -> tuple[list, list]:
-        """Phrases of ``size`` words among those that ``wanted`` names by hashes and places, and their counts."""
-        numbers = np.concatenate(self.parts)
-        at = np.arange(len(numbers) - size + 1) if len(numbers) >= size else np.zeros(0, np.int64)
-        inside = np.ones(len(at), bool)
-        for j in range(size):
-            inside &= numbers[at + j] > 0
-        at = at[inside]
-        if wanted:
-            at = at[wanted(np.array(self.hashes, np.uint64)[numbers], at)]
-        words = [w for w, i in self.number.items() if i >= 0]
-        rows, counts = packed(numbers, at, size)
-        names = [b" ".join(map(words.__getitem__, row)) for row in rows.tolist()]
-        counts = counts.tolist()
+        code, fields = known[code >> width * (fields - 1)], of
+
+
+class Chunk:
+    """Texts of one language as numbers of their words; 0 ends a piece."""
+
+    def __init__(self, lang: bytes, texts: list[bytes]):
+        # no text holds the byte that stands for the end of a piece, as it is not UTF-8
+        data = b"\n".join([*texts, b""]).translate(TO_LOWER).replace(b"\n", b" " + END + b" ")
+        coded = pc.split_pattern(pa.array([data], pa.large_binary()), pattern=b" ").flatten().dictionary_encode()
+        self.lang, self.words = lang, coded.dictionary
+        numbers = coded.indices.to_numpy()
+        nothing, end = (pc.index(self.words, pa.scalar(x, pa.large_binary())).as_py() for x in (b"", END))
+        numbers = numbers[numbers != nothing]
+        self.numbers = np.where(numbers == end, 0, numbers + 1)
+        seed = xxhash.xxh32_intdigest(lang)
+        hashed = xxhash.xxh64_intdigest
+        self.hashes = np.fromiter((hashed(w, seed) for w in self.words.to_pylist()), np.uint64, len(self.words))
+
+    def count(self, size: int, wanted) -> tuple[pa.Array, np.ndarray]:
+        """Phrases of ``size`` words, of those that ``wanted`` chooses by the hashes one word shorter, and their counts."""
+        inside = self.numbers > 0
+        at = inside[: max(len(inside) - size + 1, 0)].copy()
+        for j in range(1, size):
+            at &= inside[j : j + len(at)]
+        at = np.flatnonzero(at)
+        if size > 1:
+            if size == 2:
+                shorter = phrase_hashes(self.hashes, np.arange(len(self.hashes)), 1)[self.numbers - 1]
+            else:
+                words = self.hashes[self.numbers - 1]
+                shorter = phrase_hashes(words, np.arange(max(len(words) - size + 2, 0)), size - 1)
+            at = at[wanted(shorter, at)]
+        columns, counts = packed(self.numbers, at, size)
+        parts = [self.words.take(pa.array(c - 1)) for c in columns]
+        names = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
         if size == 1:  # the number of all words, under the empty phrase
-            names, counts = [*names, b""], [*counts, len(at)]
+            names, counts = pa.concat_arrays([names, pa.array([b""], pa.large_binary())]), np.append(counts, len(at))
         return names, counts
 
 
@@ -137,48 +137,42 @@ COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("a", pa.in
 def _count(size: int, tight: bool, maps: dict):
     """Count the phrases of ``size`` words that the bitmaps ask for."""
 
-    def wanted(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        def has(name: str, hashes: np.ndarray) -> np.ndarray:
-            return met(maps[name].value, hashes)
+    def wanted(shorter: np.ndarray, at: np.ndarray) -> np.ndarray:
+        def has(name: str) -> tuple[np.ndarray, np.ndarray]:
+            found = met(maps[name].value, shorter)
+            return found[at], found[at + 1]
 
-        first, rest = phrase_hashes(hashes, at, size - 1), phrase_hashes(hashes, at + 1, size - 1)
         if size == 2:
-            return has("frequent", first) & has("frequent", rest)
+            return np.logical_and(*has("frequent"))
         if tight:
-            return has("open", first) & has("open_end", rest) | has("scored", first) | has("scored", rest)
-        asked = has("open", first) | has("open_end", rest)
-        if "frequent" in maps:
-            asked &= has("frequent", first) & has("frequent", rest)
-        return asked
+            return has("open")[0] & has("open_end")[1] | np.logical_or(*has("scored"))
+        asked = has("open")[0] | has("open_end")[1]
+        return asked & np.logical_and(*has("frequent")) if "frequent" in maps else asked
+
+    def rows(lang: bytes, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        names, counts = Chunk(lang, texts).count(size, wanted)
+        for i in range(0, len(names), 1 << 16):
+            part, own = names[i : i + (1 << 16)], counts[i : i + (1 << 16)]
+            yield record(COUNTED, [lang.decode()] * len(part), part.cast(pa.binary()).cast(pa.string()), own)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        languages: dict[bytes, _Language] = {}
-        waiting = 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for language in languages.values():
-                if language.parts:
-                    names, counts = language.count(size, wanted if size > 1 else None)
-                    lang = language.lang.decode()
-                    yield record(COUNTED, [lang] * len(names), pa.array(names, pa.binary()).cast(pa.string()), counts)
-                language.parts, language.size = [], 0
-                if len(language.number) > CHUNK:
-                    language.clear()
-            if sum(len(x.number) for x in languages.values()) > CHUNK:
-                languages.clear()
-
+        held: dict[bytes, list[bytes]] = {}
+        sizes: dict[bytes, int] = {}
         for batch in batches:
             for lang, text in zip(utf8(batch.column(0)), utf8(batch.column(1)), strict=True):
                 for part in _cut(text):
-                    language = languages.setdefault(lang, _Language(lang))
-                    before = language.size
-                    language.add(part)
-                    waiting += language.size - before
-                    if waiting >= CHUNK:
-                        yield from rows()
-                        waiting = 0
-        yield from rows()
+                    held.setdefault(lang, []).append(part)
+                    sizes[lang] = sizes.get(lang, 0) + len(part) + 1
+                    if sizes[lang] >= CHUNK:
+                        yield from rows(lang, held.pop(lang))
+                        del sizes[lang]
+            if sum(sizes.values()) >= 2 * CHUNK:  # of many languages
+                for lang in list(held):
+                    yield from rows(lang, held.pop(lang))
+                sizes.clear()
+        for lang in list(held):
+            yield from rows(lang, held.pop(lang))
 
     return run
 

@@ -60,12 +60,11 @@ def test_odd_rows(odd_docs, no_docs):
 
 def test_packed_phrases_of_many_words():
     rng = np.random.default_rng(1)
-    numbers = rng.integers(1, 4, 4000)
-    for size in range(1, 8):
+    for numbers, size in [(rng.integers(1, 4, 4000) + more, size) for more in (0, 1 << 20, 1 << 30) for size in range(1, 8)]:
         at = np.arange(len(numbers) - size + 1)
-        rows, counts = collocations.packed(numbers, at, size)
+        columns, counts = collocations.packed(numbers, at, size)
         expected = Counter(tuple(numbers[i : i + size].tolist()) for i in at)
-        assert dict(zip(map(tuple, rows.tolist()), counts.tolist(), strict=True)) == expected
+        assert dict(zip(zip(*(c.tolist() for c in columns)), counts.tolist(), strict=True)) == expected
 
 
 def test_counts_beyond_64_bits(spark):
