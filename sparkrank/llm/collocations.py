@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import drop_stored, record, release, stored, utf8
+from sparkrank.llm.common import drop_stored, phrase_hashes, record, release, stored, utf8
 
 LEAST = 30
 LONGEST = 4
@@ -57,15 +57,6 @@ def word_hash(lang: bytes, word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang))
 
 
-def phrase_hashes(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """A number for the ``size`` words from each place on, given the hashes of the words."""
-    out = np.zeros(len(at), np.uint64)
-    for j in range(size):
-        out = (out ^ hashes[at + j]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return out
-
-
 def met(bitmap: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Which of the numbers have their bit set."""
     place = found >> np.uint64(64 - int(len(bitmap) * 64).bit_length() + 1)

@@ -121,6 +121,37 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """
 
+OP12 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(words) >= 4 THEN list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' ')))
+                                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s
+  FROM docs
+), named AS (
+  SELECT doc_id, s, len(s) AS n, md5(array_to_string(s, chr(10))) AS c FROM sets
+), classes AS (
+  SELECT c, n, any_value(s) AS s, min(doc_id) AS lo FROM named WHERE n > 0 GROUP BY c, n
+), elements AS (
+  SELECT c, n, unnest(s) AS e FROM classes
+), common AS (
+  SELECT a.c AS a, b.c AS b, a.n AS na, b.n AS nb, count(*) AS k
+  FROM elements AS a JOIN elements AS b ON a.e = b.e AND a.c < b.c AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n
+), near AS (
+  SELECT a, b FROM common WHERE 100 * k >= 85 * (na + nb - k)
+), links AS (
+  SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), reached AS (
+  SELECT c, c AS r FROM classes UNION SELECT reached.c, b FROM reached JOIN links ON a = r
+), labels AS (
+  SELECT reached.c, min(lo) AS component_id FROM reached JOIN classes ON classes.c = r GROUP BY reached.c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n > 0 THEN component_id ELSE doc_id END AS component_id
+FROM named LEFT JOIN labels ON labels.c = named.c AND n > 0
+"""
+
 OP13 = r"""
 WITH split AS (
   SELECT doc_id, row_number() OVER () AS line, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
@@ -166,4 +197,4 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, r.start AS start, r.length AS leng
 FROM docs LEFT JOIN best USING (line) LEFT JOIN chosen USING (line) LEFT JOIN kept USING (line)
 """
 
-STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9, "op11_collocations": OP11, "op13_periodic": OP13}
+STATEMENTS: dict[str, str] = {"op3_chat": OP3, "op6_warc": OP6, "op7_substrings": OP7, "op9_decontamination": OP9, "op11_collocations": OP11, "op12_jaccard": OP12, "op13_periodic": OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm import chat, collocations, decontamination, multi_index, packing, periodic, pii, quality, simhash, substrings, toxicity, warc
+from sparkrank.llm import chat, collocations, decontamination, jaccard, multi_index, packing, periodic, pii, quality, simhash, substrings, toxicity, warc
 from sparkrank.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -70,6 +70,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """One document in ten with its words from a place on repeated from a shorter stretch of them."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -115,5 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
+    "op12_jaccard": op12_jaccard,
     "op13_periodic": op13_periodic,
 }
