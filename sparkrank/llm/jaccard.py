@@ -1,8 +1,8 @@
 """Jaccard join of word shingles with skipping by relations between sets.
 
-Two sets of similarity ``percent`` or more share one of their first ``n - ceil(percent * n) + 1``
-elements in any order common to all. This is used twice. In the order of the hashes it tells which sets
-have a partner at all to look for. For those, elements are counted, and in the order "found once, found in few sets,
+In any order common to all sets, the first ``k`` elements that two sets of similarity ``percent`` or more share lie
+among the first ``n - ceil(percent * n) + k`` of each. This is used twice. In the order of the hashes, with a ``k`` that grows with the
+set, it tells which sets can have a partner at all. For those, all elements are counted, and in the order "found once, found in few sets,
 found in many" the elements found once come first, so only sets that nearly agree reach an element that
 others hold. An inverted list keeps, for each such element, its sets by size and place.
 
@@ -74,6 +74,16 @@ def prefix_size(n, percent: int = PERCENT):
     return n - (percent * n + 99) // 100 + 1
 
 
+def agreeing(n, percent: int = PERCENT):
+    """How many elements of a longer prefix of a set of ``n`` must be in any set linked with it."""
+    return prefix_size(n, percent) // 2 + 1
+
+
+def longer_prefix(n, agree, percent: int = PERCENT):
+    """The prefix in which the first ``agree`` elements common with any linked set lie."""
+    return prefix_size(n, percent) - 1 + agree
+
+
 def needed(a, b, percent: int = PERCENT):
     """The least overlap of linked sets of ``a`` and ``b`` elements."""
     return -(-percent * (a + b) // (100 + percent))
@@ -103,7 +113,8 @@ def _prints(words: int, percent: int):
             for part, texts in _grouped(batch, 2):
                 sets = shingle_sets(texts, words)
                 digests = _digests([s.tobytes() for s in sets])
-                first = [s[: prefix_size(len(s), percent)].tobytes() if len(s) else b"" for s in sets]
+                # long enough for what the largest set linked with this one asks for
+                first = [s[: longer_prefix(len(s), agreeing(100 * len(s) // percent, percent), percent)].tobytes() if len(s) else b"" for s in sets]
                 yield record(PRINTS, part.column(0), part.column(1), [len(s) for s in sets], digests[:, 0], digests[:, 1], first)
 
     return run
@@ -136,21 +147,36 @@ def _marks(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> np.uint64(64 - bits + 6)).astype(np.int64), mask
 
 
+SEGMENTS = 64
+
+
 class Filter:
-    """Which keys are in a set, with few false hits; its size follows the number of keys up to a bound."""
+    """Which distinct keys are in a set, with few false hits; its size follows the number of keys up to a bound."""
 
     def __init__(self, keys: DataFrame):
-        count = keys.count()
-        bits = min(max((32 * count).bit_length(), LEAST_BITS), MOST_BITS)
+        bits = min(max((16 * keys.count()).bit_length(), LEAST_BITS), MOST_BITS)
+        size = (1 << bits - 6) // SEGMENTS
+        cut = pa.schema([("segment", pa.int32()), ("word", pa.int64()), ("mask", pa.int64())])
 
         def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 word, mask = _marks(batch.column(0).to_numpy().view(np.uint64), bits)
-                yield record(pa.schema([("word", pa.int64()), ("mask", pa.int64())]), word, mask.view(np.int64))
+                yield record(cut, (word // size).astype(np.int32), word % size, mask.view(np.int64))
 
-        words = keys.mapInArrow(places, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+        def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts: dict[int, np.ndarray] = {}
+            for batch in batches:
+                segment, word, mask = (batch.column(i).to_numpy() for i in range(3))
+                for s in np.unique(segment).tolist():
+                    here = segment == s
+                    np.bitwise_or.at(parts.setdefault(s, np.zeros(size, np.uint64)), word[here], mask[here].view(np.uint64))
+            for s, part in parts.items():
+                yield record(pa.schema([("segment", pa.int32()), ("bits", pa.binary())]), [s], [part.tobytes()])
+
+        dealt = keys.mapInArrow(places, "segment int, word long, mask long").repartition("segment")
         table = np.zeros(1 << (bits - 6), np.uint64)
-        table[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
+        for segment, part in dealt.mapInArrow(joined, "segment int, bits binary").collect():
+            table[segment * size : (segment + 1) * size] = np.frombuffer(part, np.uint64)
         self.bits, self.sent = bits, keys.sparkSession.sparkContext.broadcast(table)
 
     def test(self):
@@ -353,7 +379,9 @@ def _classes(prints: DataFrame) -> DataFrame:
     return stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
 
 
-def _has_met(has):
+def _has_met(has, percent: int):
+    """Keys of sets that agree with other sets in as many elements of their prefix as linked sets do."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -361,7 +389,10 @@ def _has_met(has):
             first = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
             bounds = np.cumsum([0, *map(len, first)])
             hits = np.append(0, np.cumsum(has(np.concatenate(first))))
-            yield batch.select([0]).filter(pa.array(hits[bounds[1:]] > hits[bounds[:-1]]))
+            n = batch.column(2).to_numpy()
+            agree = agreeing(n, percent)
+            ends = np.minimum(bounds[:-1] + longer_prefix(n, agree, percent), bounds[1:])
+            yield batch.select([0]).filter(pa.array((n > 0) & (hits[ends] - hits[bounds[:-1]] >= agree)))
 
     return run
 
@@ -421,13 +452,14 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     texts = texts.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
-    prints = stored(texts.mapInArrow(_prints(words, percent), "key long, doc_id long, n long, d1 long, d2 long, first binary"), "prints")
+    wide = stored(texts.mapInArrow(_prints(words, percent), "key long, doc_id long, n long, d1 long, d2 long, first binary"), "wide")
+    # copies count here, too: they only let more sets pass
+    met = Filter(_counted(wide.select("first")).select("e")).test()
+    passed = wide.select("key", "first", "n").mapInArrow(_has_met(met, percent), "key long").distinct()
+    prints = stored(wide.drop("first"), "prints")
     classes = _classes(prints)
-    least = prints.join(classes.select("d1", "d2", "n", "key"), ["d1", "d2", "n", "key"]).select("key", "first").dropDuplicates(["key"])
-    least = stored(least, "least")
-    met = Filter(_counted(least.select("first")).select("e")).test()
-    active = stored(least.mapInArrow(_has_met(met), "key long"), "active")
-    drop_stored(least)
+    active = stored(passed.join(classes.select("key"), "key", "left_semi"), "active")
+    drop_stored(wide)
     mine = texts.select("key", "text").mapInArrow(_chosen_sets(Filter(active).test(), words), "key long, d1 long, d2 long, elements binary")
     ids = stored(active.join(classes.select("key", "d1", "d2", "id"), "key"), "ids")
     sets = stored(mine.join(ids, ["key", "d1", "d2"]).dropDuplicates(["id"]).select("id", "elements"), "sets")
