@@ -15,7 +15,8 @@ never gathered. Documents with the same words as a smaller one are settled by th
 their words. Of the others, only those with a shared anchor have their text shuffled; a
 bitmap of fixed size tells most of the rest apart before (a false hit only costs time).
 
-Words are hashed by XXH64, runs of words by two sums of 64 bits each, 128 together.
+Words are hashed by XXH64, runs of words by the values of two polynomials modulo 2**61 - 1 at two random
+places, 122 bits together.
 
 Defined cases: null and empty texts have no words; a null ``doc_id`` is no source and loses nothing;
 repeated rows and ids are no sources for each other; an empty table gives no rows; other columns
@@ -38,8 +39,8 @@ from sparkrank.llm.common import drop_stored, space_blocks, stored, utf8
 WINDOW = 50
 ANCHOR = 9  # words of an anchor
 BITS = 26  # the bitmap has 2**BITS bits, 8 MB
-MULTIPLIER = 0x9E3779B97F4A7C15
-INVERSE = pow(MULTIPLIER, -1, 1 << 64)
+PRIME = (1 << 61) - 1
+BASES = (0x0F3A9C5B71E24D87, 0x15C6E1D80B93F2A5)  # two random numbers below the prime
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -51,38 +52,58 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2**63, modulo the prime."""
+    x = (x >> np.uint64(61)) + (x & np.uint64(PRIME))
+    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it, from halves of 31 bits."""
+    low, half, under = np.uint64((1 << 31) - 1), np.uint64(31), np.uint64((1 << 30) - 1)
+    ah, al, bh, bl = a >> half, a & low, b >> half, b & low
+    middle, last = ah * bl + al * bh, al * bl
+    # 2**61 counts as 1, so the upper product counts twice and the middle one is cut at 30 bits
+    total = np.uint64(2) * (ah * bh) + (middle >> np.uint64(30)) + ((middle & under) << half)
+    return reduced(total + (last >> np.uint64(61)) + (last & np.uint64(PRIME)))
+
+
 def powers(base: int, size: int) -> np.ndarray:
-    """1, base, base**2 and so on, modulo 2**64."""
-    factors = np.full(size, base, np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors, dtype=np.uint64)
+    """1, base, base**2 and so on, modulo the prime."""
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, times(out, np.full(len(out), pow(base, len(out), PRIME), np.uint64))])
+    return out[:size]
 
 
 class Words:
-    """Hashes of the words of a text, and of all its runs of words."""
+    """Hashes of the words of a text, and of all its runs of words: values of two polynomials modulo a prime."""
 
-    powers = np.ones(1, np.uint64)
-    inverses = np.ones(1, np.uint64)
+    powers: list = [np.ones(1, np.uint64)] * 2
+    inverses: list = [np.ones(1, np.uint64)] * 2
 
     def __init__(self, data: bytes):
         hashed = xxhash.xxh64_intdigest
         parts = [np.fromiter(map(hashed, words), np.uint64, len(words)) for words in (b.split() for b in space_blocks(data))]
         self.first = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         self.n = n = len(self.first)
-        if len(Words.powers) <= n:
+        if len(Words.powers[0]) <= n:
             size = 2 * n + 1
-            Words.powers, Words.inverses = powers(MULTIPLIER, size), powers(INVERSE, size)
-        self.sums = [self._sums(self.first), self._sums(mixed(self.first))]
+            Words.powers = [powers(b, size) for b in BASES]
+            Words.inverses = [powers(pow(b, -1, PRIME), size) for b in BASES]
+        numbers = reduced(self.first >> np.uint64(1))
+        self.sums = [self._sums(times(numbers, p[:n])) for p in Words.powers]
 
-    def _sums(self, numbers: np.ndarray) -> np.ndarray:
+    def _sums(self, terms: np.ndarray) -> np.ndarray:
+        low, high = (np.cumsum(x, dtype=np.uint64) for x in (terms & np.uint64(0xFFFFFFFF), terms >> np.uint64(32)))
         out = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(numbers * Words.powers[: self.n], out=out[1:])
+        out[1:] = reduced(times(reduced(high), np.full(self.n, 1 << 32, np.uint64)) + reduced(low))
         return out
 
     def runs(self, starts, ends, which: int) -> np.ndarray:
         """Hash of the words from each start to each end."""
         s = self.sums[which]
-        return (s[ends] - s[starts]) * Words.inverses[starts]
+        return times(reduced(s[ends] + np.uint64(PRIME) - s[starts]), Words.inverses[which][starts])
 
     def anchors(self, window: int, anchor: int) -> np.ndarray:
         """Starts of the anchors: each window has the leftmost least of its runs of ``anchor`` words."""

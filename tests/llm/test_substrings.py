@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from sparkrank.llm import substrings
@@ -57,3 +58,23 @@ def test_cut_and_joined_passages(spark, seed):
     docs += [(None, docs[0][1]), docs[5]]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted((tuple(r) for r in substrings.removed(df, bits=10).collect()), key=str) == plain(docs)
+
+
+def test_a_sequence_and_its_complement(spark):
+    """Two words in Thue-Morse order cancel in any sum modulo a power of two; no window is common here."""
+    order = [bin(i).count("1") % 2 for i in range(128)]
+    texts = [" ".join(w for o in order for w in [f"{('alpha', 'beta')[o ^ flip]}", *(f"f{i}" for i in range(31))]) for flip in (0, 1)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((tuple(r) for r in substrings.removed(df).collect()), key=str) == plain(docs)
+    a, b = (substrings.Words(t.encode()) for t in texts)
+    ends = [w.runs(np.zeros(1, int), np.array([w.n]), i)[0] for i in (0, 1) for w in (a, b)]
+    assert ends[0] != ends[1] and ends[2] != ends[3]
+
+
+def test_products_modulo_the_prime():
+    rng = random.Random(1)
+    a, b = ([*(rng.randrange(substrings.PRIME) for _ in range(500)), 0, substrings.PRIME - 1] for _ in range(2))
+    got = substrings.times(np.array(a, np.uint64), np.array(b, np.uint64)).tolist()
+    assert got == [x * y % substrings.PRIME for x, y in zip(a, b, strict=True)]
+    assert substrings.powers(7, 40).tolist() == [pow(7, i, substrings.PRIME) for i in range(40)]
