@@ -65,6 +65,17 @@ class Codebooks:
         self.width = len(self.books[1])
         self.counts = np.zeros(len(self.books[0]) * self.width, np.int64)
 
+    def arrays(self) -> tuple:
+        """What a broadcast holds: an instance would need this module on the workers."""
+        return self.half, self.books, self.counts
+
+    @classmethod
+    def of(cls, arrays: tuple) -> Codebooks:
+        out = cls.__new__(cls)
+        out.half, out.books, out.counts = arrays
+        out.width = len(out.books[1])
+        return out
+
     def halves(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return vectors[:, : self.half], vectors[:, self.half :]
 
@@ -97,20 +108,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _assign(books):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Codebooks.of(books.value)
         for batch in batches:
             if batch.num_rows:
                 vectors = _matrix(batch.column(1))
-                yield pa.RecordBatch.from_pydict({"id": batch.column(0), "cell": pa.array(books.value.cells(vectors), pa.int64()), "vector": pa.array([v.tobytes() for v in vectors], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"id": batch.column(0), "cell": pa.array(known.cells(vectors), pa.int64()), "vector": pa.array([v.tobytes() for v in vectors], pa.binary())})
 
     return run
 
 
 def _visit(books, wanted: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Codebooks.of(books.value)
         for batch in batches:
             if batch.num_rows:
                 vectors = _matrix(batch.column(1))
-                cells = pa.array([books.value.visit(v, wanted) for v in vectors], pa.list_(pa.int64()))
+                cells = pa.array([known.visit(v, wanted) for v in vectors], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0), "cells": cells, "vector": pa.array([v.tobytes() for v in vectors], pa.binary())})
 
     return run
@@ -166,10 +179,10 @@ def nearest(
     if not picked:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     books = Codebooks(np.array([r.vector for r in picked]), centroids)
-    assigned = stored(entries.select("id", "vector").mapInArrow(_assign(spark.sparkContext.broadcast(books)), "id long, cell long, vector binary"), "cells")
+    assigned = stored(entries.select("id", "vector").mapInArrow(_assign(spark.sparkContext.broadcast(books.arrays())), "id long, cell long, vector binary"), "cells")
     for r in assigned.groupBy("cell").agg(F.count("*").alias("n")).collect():
         books.counts[r.cell] = r.n
-    shared = spark.sparkContext.broadcast(books)
+    shared = spark.sparkContext.broadcast(books.arrays())
     asking = rows.filter(asked)
     parts = max(1, -(-asking.count() // QUERIES))
     sizes = F.broadcast(spark.createDataFrame([(c, -(-int(n) // BLOCK)) for c, n in enumerate(books.counts) if n], "cell long, blocks int"))

@@ -123,6 +123,10 @@ class Model:
     def __init__(self, content: np.ndarray, about: np.ndarray, calibration: list[np.ndarray], combined: np.ndarray):
         self.views, self.calibration, self.combined = (content, about), calibration, combined
 
+    def arrays(self) -> tuple:
+        """What a broadcast holds: an instance would need this module on the workers."""
+        return *self.views, self.calibration, self.combined
+
     def score(self, z: np.ndarray) -> np.ndarray:
         """``z``: a logit of each view in the columns."""
         steady = np.column_stack([logits(c, z[:, i : i + 1]) for i, c in enumerate(self.calibration)])
@@ -188,7 +192,7 @@ def train(features: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sample:
 
 def _score(model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
+        own = Model(*model.value)
         for batch in batches:
             if batch.num_rows:
                 z = np.column_stack([logits(w, batch.column(i).flatten().to_numpy().reshape(batch.num_rows, -1).astype(float)) for w, i in zip(own.views, (2, 3), strict=True)])
@@ -200,6 +204,6 @@ def _score(model):
 def scored(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sample: int = SAMPLE, handed: int = HANDED) -> DataFrame:
     """``doc_id, held_out, text_score, meta_score, score, predicted`` for every row of ``docs``; scores are of good quality."""
     features = stored(views(docs), "views")
-    model = docs.sparkSession.sparkContext.broadcast(train(features, labels, rounds, sample, handed))
+    model = docs.sparkSession.sparkContext.broadcast(train(features, labels, rounds, sample, handed).arrays())
     found = features.mapInArrow(_score(model), "doc_id long, text_score double, meta_score double, score double")
     return found.select("doc_id", held_out().alias("held_out"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
