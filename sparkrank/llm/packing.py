@@ -46,7 +46,9 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        # the tokenizer takes these out of a text before anything else
+        special = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or "(?!)")
         self.model = self.whole.model
         self.chunks: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -68,7 +70,7 @@ class ChunkEncoder:
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
         simple = SIMPLE.fullmatch(text) if len(text) <= 100 else None
-        if simple:
+        if simple and not self.special.search(text):
             head, word, tail = simple.groups()
             ids = self._core(word.lower())
             if head or tail:

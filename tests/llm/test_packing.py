@@ -14,9 +14,7 @@ from sparkrank.llm.queries import QUERIES, TOKENIZER
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(TOKENIZER)
 
 
 def whole(tokenizer, text):
@@ -76,3 +74,10 @@ def test_sequences_are_padded(spark, sf_dir):
     rows = packing.sequences(pieces, size=512).collect()
     assert all(len(r.ids) == 4 * 512 for r in rows)
     assert sum(r.length < 512 for r in rows) <= 1
+
+
+def test_special_tokens_as_the_plain_call_gives_them(tokenizer):
+    encode = packing.ChunkEncoder(TOKENIZER).encode
+    for text in ("a<|endoftext|>b", "<|endoftext|>", "x <|startoftext|>y<|ENDOFTEXT|> z", "<|endoftext|"):
+        assert np.frombuffer(encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encode(b"a<|endoftext|>b"), "<u4").tolist() == [320, 49407, 321]
