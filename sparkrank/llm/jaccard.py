@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import drop_stored, phrase_hashes, record, release, sorted_groups, stored, utf8
+from sparkrank.llm.common import drop_stored, phrase_hashes, record, release, slices, sorted_groups, stored, utf8
 from sparkrank.llm.components import components
 
 WORDS = 4
@@ -154,6 +154,7 @@ class Filter:
     """Which distinct keys are in a set, with few false hits; its size follows the number of keys up to a bound."""
 
     def __init__(self, keys: DataFrame):
+        keys = stored(keys, "keys")  # counted, then read
         bits = min(max((16 * keys.count()).bit_length(), LEAST_BITS), MOST_BITS)
         size = (1 << bits - 6) // SEGMENTS
         cut = pa.schema([("segment", pa.int32()), ("word", pa.int64()), ("mask", pa.int64())])
@@ -177,6 +178,7 @@ class Filter:
         table = np.zeros(1 << (bits - 6), np.uint64)
         for segment, part in dealt.mapInArrow(joined, "segment int, bits binary").collect():
             table[segment * size : (segment + 1) * size] = np.frombuffer(part, np.uint64)
+        drop_stored(keys)
         self.bits, self.sent = bits, keys.sparkSession.sparkContext.broadcast(table)
 
     def test(self):
@@ -213,9 +215,7 @@ def _entries(repeated, many, percent: int):
     """The elements of each set that it is listed under, with their place in the common order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, 1024):
             sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
             every = np.concatenate(sets)
             level = repeated(every).astype(np.int8)
