@@ -522,6 +522,7 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "knn_filtered_topk": (("vector",), _FILTERED),
     "knn_blocks_topk": (("vector",), _FILTERED),
+    "knn_pruned_topk": (("vector",), _FILTERED),
     "knn_unfiltered_topk": (("vector",), _top(_squared("q.embedding", "c.embedding"), "true")),
     "knn_cosine_topk": (
         ("vector",),

@@ -311,6 +311,12 @@ def knn_blocks_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(found)
 
 
+@query
+def knn_pruned_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance bounds instead of all pairs."""
+    return _hits(knn.nearest(_vector_queries(spark, sf_dir), inputs.vectors(spark, sf_dir), 10, strategy="pruned"))
+
+
 @query
 def knn_eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = inputs.vector_judgments(spark, sf_dir)

@@ -1,15 +1,18 @@
 """Exact nearest neighbours within a tag.
 
-Every query is compared with every vector of its tag, but the pairs are never
-rows: blocks of vectors meet blocks of queries inside a task as one matrix
-product, and only the best ``k`` of each query leave the task.
+Pairs of query and vector are never rows: blocks of vectors meet blocks of
+queries inside a task, and only the best ``k`` of each query leave the task.
 
-Two physical forms give the same rows:
+Three physical forms give the same rows:
 
 * ``broadcast``: the query side was counted and is small. It travels with the
   task code, and the vectors are scanned once where they lie, without a shuffle.
-* ``blocks``: any number of queries. Vectors and queries are cut into cells of
-  bounded size, so a tag that holds a third of all vectors becomes many cells.
+* ``pruned``: any number of queries. Vectors lie in cells around pivots, and the
+  triangle inequality leaves out cells and vectors that can't be hits; see
+  :mod:`sparkrank.operators.pruned`.
+* ``blocks``: any number of queries, each compared with every vector of its tag, for vectors
+  without any structure. Both sides are cut into cells of bounded size, so a tag that
+  holds a third of all vectors becomes many cells.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ BROADCAST_HITS = 500_000  # queries times k that one task may have to hold
 BROADCAST_TAGS = 100_000
 CELL_VECTORS = 200_000
 CELL_QUERIES = 4_000
+CELL_BYTES = 256 << 20  # of the vectors of a cell in a worker
 MERGE_GROUPS = 1_024  # groups of tasks whose hits are merged before the last step
 QUERY_BLOCK = 256  # queries per matrix product
 VECTOR_BLOCK = 8_192  # vectors per matrix product
@@ -258,13 +262,13 @@ def nearest(
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric: {metric}")
-    if strategy not in ("auto", "broadcast", "blocks"):
+    if strategy not in ("auto", "broadcast", "pruned", "blocks"):
         raise ValueError(f"unknown strategy: {strategy}")
     queries = queries.select("query_id", "ticker", "embedding").filter(F.col("embedding").isNotNull())
     vectors = vectors.select("_id", "ticker", "embedding")
 
     probe = None
-    if strategy != "blocks":
+    if strategy in ("auto", "broadcast"):
         most = min(max_queries, max(BROADCAST_HITS // k, 1))
         probe = queries.limit(most + 1).toArrow()
         small = probe.num_rows <= most and probe.nbytes <= max_bytes
@@ -274,7 +278,13 @@ def nearest(
             probe = None
     if probe is not None:
         hits = _scan(vectors, probe, k, metric)
+    elif strategy != "blocks":
+        from sparkrank.operators import pruned  # it builds on this module
+
+        return pruned.nearest(queries, vectors, k, metric=metric)
     else:
+        width = vectors.filter(F.col("embedding").isNotNull()).select(F.size("embedding").alias("w")).first()
+        cell_vectors = min(cell_vectors, max(CELL_BYTES // (8 * max(width.w if width else 1, 1)), 1))
         hits = _cells(queries, vectors, k, metric, cell_vectors, cell_queries)
 
     # every task hands on k hits of a query, so they are merged in two steps: no
