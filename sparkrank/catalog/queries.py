@@ -21,7 +21,7 @@ from sparkrank.operators import (
     rerank,
     tracking,
 )
-from sparkrank.plans import index, retrieve, track
+from sparkrank.plans import index, retrieve, track, upkeep
 from sparkrank.sources import collection as store
 from sparkrank.sources import readers, writers
 
@@ -259,6 +259,32 @@ def collection_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def collection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of the stored collection, counted."""
+    return upkeep.audit_collection(collection(spark, sf_dir).table)
+
+
+def edited_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus without documents of low quality, toxic ones redacted."""
+    marks = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"), "quality", "toxic")
+    docs = inputs.raw_corpus(spark, sf_dir).join(marks, "pos", "left").filter(F.coalesce("quality", F.lit(1)) != 0)
+    note = F.when(F.col("toxic") == 1, " [redacted]").otherwise("")
+    one_line = ~F.contains("text", F.lit("\n"))  # its title is the whole text
+    title = F.when(one_line, F.concat("title", note)).otherwise(F.col("title"))
+    return docs.select("_id", title.alias("title"), F.concat("text", note).alias("text"), "pos")
+
+
+@query
+def collection_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of a collection that was built on the corpus and brought to the edited one."""
+    known = entities.Dictionary.fitting(inputs.dictionary(spark, sf_dir))
+    kept = upkeep.MaintainedCollection(spark, _fresh(spark, "maintained"), known, embedder())
+    kept.update(inputs.raw_corpus(spark, sf_dir))
+    kept.update(edited_corpus(spark, sf_dir))
+    return kept.table().select("_id", "parent_id", "ticker", F.md5("text").alias("md5"))
+
+
 @query
 def repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids by source and language: how often each one repeats."""

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import importlib
 import inspect
+import pkgutil
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.functions import splitting
 from sparkrank.functions import text as T
-from sparkrank.functions import embedding, vectors
 from sparkrank.functions.embedding import Embedder
 from sparkrank.operators import chunking, cleaning, rerank
 from sparkrank.operators.entities import Dictionary
@@ -19,9 +19,21 @@ from sparkrank.sources import collection as store
 from sparkrank.sources.readers import input_fingerprint, table_fingerprint
 
 
-# Their source is part of the key of a stored collection: after a change of a rule
-# no chunks of the old one are read.
-RULES = (T, splitting, vectors, embedding, cleaning, chunking)
+def rules() -> str:
+    """Digest of the package's sources: after a change of a rule no chunks of the old one are read.
+
+    All modules count but those of the subpackages that no collection is made with.
+    """
+    package = importlib.import_module("sparkrank")
+    found = hashlib.md5()
+    for part in sorted(pkgutil.iter_modules(package.__path__), key=lambda m: m.name):
+        name = f"sparkrank.{part.name}"
+        if part.name in ("llm", "catalog"):
+            continue
+        inside = pkgutil.iter_modules(importlib.import_module(name).__path__) if part.ispkg else ()
+        for module in [name, *(f"{name}.{m}" for m in sorted(m.name for m in inside))]:
+            found.update(inspect.getsource(importlib.import_module(module)).encode())
+    return found.hexdigest()
 
 
 def chunk_corpus(
@@ -97,8 +109,7 @@ class StoredCollection:
             entries = repr(list(dictionary.companies.items()))
         else:
             entries = table_fingerprint(dictionary).first()["md5"]
-        rules = "".join(inspect.getsource(module) for module in RULES)
-        made_with = repr((version, repr(embedder), sorted(options.items()), entries, rules))
+        made_with = repr((version, repr(embedder), sorted(options.items()), entries, rules()))
         settings = hashlib.md5(made_with.encode()).hexdigest()
         folder = folder or store.shared_folder(self.spark)
         self.path = f"{folder}/{name}/{input_fingerprint(docs)}-{settings}"

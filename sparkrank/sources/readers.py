@@ -107,5 +107,6 @@ def input_fingerprint(df: DataFrame) -> str:
         return table_fingerprint(df).first()["md5"]
     found = df.sparkSession.read.format("binaryFile").load(files)
     state = table_fingerprint(found.select("path", "length", "modificationTime")).first()["md5"]
-    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
-    return hashlib.md5(f"{state}/{plan}".encode()).hexdigest()
+    # all fields of every node, as toString() shows 25 only; without names, which the schema adds
+    plan = df._jdf.queryExecution().analyzed().canonicalized().treeString(True, False, 2**31 - 1, False, False)
+    return hashlib.md5(f"{state}/{df.schema.json()}/{plan}".encode()).hexdigest()
