@@ -353,7 +353,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "shard_diff": (
         (),
-        """SELECT coalesce(m.name, c.name) AS name,
+        """SELECT coalesce(m.name, c.name) AS name, m.md5 AS main_md5,
                   CASE WHEN c.name IS NULL THEN 'missing' WHEN m.md5 IS NULL THEN 'new'
                        WHEN m.md5 <> c.md5 THEN 'changed' ELSE 'unchanged' END AS status
            FROM (SELECT source || '/' || lang AS name, md5(count(*) || '/' || sum(h)) AS md5
@@ -563,6 +563,13 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         f"""SELECT count(*) AS n_queries, round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall,
                    round(avg(map), 6) AS map FROM ({_metrics("reranked", "judgment").replace(", 6)", ", 15)")})""",
     ),
+    "both_mean_metrics": (
+        ("reranked", "judgment"),
+        f"""SELECT count(m.query_id) AS n_queries, count(*) AS n_judged,
+                   {", ".join(f"round(avg(m.{c}), 6) AS {c}, round(avg(coalesce(m.{c}, 0)), 6) AS {c}_zero_filled" for c in ("precision", "recall", "map"))}
+            FROM (SELECT DISTINCT query_id FROM judgment) j
+            LEFT JOIN ({_metrics("reranked", "judgment").replace(", 6)", ", 15)")}) m USING (query_id)""",
+    ),
     "conversation_retrieval": (
         ("user_vector", "answer_vector", "answer"),
         "WITH found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id "
@@ -588,6 +595,43 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT *, CASE status WHEN 'changed' THEN 'v1.1' WHEN 'new' THEN 'v1.0' END AS new_version
            FROM doc_diff""",
     ),
+    "manifest_diff_buckets": (("doc_diff",), "SELECT * FROM doc_diff"),
+    "file_manifest": (
+        (),
+        """SELECT 'doc-' || doc_id AS name, md5(coalesce(text, '')) AS md5 FROM documents
+           UNION ALL SELECT 'item-' || item_id, NULL FROM benchmark""",
+    ),
+    "run_params": (
+        ("setting", "shard_diff"),
+        """SELECT run_name, key, value FROM setting WHERE snapshot = 'main'
+           UNION ALL SELECT split_part(name, '/', 1), 'data.' || name, main_md5 FROM shard_diff WHERE status <> 'new'""",
+    ),
+    "decision_file": (("decision",), "SELECT * FROM decision"),
+    "track_logs": (
+        ("shard_diff",),
+        """SELECT branch || '_run_' || ts AS run_name, ts AS timestamp, branch, sha1(branch || '_run_' || ts) AS commit,
+                  'v1.0' AS base_main_version, changed_files, missing_files
+           FROM (SELECT DISTINCT source, lang AS branch,
+                        strftime(TIMESTAMP '2025-01-02 03:04:05' + to_minutes(substr(source, 4)::INT), '%Y%m%d_%H%M%S') AS ts
+                 FROM documents JOIN labels USING (doc_id) WHERE lang NOT IN ('en', 'main', 'prod')) r
+           JOIN (SELECT split_part(name, '/', 1) AS source,
+                        coalesce(string_agg(name, ',' ORDER BY name) FILTER (status = 'changed'), '') AS changed_files,
+                        coalesce(string_agg(name, ',' ORDER BY name) FILTER (status = 'missing'), '') AS missing_files
+                 FROM shard_diff GROUP BY 1) d USING (source)""",
+    ),
+    "model_log": (
+        ("setting",),
+        """WITH every AS (
+             SELECT run_name, key, max(value) FILTER (snapshot = 'main') AS main, max(value) FILTER (snapshot = 'current') AS current
+             FROM (SELECT * FROM setting UNION ALL SELECT DISTINCT 'current', run_name, 'corpus.type', run_name FROM setting WHERE snapshot = 'current')
+             GROUP BY run_name, key)
+           SELECT run_name, split_part(key, '.', 1) AS section,
+                  coalesce(string_agg(split_part(key, '.', 2) || '=' || current, ',' ORDER BY key) FILTER (current IS NOT NULL), '') AS current,
+                  coalesce(string_agg(split_part(key, '.', 2) || '=' || main, ',' ORDER BY key) FILTER (main IS NOT NULL), '') AS main,
+                  bool_or(main IS DISTINCT FROM current) AS differs,
+                  max(current) FILTER (key = 'corpus.type') AS type, NULL::VARCHAR AS storage
+           FROM every GROUP BY run_name, section""",
+    ),
     "manifest_integrity": (
         ("doc_diff",),
         """SELECT bool_and(status = 'unchanged') AS data_integrity_passed,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrank import schemas
 from sparkrank.catalog import inputs
 from sparkrank.functions import text as T
 from sparkrank.functions.embedding import Embedder, HashedBow
@@ -414,6 +417,13 @@ def mean_retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def both_mean_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over scored and over all judged queries."""
+    means = evaluate.both_means(_retrieval_metrics(spark, sf_dir), inputs.judgments(spark, sf_dir))
+    return means.select("n_queries", "n_judged", *[F.round(c, 6).alias(c) for c in means.columns[2:]])
+
+
 @query
 def conversation_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers found for user turns, without a tag; lists of any length allowed."""
@@ -460,6 +470,38 @@ def manifest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.with_new_versions(diff, F.lit(MAIN_VERSION))
 
 
+@query
+def manifest_diff_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of buckets first, rows only where they differ."""
+    return tracking.compare_large_manifests(*inputs.document_manifests(spark, sf_dir), buckets=256)
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    """``name, path`` of files, one for each row of ``name, content``, written by the tasks."""
+
+    def write(batches):
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            paths = [f"{folder}/{name}" for name in batch.column(0).to_pylist()]
+            for path, content in zip(paths, batch.column(1).to_pylist(), strict=True):
+                with open(path, "wb") as out:
+                    out.write(content or b"")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["name", "path"])
+
+    return df.select("name", F.col("content").cast("binary").alias("content")).mapInArrow(write, "name string, path string")
+
+
+@query
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of one file for each document, and of files that are not there, one for each benchmark item."""
+    folder = _fresh(spark, "files").removeprefix("file://")
+    docs = inputs.table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("name"), F.col("text").alias("content"))
+    files = store.checkpointed(_written(docs, folder))
+    item = F.concat(F.lit("item-"), "item_id")
+    missing = inputs.table(spark, sf_dir, "benchmark").select(item.alias("name"), F.concat(F.lit(f"{folder}/"), item).alias("path"))
+    return readers.file_manifest(spark, files.unionByName(missing)).select("name", "md5")
+
+
 @query
 def manifest_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.integrity(tracking.compare_manifests(*inputs.document_manifests(spark, sf_dir)))
@@ -489,6 +531,50 @@ def track_and_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decision(track.decide(runs, runs, main, current, F.lit(MAIN_VERSION)))
 
 
+@query
+def run_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings and data digests of all runs, logged and read back."""
+    path = _fresh(spark, "run_params")
+    settings = tracking.flatten_settings(inputs.settings(spark, sf_dir)[0])
+    manifest = inputs.shard_manifests(spark, sf_dir)[0]
+    manifest = manifest.select(F.substring_index("name", "/", 1).alias("run_name"), "name", "md5")
+    writers.append_table(tracking.parameter_rows(settings, manifest), path)
+    return spark.read.schema(schemas.RUN_PARAMS).parquet(path)
+
+
+@query
+def decision_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions written and read back."""
+    path = _fresh(spark, "decision")
+    runs = inputs.runs(spark, sf_dir)
+    writers.write_decision(tracking.promotion_decisions(runs, runs), path)
+    return _decision(spark.read.schema(schemas.PROMOTION).json(path))
+
+
+@query
+def track_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data-version records of all compared runs, logged with time, branch and commit and read back."""
+    path = _fresh(spark, "version_log")
+    runs = inputs.runs(spark, sf_dir).filter(tracking.is_compared(F.col("branch")))
+    diff = tracking.compare_manifests(*inputs.shard_manifests(spark, sf_dir))
+    by_source = diff.withColumn("source", F.substring_index("name", "/", 1))
+    entries = tracking.version_entries(by_source, F.lit(MAIN_VERSION), by=["source"])
+    writers.append_log(tracking.stamped(entries, runs, on=["source"], commit=F.sha1("run_name")), path)
+    kinds = "run_name string, timestamp string, branch string, commit string, base_main_version string, changed_files array<string>, missing_files array<string>"
+    logged = spark.read.schema(kinds).json(path)
+    return logged.withColumns({c: F.array_join(c, ",") for c in ("changed_files", "missing_files")})
+
+
+@query
+def model_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings of all runs against main by section, with what is their kind."""
+    main, current = (tracking.flatten_settings(s) for s in inputs.settings(spark, sf_dir))
+    kinds = current.select("run_name").distinct().withColumns({"key": F.lit("corpus.type"), "value": F.col("run_name")})
+    found = tracking.model_entries(main, current.unionByName(kinds), on=["run_name"])
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    return found.select("run_name", "section", text("current").alias("current"), text("main").alias("main"), "differs", "type", "storage")
+
+
 # user-supplied functions
 
 

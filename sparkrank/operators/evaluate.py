@@ -78,3 +78,17 @@ def mean_metrics(metrics: DataFrame) -> DataFrame:
         F.avg("recall").alias("recall"),
         F.avg("map").alias("map"),
     )
+
+
+def both_means(metrics: DataFrame, judgments: DataFrame) -> DataFrame:
+    """One row: means over the scored queries, and over all judged ones with zero for those without a score."""
+    names = ("precision", "recall", "map")
+    judged = judgments.filter(F.col("query_id").isNotNull()).select("query_id").distinct()
+    filled = judged.join(metrics, "query_id", "left")
+    scored = F.count(F.when(F.greatest(*names).isNotNull(), 1))
+    return filled.agg(
+        scored.alias("n_queries"),
+        F.count(F.lit(1)).alias("n_judged"),
+        *[F.avg(c).alias(c) for c in names],
+        *[F.avg(F.coalesce(c, F.lit(0.0))).alias(f"{c}_zero_filled") for c in names],
+    )

@@ -35,6 +35,37 @@ def compare_manifests(main: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+BUCKET_ROWS = 10_000
+MOST_BUCKETS = 1 << 18
+
+
+def compare_large_manifests(main: DataFrame, current: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The rows of :func:`compare_manifests`, shuffling only buckets of names that differ.
+
+    Names are dealt over buckets by hash, and each side has one digest a bucket: its count and two sums
+    of row hashes, combined before the shuffle. Where both sides agree, every row is unchanged and
+    stays where it is; only the others are joined. Names are unique within a manifest. The
+    default makes buckets of about :data:`BUCKET_ROWS` names, and at most :data:`MOST_BUCKETS`,
+    whose numbers are what is broadcast.
+    """
+    if buckets is None:
+        buckets = min(max(main.count() // BUCKET_ROWS, 1), MOST_BUCKETS)
+    bucket = F.pmod(F.xxhash64("name"), F.lit(buckets)).alias("__bucket")
+
+    def digests(manifest: DataFrame, side: str) -> DataFrame:
+        sums = [F.sum(F.xxhash64(F.lit(i), "name", "md5", F.col("md5").isNull()).cast("decimal(38,0)")).alias(f"s{i}") for i in (0, 1)]
+        rows = manifest.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), *sums)
+        return rows.select("__bucket", F.struct("n", "s0", "s1").alias(side))
+
+    both = digests(main, "a").join(digests(current, "b"), "__bucket", "full_outer")
+    differing = F.broadcast(both.filter(~F.col("a").eqNullSafe(F.col("b"))).select("__bucket"))
+    a, b = (m.select("name", "md5", bucket) for m in (main, current))
+    same = a.join(differing, "__bucket", "left_anti")
+    status = F.when(F.col("md5").isNull(), "new").otherwise("unchanged")
+    equal = same.select("name", F.col("md5").alias("main_md5"), F.col("md5").alias("current_md5"), status.alias("status"))
+    return equal.unionByName(compare_manifests(*(m.join(differing, "__bucket", "left_semi") for m in (a, b))))
+
+
 def with_new_versions(diff: DataFrame, main_version: Column) -> DataFrame:
     """Add the version a changed or new file gets."""
     version = F.when(F.col("status") == "changed", T.bump_version(main_version)).when(
@@ -100,6 +131,57 @@ def compare_settings(main: DataFrame, current: DataFrame, on: Sequence[str] = ("
     )
 
 
+# Sections whose kind is that of the main run; the others have that of the current one.
+KIND_OF_MAIN = ("splitter", "vectordb")
+
+
+def model_entries(main: DataFrame, current: DataFrame, on: Sequence[str] = ()) -> DataFrame:
+    """Settings of two runs by section: ``current`` and ``main`` as maps, with ``type`` and ``storage``.
+
+    Both have ``key, value`` with dotted keys, and the columns ``on`` that tell runs apart.
+    """
+    compared = compare_settings(main, current, on=(*on, "key"))
+    named = compared.withColumn("section", F.substring_index("key", ".", 1)).withColumn("name", F.expr("substr(key, length(section) + 2)"))
+
+    def values(side: str) -> Column:
+        return F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col(side).isNotNull(), F.struct("name", side))))).alias(side)
+
+    sections = named.groupBy(*on, "section").agg(values("current"), values("main"), F.bool_or("differs").alias("differs"))
+
+    def kind(name: str) -> Column:
+        of_main = F.col("section").isin(*KIND_OF_MAIN)
+        return F.when(of_main, F.try_element_at("main", F.lit(name))).otherwise(F.try_element_at("current", F.lit(name))).alias(name)
+
+    return sections.select("*", kind("type"), kind("storage"))
+
+
+def parameter_rows(settings: DataFrame, manifest: DataFrame | None = None, system: DataFrame | None = None) -> DataFrame:
+    """``run_name, key, value`` of all that is logged with a run: settings, data digests, and the system.
+
+    ``settings`` and ``system`` are such rows; ``manifest`` has ``run_name, name, md5``.
+    """
+    rows = settings.select("run_name", "key", "value")
+    if manifest is not None:
+        rows = rows.unionByName(manifest.select("run_name", F.concat(F.lit("data."), "name").alias("key"), F.col("md5").alias("value")))
+    if system is not None:
+        rows = rows.unionByName(system.select("run_name", F.concat(F.lit("system."), "key").alias("key"), "value"))
+    return rows
+
+
+def stamped(entries: DataFrame, runs: DataFrame, on: Sequence[str] = (), commit: Column | None = None) -> DataFrame:
+    """Log records with the ``run_name``, ``timestamp``, ``branch`` and ``commit`` of their run.
+
+    ``runs`` has ``run_name, branch, ts`` and the columns ``on``; without any there is one run. A
+    missing commit is ``unknown``.
+    """
+    known = F.coalesce(commit if commit is not None else F.lit(None).cast("string"), F.lit("unknown"))
+    marks = runs.select(*on, "run_name", F.date_format("ts", "yyyyMMdd_HHmmss").alias("timestamp"), "branch", known.alias("commit")).distinct()
+    if on:
+        return marks.join(entries, list(on))
+    one = marks.limit(1)
+    return entries.select(*[one.select(c).scalar().alias(c) for c in ("run_name", "timestamp", "branch", "commit")], "*")
+
+
 def run_name(branch: Column, ts: Column) -> Column:
     return F.concat(branch, F.lit("_run_"), F.date_format(ts, "yyyyMMdd_HHmmss"))
 

@@ -52,9 +52,15 @@ def track_and_promote(
     main_settings: DataFrame,
     main_version: Column,
     folder: str,
+    commit: Column | None = None,
+    manifest: DataFrame | None = None,
+    system: DataFrame | None = None,
 ) -> DataFrame:
     """Log one run, compare it with main, write the decision and return it.
 
+    The logs carry the run's name, time, branch and ``commit``; its parameters are the settings, the
+    digests of ``manifest`` (``run_name, name, md5``) and the rows of ``system``.
+
     ``runs_path`` is the table of earlier runs; ``settings`` and
     ``main_settings`` are ``run_name, key, value`` and ``key, value`` rows.
     The decision is made before the run joins the table, so a run is never
@@ -64,13 +70,14 @@ def track_and_promote(
     runs = spark.read.parquet(runs_path)
     decision = decide(run, runs, main_manifest, current_manifest, main_version)
     writers.write_decision(decision, f"{folder}/promotion")
-    name = run.select(F.max("run_name")).scalar()
     compared = run.select(F.max(tracking.is_compared(F.col("branch")))).scalar()
     diff = tracking.compare_manifests(main_manifest, current_manifest)
     entry = tracking.version_entries(diff, main_version).filter(compared)
-    writers.append_log(entry.withColumn("run_name", name), f"{folder}/version_log")
+    writers.append_log(tracking.stamped(entry, run, commit=commit), f"{folder}/version_log")
     models = tracking.compare_settings(main_settings, settings).filter(compared)
-    writers.append_log(models.withColumn("run_name", name), f"{folder}/model_version_log")
-    writers.append_table(settings, f"{folder}/run_params")
+    writers.append_log(tracking.stamped(models, run, commit=commit), f"{folder}/model_version_log")
+    sections = tracking.model_entries(main_settings, settings).filter(compared)
+    writers.append_log(tracking.stamped(sections, run, commit=commit), f"{folder}/section_log")
+    writers.append_table(tracking.parameter_rows(settings, manifest, system), f"{folder}/run_params")
     writers.append_table(run, runs_path)
     return spark.read.json(f"{folder}/promotion", schema=decision.schema)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank import schemas
+from sparkrank.sources.files import file_manifest  # noqa: F401  one of the readers
 
 TARGET_BYTES = 128 << 20
 
@@ -50,32 +51,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < cores * TARGET_BYTES else df
 
 
-def file_manifest(spark: SparkSession, files: dict[str, str]) -> DataFrame:
-    """``name, path, md5`` of input files; the md5 of a missing file is null.
-
-    An md5 has to read a file from its first byte to its last, so a file is one
-    task and must be below 2 GiB; for tables use :func:`table_fingerprint`.
-    """
-    wanted = spark.createDataFrame(list(files.items()), "name string, path string")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-
-    def exists(p: str) -> bool:
-        return path(p).getFileSystem(conf).exists(path(p))
-
-    present = {p: path(p).getFileSystem(conf).makeQualified(path(p)).toString() for p in files.values() if exists(p)}
-    if not present:
-        return wanted.withColumn("md5", F.lit(None).cast("string"))
-    # one binary read per file: the name a file is found under stays as given
-    hashed = None
-    for given, full in present.items():
-        one = spark.read.format("binaryFile").load(full).select(
-            F.lit(given).alias("path"), F.md5("content").alias("md5")
-        )
-        hashed = one if hashed is None else hashed.unionByName(one)
-    return wanted.join(hashed, "path", "left").select("name", "path", "md5")
-
-
 def table_fingerprint(df: DataFrame) -> DataFrame:
     """One row with a fingerprint of all rows, whatever their order.
 

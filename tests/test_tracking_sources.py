@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkrank import schemas
 from sparkrank.functions.embedding import Embedder, HashedBow
-from sparkrank.operators import tracking
+from sparkrank.operators import evaluate, tracking
 from sparkrank.operators.entities import COMPANIES, Dictionary
 from sparkrank.plans import retrieve, track
 from sparkrank.plans.index import StoredCollection, build_collection
@@ -181,7 +181,64 @@ def test_track_and_promote(spark, tmp_path):
     entry = spark.read.json(f"{folder}/version_log").first()
     assert entry.run_name == "dev_run_20250102_030405"
     assert entry.changed_files == ["x"] and entry.changed_versions == ["v1.1"]
+    assert (entry.timestamp, entry.branch, entry.commit) == ("20250102_030405", "dev", "unknown")
     assert spark.read.json(f"{folder}/model_version_log").first().differs
+    section = spark.read.json(f"{folder}/section_log").first()
+    assert (section.section, section.branch, section.current.size, section.main.size) == ("splitter", "dev", "300", "200")
+    logged = {tuple(r) for r in spark.read.parquet(f"{folder}/run_params").collect()}
+    assert logged == {("dev_run_20250102_030405", "splitter.size", "300")}
+
+
+def test_parameters_sections_and_commits(spark):
+    settings = spark.createDataFrame([("r", "embedding.type", "new"), ("r", "splitter.type", "s2"), ("r", "plain", "1")], schemas.RUN_PARAMS)
+    main = spark.createDataFrame([("embedding.type", "old"), ("splitter.type", "s1"), ("vectordb.storage", "disk"), ("plain", "1")], "key string, value string")
+    found = {r.section: r for r in tracking.model_entries(main, settings).collect()}
+    assert {s: (r.type, r.storage, r.differs) for s, r in found.items()} == {
+        "embedding": ("new", None, True), "splitter": ("s1", None, True), "vectordb": (None, "disk", True), "plain": (None, None, False)
+    }
+    files = spark.createDataFrame([("r", "corpus", "m"), ("r", "gone", None)], "run_name string, name string, md5 string")
+    system = spark.createDataFrame([("r", "python", "3.13")], schemas.RUN_PARAMS)
+    rows = {tuple(r)[1:] for r in tracking.parameter_rows(settings, files, system).collect()}
+    assert rows >= {("data.corpus", "m"), ("data.gone", None), ("system.python", "3.13"), ("plain", "1")} and len(rows) == 6
+    run = spark.createDataFrame([("r", "dev", TS)], "run_name string, branch string, ts timestamp")
+    assert tracking.stamped(main.limit(1), run, commit=F.lit("abc")).first().commit == "abc"
+
+
+def test_both_means(spark):
+    scores = spark.createDataFrame([("a", 0.5, 1.0, 0.5), ("b", 0.1, 0.0, 0.5)], schemas.METRICS)
+    judged = spark.createDataFrame([(q, "d", 1) for q in ("a", "a", "b", "c", "d", None)], schemas.JUDGMENT)
+    row = evaluate.both_means(scores, judged).first()
+    assert (row.n_queries, row.n_judged, row.recall, row.recall_zero_filled, row.map_zero_filled) == (2, 4, 0.5, 0.25, 0.25)
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 1000])
+def test_manifests_by_buckets(spark, buckets):
+    main = manifest(spark, {f"f{i}": None if i % 50 == 3 else str(i) for i in range(300)})
+    changes = {f"f{i}": "other" if i == 7 else None if i % 50 == 3 else str(i) for i in range(299)} | {"new": "1"}
+    for current in (manifest(spark, changes), main, main.filter("false")):
+        got = tracking.compare_large_manifests(main, current, buckets)
+        assert sorted(map(str, got.collect())) == sorted(map(str, tracking.compare_manifests(main, current).collect()))
+    assert tracking.compare_large_manifests(main, main).count() == 300
+
+
+def test_digests_of_many_and_of_very_large_files(spark, tmp_path):
+    size = (2 << 30) + 12_345
+    with open(tmp_path / "large", "wb") as out:
+        out.truncate(size)  # takes no disk
+    names = [f"n{i}" for i in range(1_000)]
+    for name in names:
+        (tmp_path / name).write_text(name * 3)
+    (tmp_path / "empty").write_text("")
+    listed = [(n, str(tmp_path / n)) for n in [*names, "large", "empty", "gone"]] + [("uri", f"file://{tmp_path}/n1"), ("folder", str(tmp_path))]
+    found = {r.name: r.md5 for r in readers.file_manifest(spark, spark.createDataFrame(listed, "name string, path string")).collect()}
+    zeros, expected = bytes(1 << 20), hashlib.md5()
+    for at in range(0, size, 1 << 20):
+        expected.update(zeros[: min(1 << 20, size - at)])
+    assert found["large"] == expected.hexdigest() and found["empty"] == hashlib.md5(b"").hexdigest()
+    assert found["gone"] is None and found["folder"] is None and found["uri"] == found["n1"]
+    assert all(found[n] == hashlib.md5((n * 3).encode()).hexdigest() for n in names) and len(found) == len(listed)
+    with open(tmp_path / "large", "wb"):
+        pass
 
 
 def test_scores_that_are_no_numbers_do_not_count(spark):
