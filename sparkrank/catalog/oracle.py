@@ -411,6 +411,12 @@ _FILTERED = _top(_squared("q.embedding", "c.embedding"), "q.ticker = c.ticker")
 # name -> (what it reads, statement)
 STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "clean_corpus": (("corpus",), "SELECT _id, title, text FROM corpus"),
+    "clean_corpus_joined": (("corpus",), "SELECT _id, title, text FROM corpus"),
+    "scan_quarantine": (
+        (),
+        f"""SELECT {_raw_id('source', 'doc_id')} AS _id, CASE WHEN lang = 'es' THEN 'aside' ELSE 'kept' END AS status,
+                   CASE WHEN lang <> 'es' THEN md5(text) END AS md5 FROM documents""",
+    ),
     "clean_corpus_as_coded": (
         ("raw_corpus", "titles"),
         f"""SELECT _id, title, {_clean("regexp_replace(title || ' ' || text, '\\s', ' ', 'g')")} AS text

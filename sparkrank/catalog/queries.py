@@ -81,6 +81,12 @@ def clean_corpus_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("_id", "title", "text")
 
 
+@query
+def clean_corpus_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cleaning with the dictionary as a table, as for many entries."""
+    return cleaning.clean_corpus(inputs.raw_corpus(spark, sf_dir), inputs.dictionary(spark, sf_dir)).select("_id", "title", "text")
+
+
 @query
 def clean_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_queries(inputs.raw_queries(spark, sf_dir)).select("_id", "text")
@@ -120,6 +126,23 @@ def scan_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_judgments(spark, path)
 
 
+@query
+def scan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which those of Spanish documents are cut off: what is read, and what is put aside."""
+    path, aside = _fresh(spark, "broken"), _fresh(spark, "quarantine")
+    docs = inputs.raw_corpus(spark, sf_dir).join(inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "lang"), "pos")
+    line = F.to_json(F.struct("_id", "title", "text"))
+    docs.select(_cut_off(line, F.col("lang") == "es")).write.text(path)
+    kept = readers.read_with_quarantine(spark, path, "documents", aside, tolerated=0.5).select("_id", F.lit("kept").alias("status"), F.md5("text").alias("md5"))
+    bad = spark.read.parquet(aside).select(F.regexp_extract("line", '"_id":"([^"]*)"', 1).alias("_id"), F.lit("aside").alias("status"))
+    return kept.unionByName(bad.withColumn("md5", F.lit(None).cast("string")))
+
+
+def _cut_off(line: Column, broken: Column) -> Column:
+    """Lines without their last character where they are to be broken."""
+    return F.when(broken, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("value")
+
+
 @query
 def metrics_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _fresh(spark, "metrics")

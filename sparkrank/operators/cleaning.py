@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from sparkrank.functions import text as T
 from sparkrank.operators.entities import Dictionary, invert
-from sparkrank.operators.skew import join_spread
+from sparkrank.operators.skew import broadcast_if_small, join_spread
 
 
-def clean_titles(
-    docs: DataFrame, dictionary: Dictionary | DataFrame, substring: bool = False, pos: str = "pos"
-) -> DataFrame:
+# Titles that name a ticker are broadcast up to this many (some 100 bytes each).
+BROADCAST_TITLES = 500_000
+
+
+def clean_titles(docs: DataFrame, dictionary: Dictionary | DataFrame, substring: bool = False) -> DataFrame:
     """Titles with their first known ticker replaced by the company name.
 
     Only a title that names a ticker also has its repeated words removed. A
     :class:`Dictionary` is looked up inside the row. A dictionary table may have
-    any size; its hits are joined back by ``pos``, which shuffles the documents.
+    any size: the words of the distinct titles are joined with it, and the titles that name a ticker
+    back to the documents, so every row gets what its own title says. When such titles are few, which is counted,
+    they are broadcast and no text is shuffled.
     """
     lowered = docs.withColumn("title", F.lower(F.coalesce("title", F.lit(""))))
     if isinstance(dictionary, Dictionary):
@@ -25,14 +29,14 @@ def clean_titles(
         found = lowered.withColumn("__ticker", F.try_element_at(known, F.lit(1)))
         company = dictionary.company_of(F.col("__ticker"))
     else:
-        words = lowered.select(pos, F.posexplode(F.split("title", " ")).alias("at", "ticker"))
+        words = lowered.select("title").distinct().select("title", F.posexplode(F.split("title", " ")).alias("at", "ticker"))
         hits = (
-            join_spread(words, invert(dictionary), "ticker", by=pos)
-            .groupBy(pos)
+            join_spread(words, invert(dictionary), "ticker", by="title")
+            .groupBy("title")
             .agg(F.min(F.struct("at", "ticker", "company")).alias("hit"))
         )
-        named = hits.select(pos, F.col("hit.ticker").alias("__ticker"), F.col("hit.company").alias("__company"))
-        found = lowered.join(named, pos, "left")
+        named = hits.select("title", F.col("hit.ticker").alias("__ticker"), F.col("hit.company").alias("__company"))
+        found = lowered.join(broadcast_if_small(named, BROADCAST_TITLES), "title", "left")
         company = F.col("__company")
     ticker = F.col("__ticker")
     replaced = T.distinct_words(T.replace_word(F.col("title"), ticker, company, substring))

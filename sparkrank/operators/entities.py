@@ -42,8 +42,12 @@ DICTIONARY_SCHEMA = "company string, ticker string, pos long"
 
 
 def invert(dictionary: DataFrame) -> DataFrame:
-    """One company per ticker: the last entry wins."""
-    return dictionary.groupBy("ticker").agg(F.max_by("company", "pos").alias("company"))
+    """One company per ticker: the last company wins.
+
+    A company given twice keeps its first place and its last ticker, as in :class:`Dictionary`.
+    """
+    companies = dictionary.groupBy("company").agg(F.max_by("ticker", "pos").alias("ticker"), F.min("pos").alias("pos"))
+    return companies.groupBy("ticker").agg(F.max_by("company", "pos").alias("company"))
 
 
 class Dictionary:

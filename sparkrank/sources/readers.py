@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank import schemas
+from sparkrank.sources.collection import checkpointed
 from sparkrank.sources.files import file_manifest  # noqa: F401  one of the readers
 
 TARGET_BYTES = 128 << 20
@@ -28,6 +29,35 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.METRICS).csv(path, header=True)
 
 
+class TooManyBadRows(Exception):
+    """More rows than tolerated can't be read."""
+
+
+def read_with_quarantine(spark: SparkSession, path: str, kind: str, quarantine: str, tolerated: float = 0.0) -> DataFrame:
+    """The sound rows of ``documents``, ``judgments`` or ``metrics`` files; the others go to a side table.
+
+    ``quarantine`` is the folder of that table: the ``line`` as it stands, its ``file`` and the ``block`` of the file it lies
+    in (the first byte of the split that read it). If their share is above ``tolerated``, the rows are written all the same and
+    :class:`TooManyBadRows` is raised. Lines are parsed once with all their columns, into a
+    checkpoint, so a value that can't be read counts whichever columns are used later.
+    """
+    schema, options = {
+        "documents": (schemas.DOCUMENT, {"format": "json"}),
+        "judgments": (schemas.JUDGMENT, {"format": "csv", "sep": "\t", "header": True}),
+        "metrics": (schemas.METRICS, {"format": "csv", "header": True}),
+    }[kind]
+    given = spark.read.format(options.pop("format")).schema(f"{schema}, __bad string")
+    rows = given.options(mode="PERMISSIVE", columnNameOfCorruptRecord="__bad", enforceSchema=True, **options).load(path)
+    places = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+    parsed = checkpointed(rows.select("*", *places))
+    bad = parsed.filter("__bad is not null")
+    bad.select(F.col("__bad").alias("line"), F.col("__file").alias("file"), F.col("__block").alias("block")).write.mode("append").parquet(quarantine)
+    every, broken = parsed.agg(F.count(F.lit(1)), F.count("__bad")).first()
+    if broken > tolerated * every:
+        raise TooManyBadRows(f"{broken} of {every} rows of {path}; they are in {quarantine}")
+    return parsed.filter("__bad is null").drop("__bad", "__file", "__block")
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

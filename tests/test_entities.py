@@ -53,3 +53,20 @@ def test_dictionary_size_is_checked(spark):
     )
     with pytest.raises(ValueError):
         Dictionary.from_table(many)
+
+
+def test_a_table_of_any_size_cleans_as_the_lookup_does(spark):
+    """Null and repeated positions, a company given twice, a ticker of two companies, null titles."""
+    from sparkrank.operators.cleaning import clean_titles
+
+    entries = [("apple", "aapl", 0), ("visa", "v", 1), ("appl", "aapl", 2), ("visa", "vv", 3), ("apple", "aapl", 4), ("meta", "m", 5)]
+    table = spark.createDataFrame(entries, "company string, ticker string, pos long")
+    more = table.union(spark.range(5_000).selectExpr("concat('c', id)", "concat('t', id)", "id + 10"))
+    docs = [("V one", 1), ("VV two m", 1), ("AAPL three aapl", None), ("m four", None), (None, 5), ("none", None), ("T77 x v", 2), ("V one", 9)]
+    frame = spark.createDataFrame(docs, "title string, pos long")
+    small = clean_titles(frame, Dictionary.from_table(table)).select("title").collect()
+    assert sorted(map(str, small)) == sorted(map(str, clean_titles(frame, table).select("title").collect()))
+    large = sorted(r.title for r in clean_titles(frame, more).select("title").collect())
+    assert large == sorted(["v one", "v one", "visa two m", "appl three", "meta four", "", "none", "c77 x v"])
+    plan = clean_titles(frame, more)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

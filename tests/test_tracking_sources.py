@@ -290,3 +290,20 @@ def test_a_dictionary_table_of_any_size_builds_a_collection(spark):
     )
     out = {r._id: r for r in build_collection(docs, many, HashedBow(8)).collect()}
     assert len(out) == 2 and any(r.text.startswith("c4321 rose") for r in out.values())
+
+
+def test_bad_rows_are_put_aside(spark, tmp_path):
+    lines = ['{"_id": "A", "title": "t", "text": "x"}', '{"_id": "B"', "no json", '{"_id": "C", "title": null, "text": "y"}']
+    (tmp_path / "docs.jsonl").write_text("\n".join(lines))
+    good = readers.read_with_quarantine(spark, str(tmp_path / "docs.jsonl"), "documents", str(tmp_path / "bad"), tolerated=0.5)
+    assert sorted(r._id for r in good.select("_id").collect()) == ["A", "C"]
+    aside = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted(r.line for r in aside) == sorted(lines[1:3]) and all(r.file.endswith("docs.jsonl") and r.block == 0 for r in aside)
+    with pytest.raises(readers.TooManyBadRows, match="2 of 4"):
+        readers.read_with_quarantine(spark, str(tmp_path / "docs.jsonl"), "documents", str(tmp_path / "bad2"), tolerated=0.4)
+    (tmp_path / "j.tsv").write_text("query_id\tcorpus_id\tscore\nq1\tA\t1\nq2\tB\tone\nq3\n")
+    good = readers.read_with_quarantine(spark, str(tmp_path / "j.tsv"), "judgments", str(tmp_path / "bad3"), tolerated=0.9)
+    assert [r.query_id for r in good.select("query_id").collect()] == ["q1"]
+    (tmp_path / "m.csv").write_text("query_id,precision,recall,map\nq1,0.5,1.0,x\nq2,0.1,0.2,0.3\n")
+    good = readers.read_with_quarantine(spark, str(tmp_path / "m.csv"), "metrics", str(tmp_path / "bad4"), tolerated=0.5)
+    assert [r.query_id for r in good.select("query_id").collect()] == ["q2"]
