@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import drop_stored, phrase_hashes, record, release, stored, utf8
+from sparkrank.llm.common import drop_stored, phrase_hashes, record, release, slices, stored, utf8
 
 LEAST = 30
 LONGEST = 4
@@ -43,7 +43,7 @@ TOP = 2000
 SHARE = 80
 SCALE = 1_000_000
 BITS = 26
-CHUNK = 12 << 20  # bytes of texts that are counted together in a task
+CHUNK = 4 << 20  # bytes of texts that are counted together in a task
 GROUPS = 64  # groups of a language whose best phrases are found before the last step
 
 # The separators of pieces and of words.
@@ -115,10 +115,11 @@ class Chunk:
                 shorter = phrase_hashes(words, np.arange(max(len(words) - size + 2, 0)), size - 1)
             at = at[wanted(shorter, at)]
         columns, counts = packed(self.numbers, at, size)
+        del at, inside
         parts = [self.words.take(pa.array(c - 1)) for c in columns]
         names = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary()))
         if size == 1:  # the number of all words, under the empty phrase
-            names, counts = pa.concat_arrays([names, pa.array([b""], pa.large_binary())]), np.append(counts, len(at))
+            names, counts = pa.concat_arrays([names, pa.array([b""], pa.large_binary())]), np.append(counts, np.count_nonzero(self.numbers))
         return names, counts
 
 
@@ -145,12 +146,14 @@ def _count(size: int, tight: bool, maps: dict):
         for i in range(0, len(names), 1 << 16):
             part, own = names[i : i + (1 << 16)], counts[i : i + (1 << 16)]
             yield record(COUNTED, [lang.decode()] * len(part), part.cast(pa.binary()).cast(pa.string()), own)
+        del names, counts
+        pa.default_memory_pool().release_unused()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         held: dict[bytes, list[bytes]] = {}
         sizes: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(utf8(batch.column(0)), utf8(batch.column(1)), strict=True):
                 for part in _cut(text):
                     held.setdefault(lang, []).append(part)
