@@ -2,12 +2,14 @@
 
 The test strings are the windows of ten consecutive words of every benchmark item.
 All of them are searched at once in the normalised text of a document: a table of
-shifts by block of characters skips positions where no string can end, the hash of
-the last block of the common prefix length selects candidates, and a direct
-comparison confirms them.
+shifts by block of characters skips positions where no string can end. Where it
+allows no shift, the hash of the block that ends there selects a bucket: the strings
+whose first ``m`` bytes (the length of the shortest string) end with this block. Within
+the bucket the first block leaves few of them, and a direct comparison confirms them.
 
 The strings travel to the tasks in groups of bounded size; documents are read
-once for each group, and one group holds about half a million windows.
+once for each group, and one group holds about half a million windows. A group is a share of the
+pairs of window and item, so a window of a million items is dealt over groups, too.
 
 Defined cases: null and empty texts have no words; an item without an id takes no part; items that share
 an id are one; repeated documents get equal rows, a null ``doc_id`` is kept; an empty
@@ -56,12 +58,12 @@ class WuManber:
         self.block = block = max(1, min(12, m // 2))
         self.default = m - block + 1
         self.shift: dict[bytes, int] = {}
-        self.buckets: dict[bytes, list[bytes]] = defaultdict(list)
+        self.buckets: dict[bytes, dict[bytes, list[bytes]]] = defaultdict(lambda: defaultdict(list))
         for p in patterns:
             for end in range(block, m + 1):
                 key = p[end - block : end]
                 self.shift[key] = min(self.shift.get(key, self.default), m - end)
-            self.buckets[p[:m]].append(p)
+            self.buckets[p[m - block : m]][p[:block]].append(p)
 
     def search(self, line: bytes) -> Iterator[tuple[int, bytes]]:
         """Start and string of every occurrence."""
@@ -69,12 +71,13 @@ class WuManber:
         shift, buckets = self.shift.get, self.buckets
         end = m
         while end <= n:
-            step = shift(line[end - block : end], default)
+            last = line[end - block : end]
+            step = shift(last, default)
             if step:
                 end += step
                 continue
             start = end - m
-            for p in buckets.get(line[start:end], ()):
+            for p in buckets[last].get(line[start : start + block], ()):
                 if line.startswith(p, start):
                     yield start, p
             end += 1
@@ -126,15 +129,20 @@ def _windows(words: int):
     return run
 
 
-def window_groups(benchmark: DataFrame, words: int = WINDOW, group_bytes: int = GROUP_BYTES) -> Iterator[list[tuple[bytes, str]]]:
-    """All (window, item) pairs in lists of about ``group_bytes`` at most, one at a time."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    pairs = items.filter("item_id is not null").mapInArrow(_windows(words), "item_id string, window binary").distinct()
+def window_groups(benchmark: DataFrame, words: int = WINDOW, group_bytes: int = GROUP_BYTES, items: bool = True) -> Iterator[list[tuple[bytes, str]]]:
+    """All (window, item) pairs in lists of about ``group_bytes`` at most, one at a time.
+
+    Pairs are dealt by window and item, so a window of many items is in several lists. Without ``items``
+    every window comes once, with an empty item.
+    """
+    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    pairs = texts.filter("item_id is not null").mapInArrow(_windows(words), "item_id string, window binary")
+    pairs = (pairs if items else pairs.select(F.lit("").alias("item_id"), "window")).distinct()
     pairs = stored(pairs, "windows")
     total = pairs.agg(F.sum(F.octet_length("window") + F.octet_length("item_id") + 100)).first()[0] or 0
     groups = -(-total // group_bytes)
     for g in range(groups):
-        own = pairs.filter(F.pmod(F.xxhash64("window"), F.lit(groups)) == g) if groups > 1 else pairs
+        own = pairs.filter(F.pmod(F.xxhash64("window", "item_id"), F.lit(groups)) == g) if groups > 1 else pairs
         yield [(bytes(r.window), r.item_id) for r in own.select("window", "item_id").toLocalIterator()]
 
 
@@ -209,6 +217,6 @@ def _clean(windows, text_at: int):
 def decontaminated(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The rows of ``docs`` in which no window occurs, with all their columns; nothing is shuffled."""
     context, at = docs.sparkSession.sparkContext, docs.columns.index("text")
-    for group in window_groups(benchmark, words, group_bytes):
+    for group in window_groups(benchmark, words, group_bytes, items=False):
         docs = docs.mapInArrow(_clean(context.broadcast(group), at), docs.schema)
     return docs

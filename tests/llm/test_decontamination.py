@@ -65,3 +65,28 @@ def test_long_lines_are_normalised_alike(monkeypatch):
     short = D.normalised(text)
     monkeypatch.setattr(D, "LONG_TEXT", 10)
     assert D.normalised(text) == short and D.normalised(b" -- ") == b""
+
+
+def test_buckets_by_last_block():
+    """Strings that share first and last block, or one of both, are told apart by comparison."""
+    rng = random.Random(3)
+    strings = {bytes(rng.choice(b"ab ") for _ in range(rng.randint(8, 11))) for _ in range(300)}
+    strings |= {b"aaaaXbbbb" + x for x in (b"", b"1", b"2")} | {b"aaaaYbbbb", b"ccccXbbbb"}
+    line = bytes(rng.choice(b"ab ") for _ in range(30_000)) + b"aaaaXbbbb2 aaaaYbbbb ccccXbbbb aaaaXbbb"
+    machine = D.WuManber(strings)
+    assert all(len(last) == machine.block for last in machine.buckets)
+    plain = {(i, p) for p in strings for i in range(len(line)) if line.startswith(p, i)}
+    assert len(plain) > 100 and set(machine.search(line)) == plain
+
+
+def test_window_of_many_items_is_dealt_over_groups(spark):
+    many = 100_000
+    bench = spark.range(many).selectExpr("id as item_id", "'one window in every item' as text")
+    sizes = [sum(len(w) + len(i) + 100 for w, i in g) for g in D.window_groups(bench, group_bytes=2 << 20)]
+    assert len(sizes) > 5 and max(sizes) < 1.1 * (2 << 20)
+    assert [len(g) for g in D.window_groups(bench, items=False)] == [1]
+    docs = spark.createDataFrame([(1, "so: One window in every ITEM!"), (2, "one window")], "doc_id long, text string")
+    found = {r.doc_id: r for r in D.search(docs, bench, group_bytes=2 << 20).collect()}
+    assert found[1].n_words == 6 and [(h.first, h.end) for h in found[1].hits] == [(1, 6)]
+    assert found[1]["items"] == sorted(map(str, range(many))) and found[2]["items"] == []
+    assert [r.doc_id for r in D.decontaminated(docs, bench, group_bytes=2 << 20).collect()] == [2]
