@@ -8,7 +8,11 @@ with ``elif`` and ``else``, ``{% set name = expression %}`` and
 Expressions are strings, numbers, ``true``/``false``/``none``, names, fields of a turn
 (``m.role``, ``m.content``, ``m.index``, ``m.first``, ``m.last``), ``not and or``,
 ``== != < <= > >= in``, ``~`` (joins texts), ``+ - % *`` on numbers, and the filters
-below. Nothing else can be reached from a template: no calls, no attributes.
+below. Nothing else can be reached from a template: no calls, no attributes. A name that was not
+set shows nothing. A template outside the language raises ``TemplateError`` when it is compiled: unread
+or unclosed marks, fields of anything but a turn of an open loop, a turn or ``messages`` as a value, sums
+and orders of values whose kinds do not fit, remainders by zero. What depends on values that
+are set while rendering raises it there, as do numbers beyond 64 bits.
 
 Conversations are read in turn order from sorted partitions, one turn at a
 time, and written in parts of bounded length, so a conversation may be longer than a task's
@@ -53,46 +57,69 @@ def unescape(text: str) -> str:
     return text.replace("<\\", "<").replace("[\\", "[")
 
 
+class TemplateError(ValueError):
+    """A template that the language does not allow."""
+
+
+def _shown(value: object) -> str:
+    return "" if value is None else str(value)
+
+
+def _ordered(act: Callable) -> Callable:
+    def run(a, b):
+        try:
+            return act(a, b)
+        except TypeError:
+            raise TemplateError(f"no order of {a!r} and {b!r}") from None
+
+    return run
+
+
+def _arithmetic(act: Callable) -> Callable:
+    def run(a, b):
+        for value in (a, b):
+            if not isinstance(value, int):
+                raise TemplateError(f"not a number: {value!r}")
+        try:
+            result = act(a, b)
+        except ZeroDivisionError:
+            raise TemplateError("remainder by zero") from None
+        if not -LARGEST <= result <= LARGEST:
+            raise TemplateError("a number is too large")
+        return result
+
+    return run
+
+
+LARGEST = (1 << 63) - 1
 FILTERS: dict[str, Callable[[object], object]] = {
-    "escape": lambda v: escape(str(v)),
-    "trim": lambda v: str(v).strip(),
-    "lower": lambda v: str(v).lower(),
-    "upper": lambda v: str(v).upper(),
-    "length": lambda v: len(str(v)),
+    "escape": lambda v: escape(_shown(v)),
+    "trim": lambda v: _shown(v).strip(),
+    "lower": lambda v: _shown(v).lower(),
+    "upper": lambda v: _shown(v).upper(),
+    "length": lambda v: len(_shown(v)),
 }
 BINARY: dict[str, Callable] = {
     "==": lambda a, b: a == b,
     "!=": lambda a, b: a != b,
-    "<": lambda a, b: a < b,
-    "<=": lambda a, b: a <= b,
-    ">": lambda a, b: a > b,
-    ">=": lambda a, b: a >= b,
-    "in": lambda a, b: str(a) in str(b),
+    "<": _ordered(lambda a, b: a < b),
+    "<=": _ordered(lambda a, b: a <= b),
+    ">": _ordered(lambda a, b: a > b),
+    ">=": _ordered(lambda a, b: a >= b),
+    "in": lambda a, b: _shown(a) in _shown(b),
     "~": lambda a, b: f"{_shown(a)}{_shown(b)}",
-    "+": lambda a, b: a + b,
-    "-": lambda a, b: a - b,
-    "*": lambda a, b: _number(a) * _number(b),
-    "%": lambda a, b: _number(a) % _number(b),
+    "+": _arithmetic(lambda a, b: a + b),
+    "-": _arithmetic(lambda a, b: a - b),
+    "*": _arithmetic(lambda a, b: a * b),
+    "%": _arithmetic(lambda a, b: a % b),
 }
 LEVELS = (("==", "!=", "<", "<=", ">", ">=", "in"), ("~",), ("+", "-"), ("*", "%"))
-FIELDS = ("role", "content", "index", "first", "last")
+FIELDS = {"role": "text", "content": "text", "index": "number", "first": "number", "last": "number"}
 TOKEN = re.compile(r"\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<op>==|!=|<=|>=|[<>~+\-*%|.()]))")
 PIECES = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.DOTALL)
+NAME = re.compile(r"[A-Za-z_]\w*")
 CONSTANTS = {"true": True, "false": False, "none": None}
-
-
-class TemplateError(ValueError):
-    """A template that the language does not allow."""
-
-
-def _shown(value: object) -> str:
-    return "" if value is None else str(value)
-
-
-def _number(value: object) -> int:
-    if not isinstance(value, int):
-        raise TemplateError(f"not a number: {value!r}")
-    return value
+RESERVED = {*CONSTANTS, "and", "or", "not", "in", "messages"}
 
 
 # --- syntax tree: tuples of a kind and its parts -------------------------------------------
@@ -178,6 +205,8 @@ class _Expression:
             marks = {"n": "\n", "t": "\t"}
             return ("value", re.sub(r"\\(.)", lambda m: marks.get(m[1], m[1]), value[1:-1]))
         if kind == "number":
+            if len(value) > 18:
+                raise TemplateError("a number is too large")
             return ("value", int(value))
         if kind != "name":
             raise TemplateError(f"unexpected {value!r}")
@@ -203,10 +232,14 @@ def parse(source: str) -> list[tuple]:
             if piece.startswith("{{"):
                 nodes.append(("out", _Expression(piece[2:-2]).whole()))
             elif not piece.startswith("{%"):
+                if "{{" in piece or "{%" in piece:
+                    raise TemplateError(f"not closed: {piece[:40]!r}")
                 nodes.append(("text", piece))
             else:
                 head, _, rest = piece[2:-2].strip().partition(" ")
                 if head in ends:
+                    if rest.strip() and head != "elif":
+                        raise TemplateError(f"unexpected {rest.strip()!r}")
                     return nodes, at, f"{head} {rest}".strip()
                 if head == "for":
                     found = re.fullmatch(r"(\w+)\s+in\s+messages", rest.strip())
@@ -220,7 +253,7 @@ def parse(source: str) -> list[tuple]:
                 elif head == "set":
                     name, _, value = rest.partition("=")
                     nodes.append(("set", name.strip(), _Expression(value).whole()))
-                elif head == "generation":
+                elif head == "generation" and not rest.strip():
                     body, at, _ = block(at, ("endgeneration",))
                     nodes.append(("generation", body))
                 else:
@@ -242,6 +275,59 @@ def parse(source: str) -> list[tuple]:
     return block(0, ())[0]
 
 
+def _kind(node: tuple, turns: frozenset[str]) -> str | None:
+    """Whether an expression is a text, a number or none; null where that depends on values set while rendering."""
+    kind = node[0]
+    if kind == "value":
+        return {int: "number", bool: "number", str: "text"}.get(type(node[1]), "none")
+    if kind == "name":
+        if node[1] in turns or node[1] in RESERVED:
+            raise TemplateError(f"{node[1]} is no value")
+        return None
+    if kind == "field":
+        if node[1] not in turns:
+            raise TemplateError(f"{node[1]} is no turn of an open loop")
+        return FIELDS[node[2]]
+    if kind == "not":
+        _kind(node[1], turns)
+        return "number"
+    if kind == "filter":
+        _kind(node[2], turns)
+        return "number" if node[1] == "length" else "text"
+    left, right = _kind(node[-2], turns), _kind(node[-1], turns)
+    if kind in ("and", "or"):
+        return left if left == right else None
+    op = node[1]
+    if op in LEVELS[2] or op in LEVELS[3]:
+        if not {left, right} <= {"number", None}:
+            raise TemplateError(f"{op} takes numbers")
+        return "number"
+    if op in ("<", "<=", ">", ">=") and (left and right and left != right or "none" in (left, right)):
+        raise TemplateError(f"no order of {left} and {right}")
+    return "text" if op == "~" else "number"
+
+
+def _check(nodes: list[tuple], turns: frozenset[str] = frozenset()) -> None:
+    """Raise what is wrong with names and kinds of values."""
+    for node in nodes:
+        kind = node[0]
+        if kind in ("for", "set"):
+            if not NAME.fullmatch(node[1]) or node[1] in RESERVED or node[1] in turns:
+                raise TemplateError(f"{node[1]!r} cannot be set here")
+        if kind == "out":
+            _kind(node[1], turns)
+        elif kind == "set":
+            _kind(node[2], turns)
+        elif kind == "if":
+            _kind(node[1], turns)
+            _check(node[2], turns)
+            _check(node[3], turns)
+        elif kind == "for":
+            _check(node[2], turns | {node[1]})
+        elif kind == "generation":
+            _check(node[1], turns)
+
+
 def fold(node: tuple) -> tuple:
     """An expression whose constant parts are computed."""
     kind = node[0]
@@ -384,9 +470,14 @@ class Template:
     """A compiled template. ``render`` takes turns (role, content) from an iterator."""
 
     def __init__(self, source: str):
-        self.tree = fold_block(parse(source))
-        self.loops = _loops(self.tree)
-        self.write = _block(self.tree)
+        try:
+            tree = parse(source)
+            _check(tree)
+            self.tree = fold_block(tree)
+            self.loops = _loops(self.tree)
+            self.write = _block(self.tree)
+        except RecursionError:
+            raise TemplateError("nested too deeply") from None
 
     def render(self, turns: Iterable[tuple[str, str]]) -> Iterator[tuple[str, bool]]:
         """Pieces of the formatted text and whether they are generated.

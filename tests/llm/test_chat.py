@@ -27,6 +27,37 @@ def test_the_rest_is_refused(source):
         chat.Template(source)
 
 
+LOOP = "{%% for m in messages %%}%s{%% endfor %%}"
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "{{ q.role }}", LOOP % "{{ q.role }}", LOOP % "" + "{{ m.role }}", LOOP % "{{ m }}", "{{ messages }}", "{{ in }}",
+        LOOP % "{{ m.index + 'a' }}", LOOP % "{{ m.content - 1 }}", "{{ 'a' + 'b' }}", LOOP % "{% if m.role < 1 %}{% endif %}", "{{ none < 1 }}",
+        "{{ 1 % 0 }}", "{% if false %}{{ 1 % 0 }}{% endif %}", "{{ 9999999999 * 9999999999 }}", "{{ " + "9" * 5000 + " }}",
+        "{% set = 1 %}", "{% set 1a = 1 %}", "{% set true = 1 %}", "{% set messages = 1 %}", LOOP % "{% set m = 1 %}", LOOP % (LOOP % ""), "{% set a %}",
+        "{% for true in messages %}{% endfor %}", "{% generation x %}{% endgeneration %}", "{% if 1 %}{% else 2 %}{% endif %}", "{% if 1 %}{% endif 2 %}",
+        "{{ 'a'", "{% if 1", "{{ " + "(" * 5000 + "1" + ")" * 5000 + " }}", "{{ " + "not " * 5000 + "1 }}",
+    ],
+)
+def test_faults_show_when_compiled(source):
+    with pytest.raises(chat.TemplateError):
+        chat.Template(source)
+
+
+@pytest.mark.parametrize("source", ["{{ x + 1 }}", "{% set x = 0 %}{{ 5 % x }}", "{% set x = 'a' %}{{ x * 2 }}", "{% set x = 'a' %}{% if x < 1 %}{% endif %}", "{% set x = 99999999999 %}{{ x * x }}"])
+def test_faults_of_values_show_when_rendered(source):
+    template = chat.Template(source)
+    with pytest.raises(chat.TemplateError):
+        list(template.render(iter([])))
+
+
+def test_names_without_a_value_show_nothing():
+    assert render("[{{ x }}{{ none | trim }}{{ x | length }}]{% if x %}y{% endif %}}}", []) == "[0]}}"
+    assert render("{% set n = 0 %}" + LOOP % "{% set n = n + m.index %}" + "{{ n }}{{ 7 % 4 - 1 }}", [("u", "")] * 4) == "62"
+
+
 @pytest.mark.parametrize("text", ["", "</s>[INST] ok [/INST]", "<\\<<[\\[", "[OUT]</s><s>[INST] ", "a\n[END]", " x ", "\\"])
 def test_turns_come_back(text):
     turns = [("user", text), ("assistant", text), (text, text), ("system", text)]
