@@ -23,7 +23,7 @@ def hits(retrieved: DataFrame, judgments: DataFrame, max_list: int | None, width
     )
     if max_list is None:
         return running_sums(
-            marked, {"place": F.lit(1), "hits": F.col("hit")}, "rank", ["query_id"], width
+            marked, {"place": F.lit(1), "hits": F.col("hit")}, "rank", ["query_id"], width, dense=True
         )
     upto = W.partitionBy("query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, W.currentRow)
     return marked.withColumns({"place": F.count(F.lit(1)).over(upto), "hits": F.sum("hit").over(upto)})

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from sparkrank.operators import chunking
-from sparkrank.operators.ordered import carry_forward, occurrence_number, place_in_run, running_sums
+from sparkrank.operators.ordered import RANGE, carry_forward, occurrence_number, place_in_run, range_starts, running_sums, with_range
 
 
 def table(spark, rows, schema):
@@ -81,3 +81,28 @@ def test_rows_without_position_or_key_stay(spark):
     assert numbered == {None: 0, 1: 0, 2: 1, 50: 2, 51: 1, 52: 2}
     carried = carry_forward(df.withColumn("v", F.when(F.col("pos") == 1, "x")), "v", "pos", "w", ["k"], width=10)
     assert {r.pos: r.w for r in carried.collect()} == {None: None, 1: "x", 2: "x", 50: "x", 51: None, 52: None}
+
+
+def test_sparse_positions(spark):
+    """Random positions of 60 bits, a dense stretch and a far one: no range is wider than asked for."""
+    n, width = 200_000, 1000
+    df = spark.range(n).selectExpr("case when id % 4 = 0 then id else shiftright(xxhash64(id), 3) end as pos", "cast(id % 7 as long) as v", "id % 3 = 0 as f")
+    starts = range_starts(df, "pos", width)
+    assert n / width <= len(starts) <= 3 * n / width
+    sizes = [r["count"] for r in with_range(df, "pos", width).groupBy(RANGE).count().collect()]
+    assert max(sizes) <= width and len(sizes) <= 3 * n / width
+    rows = sorted((r.pos, r.v, r.f) for r in df.collect())
+    total, place = 0, 0
+    summed = {r.pos: r.total for r in running_sums(df, {"total": F.col("v")}, "pos", width=width).collect()}
+    placed = {r.pos: r.place for r in place_in_run(df, "f", "pos", width=width).collect()}
+    for pos, v, f in rows:
+        total, place = total + v, place + 1 if f else 0
+        assert (summed[pos], placed[pos]) == (total, place)
+
+
+def test_sparse_positions_with_nulls_ties_and_keys(spark):
+    rows = [(None, 1, "a"), (None, 2, None), (-(1 << 62), 3, "a"), (1 << 62, 4, "a"), (1 << 62, 4, "b"), (5, 6, None), (7, 7, None)]
+    df = spark.createDataFrame(rows, "pos long, v long, k string")
+    assert range_starts(df, "pos", 2) is not None and range_starts(df.filter("pos is null"), "pos", 2) is None
+    out = running_sums(df, {"total": F.col("v")}, "pos", ["k"], width=2).collect()
+    assert sorted((r.total, r.k or "") for r in out) == [(1, "a"), (2, ""), (4, "a"), (4, "b"), (8, ""), (8, "a"), (15, "")]
