@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sparkrank.operators import skew
 from sparkrank.operators.entities import COMPANIES, Dictionary, invert, route_queries
 
 QUERIES = [
@@ -70,3 +71,18 @@ def test_a_table_of_any_size_cleans_as_the_lookup_does(spark):
     assert large == sorted(["v one", "v one", "visa two m", "appl three", "meta four", "", "none", "c77 x v"])
     plan = clean_titles(frame, more)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_heavy_keys_are_dealt_in_proportion(spark):
+    """A word in a third of all rows takes as many salts as its share of the rows; rare words take none."""
+    many = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', if(id % 3 = 1 and id < 1500, 'warm', concat('w', id))) as word", "id")
+    few = spark.createDataFrame([("hot", 1), ("hot", 2), ("warm", 3), ("w2", 4), ("none", 5), (None, 6)], "word string, n int")
+    heavy = {r.word: r["__salts"] for r in skew.heavy_keys(many, "word", 100).collect()}
+    assert heavy == {"hot": 10, "warm": 5}
+    plain = sorted(map(tuple, many.join(few, "word").collect()))
+    assert len(plain) == 2000 + 500 + 1
+    for rows in (100, 1 << 20):
+        joined = skew.join_spread(many, few, "word", "id", rows)
+        assert joined.columns == ["word", "id", "n"] and sorted(map(tuple, joined.collect())) == plain
+    parts = skew.join_spread(many, few, "word", "id", 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in parts and "explode" not in skew.join_spread(many, few, "word", "id")._jdf.queryExecution().optimizedPlan().toString()
