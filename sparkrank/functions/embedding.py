@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -16,16 +18,58 @@ from sparkrank.functions.columns import as_column
 Encode = Callable[[list[str]], np.ndarray]
 
 
+@dataclass(frozen=True)
+class LengthBatches:
+    """How texts are given to an encoder that pads those of one call to the longest.
+
+    Texts of like lengths go together, at most ``rows`` in a call and at most ``padded`` units
+    when all are as long as the longest; one text over this budget goes alone. ``length``
+    counts the units, such as the tokens of a model.
+    """
+
+    rows: int = 500
+    padded: int = 1 << 18
+    length: Callable[[str], int] = len
+
+    def cut(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Places of the texts of each call."""
+        sizes = np.array([self.length(t) for t in texts], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        first = 0
+        for at, place in enumerate(order):
+            n = at - first + 1  # sizes rise, so this one is the longest so far
+            if n > 1 and (n > self.rows or n * sizes[place] > self.padded):
+                yield order[first:at]
+                first = at
+        if len(order):
+            yield order[first:]
+
+    def encode(self, model: Encode, texts: list[str]) -> np.ndarray:
+        """What ``model`` gives for the texts, in their order."""
+        parts = [(own, np.asarray(model([texts[i] for i in own]), np.float32)) for own in self.cut(texts)]
+        if not parts:
+            return np.asarray(model(texts), np.float32)
+        out = np.empty((len(texts), *parts[0][1].shape[1:]), np.float32)
+        for own, rows in parts:
+            out[own] = rows
+        return out
+
+
 class Embedder:
     """A text to vector function that runs inside tasks on Arrow batches.
 
     ``load`` is called once per task and returns the encoder, a function from a
     list of texts to one matrix row per text. Spark spreads the rows over tasks;
-    the encoder sees whole batches.
+    the encoder sees whole batches, or those that ``batches`` makes of them by length.
     """
 
-    def __init__(self, load: Callable[[], Encode], dim: int, name: str | None = None):
-        self.load = load
+    def __init__(
+        self, load: Callable[[], Encode], dim: int, name: str | None = None, batches: LengthBatches | None = None
+    ):
+        if batches:
+            self.load = lambda: partial(batches.encode, load())
+        else:
+            self.load = load
         self.dim = dim
         #: names model and version in the key of a stored collection, which needs it
         self.name = name
@@ -59,7 +103,7 @@ class Embedder:
             model = load()
             for batch in batches:
                 sizes = np.array([0 if s is None else len(s) for s in batch])
-                flat = [text for s in batch if s is not None for text in s]
+                flat = [text or "" for s in batch if s is not None for text in s]
                 if not flat:
                     yield pd.Series([[] for _ in batch], index=batch.index)
                     continue

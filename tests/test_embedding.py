@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkrank.functions import vectors
-from sparkrank.functions.embedding import Embedder, HashedBow
+from sparkrank.functions.embedding import Embedder, HashedBow, LengthBatches
 
 TEXTS = ["a b b c", "", "   ", "revenue of the company was -12.5 percent", "b"]
 
@@ -58,3 +58,25 @@ def test_forms_split_words_alike(spark):
         if dim > 16:
             out = df.filter("i < 2").select(HashedBow(dim).vector("text").alias("a"), HashedBow(dim, native=True).vector("text").alias("b"))
         assert all(r.a == r.b for r in out.collect())
+
+
+def test_texts_of_like_lengths_go_together(spark):
+    rng = np.random.default_rng(4)
+    texts = ["x" * int(n) for n in rng.pareto(1.2, 3000) * 20] + ["", "y" * 90_000, ""]
+    batches = LengthBatches(rows=100, padded=5000)
+    cut = list(batches.cut(texts))
+    assert sorted(np.concatenate(cut).tolist()) == list(range(len(texts)))
+    sizes = [[len(texts[i]) for i in own] for own in cut]
+    assert all(len(s) == 1 or len(s) <= 100 and len(s) * max(s) <= 5000 for s in sizes)
+    padded = sum(len(s) * max(s) for s in sizes)
+    as_they_come = sum(len(texts[at : at + 100]) * max(map(len, texts[at : at + 100])) for at in range(0, len(texts), 100))
+    assert padded < 1.2 * sum(map(len, texts)) < 0.2 * as_they_come
+    seen = []
+    encode = lambda own: (seen.append(len(own)), np.array([[len(t)] for t in own], np.float32))[1]
+    assert batches.encode(encode, texts)[:, 0].tolist() == list(map(len, texts)) and len(seen) == len(cut)
+    assert batches.encode(lambda own: np.zeros((len(own), 2)), []).shape == (0, 2)
+
+    made = Embedder(lambda: lambda own: np.array([[len(t), len(own)] for t in own]), 2, batches=LengthBatches(rows=3))
+    df = spark.createDataFrame([(i, None if i == 4 else "z" * (37 * i % 11)) for i in range(40)], "i long, text string")
+    rows = df.coalesce(1).select("i", "text", made.vector("text").alias("v"), made.similarity_to_previous(F.array("text", "text")).alias("s")).collect()
+    assert all(r.v[0] == len(r.text or "") and r.v[1] <= 3 and len(r.s) == 2 for r in rows)
