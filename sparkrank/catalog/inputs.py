@@ -64,25 +64,27 @@ def item_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share a whole sentence with a benchmark item."""
     items = _sentences(table(spark, sf_dir, "benchmark"), "item_id").distinct()
     docs = _sentences(spread(table(spark, sf_dir, "documents")), "doc_id", "source")
-    # queries and judgments are both made from these few rows
+    # queries and judgments are both made from these few rows: callers that need both hand them over
     return checkpointed(docs.join(items, "sentence").select("item_id", "doc_id", "source").distinct())
 
 
-def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return item_documents(spark, sf_dir).select(
+def judgments(spark: SparkSession, sf_dir: str, pairs: DataFrame | None = None) -> DataFrame:
+    pairs = item_documents(spark, sf_dir) if pairs is None else pairs
+    return pairs.select(
         F.concat(F.lit("q"), "item_id").alias("query_id"),
         F.concat(F.lit("SRC."), F.upper(letters(F.col("source"))), F.lit("2023"), "doc_id").alias("corpus_id"),
         F.lit(1).alias("score"),
     )
 
 
-def raw_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_queries(spark: SparkSession, sf_dir: str, pairs: DataFrame | None = None) -> DataFrame:
     """``_id, title, text, pos``: the item, led by a name of its first document.
 
     Even items name the company, odd ones the ticker, items without a document
     name nothing, so all routes are taken.
     """
-    first = item_documents(spark, sf_dir).groupBy("item_id").agg(
+    pairs = item_documents(spark, sf_dir) if pairs is None else pairs
+    first = pairs.groupBy("item_id").agg(
         F.min(F.struct("doc_id", "source")).alias("first")
     )
     source = F.col("first.source")

@@ -676,6 +676,11 @@ STATEMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT _id, length(text) AS n_chars, length(text) - length(replace(text, 'e', '')) AS n_e,
                   length(text) - length(replace(text, ' ', '')) AS n_spaces FROM corpus""",
     ),
+    "udf_embed_batched": (
+        ("corpus",),
+        """SELECT _id, length(text) AS n_chars, length(text) - length(replace(text, 'e', '')) AS n_e,
+                  length(text) - length(replace(text, ' ', '')) AS n_spaces FROM corpus""",
+    ),
     "udf_score": (
         ("answer",),
         """SELECT query_id, corpus_id, round(length(query_text) / (length(text) + 1)::DOUBLE, 6) AS rerank_score

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkrank import schemas
 from sparkrank.catalog import inputs
 from sparkrank.functions import text as T
-from sparkrank.functions.embedding import Embedder, HashedBow
+from sparkrank.functions.embedding import Embedder, HashedBow, LengthBatches
 from sparkrank.operators import (
     chunking,
     cleaning,
@@ -60,8 +60,10 @@ def collection(spark: SparkSession, sf_dir: str) -> index.StoredCollection:
     return index.StoredCollection(inputs.raw_corpus(spark, sf_dir), known, embedder())
 
 
-def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieve.route(inputs.raw_queries(spark, sf_dir), inputs.dictionary(spark, sf_dir))
+def asked_and_judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw queries and judgments, from one join of documents and items."""
+    pairs = inputs.item_documents(spark, sf_dir)
+    return inputs.raw_queries(spark, sf_dir, pairs), inputs.judgments(spark, sf_dir, pairs)
 
 
 # cleaning and identifiers
@@ -171,7 +173,9 @@ def invert_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def route_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routed(spark, sf_dir).select("query_id", "query_text", "embed_text", "ticker", "route")
+    known = inputs.dictionary(spark, sf_dir)
+    found = retrieve.route(inputs.raw_queries(spark, sf_dir), known)
+    return found.select("query_id", "query_text", "embed_text", "ticker", "route")
 
 
 def _routed(spark: SparkSession, sf_dir: str, on_unresolved: str) -> DataFrame:
@@ -229,8 +233,10 @@ def assign_chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def assign_chunk_ids_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = store.checkpointed(segments(spark, sf_dir))  # counted and cut further
-    named = chunking.counter_chunk_ids(chunking.size_pieces(cut), cut)
+    docs = chunking.mark_long(corpus(spark, sf_dir))
+    cut = lambda d: chunking.semantic_segments(d, embedder(), only="is_long")
+    numbered = chunking.with_counters(docs, chunking.segment_counters(cut(docs)))
+    named = chunking.counter_chunk_ids(chunking.size_pieces(cut(numbered)))
     return named.select("_id", "parent_id", F.length("text").alias("n_chars"))
 
 
@@ -386,7 +392,8 @@ def _metrics(df: DataFrame) -> DataFrame:
 
 @query
 def judged_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = evaluate.judged_only(routed(spark, sf_dir), inputs.judgments(spark, sf_dir))
+    asked, judged = asked_and_judged(spark, sf_dir)
+    kept = evaluate.judged_only(retrieve.route(asked, inputs.dictionary(spark, sf_dir)), judged)
     return kept.select("query_text").distinct()
 
 
@@ -403,9 +410,10 @@ def rerank_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _reranked(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
     stored = collection(spark, sf_dir)
+    asked, judged = asked_and_judged(spark, sf_dir)
     ranked = retrieve.retrieve_and_rerank(
-        inputs.raw_queries(spark, sf_dir),
-        cleaning.clean_judgments(inputs.judgments(spark, sf_dir)),
+        asked,
+        cleaning.clean_judgments(judged),
         inputs.dictionary(spark, sf_dir),
         stored.table,
         embedder(),
@@ -417,24 +425,27 @@ def _reranked(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
 
 @query
 def evaluate_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _metrics(_retrieval_metrics(spark, sf_dir)).orderBy("query_id")
+    return _metrics(_retrieval_metrics(spark, sf_dir)[0]).orderBy("query_id")
 
 
-def _retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _retrieval_metrics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Metrics of each query, and the judgments."""
     stored = collection(spark, sf_dir)
-    return retrieve.retrieve_and_evaluate(
-        inputs.raw_queries(spark, sf_dir),
-        inputs.judgments(spark, sf_dir),
+    asked, judged = asked_and_judged(spark, sf_dir)
+    metrics = retrieve.retrieve_and_evaluate(
+        asked,
+        judged,
         inputs.dictionary(spark, sf_dir),
         stored.table,
         embedder(),
         scorer=retrieve.overlap_scorer(stored.weights),
     )
+    return metrics, judged
 
 
 @query
 def mean_retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = evaluate.mean_metrics(_retrieval_metrics(spark, sf_dir))
+    means = evaluate.mean_metrics(_retrieval_metrics(spark, sf_dir)[0])
     return means.select(
         "n_queries", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "map")]
     )
@@ -443,7 +454,7 @@ def mean_retrieval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def both_mean_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means over scored and over all judged queries."""
-    means = evaluate.both_means(_retrieval_metrics(spark, sf_dir), inputs.judgments(spark, sf_dir))
+    means = evaluate.both_means(*_retrieval_metrics(spark, sf_dir))
     return means.select("n_queries", "n_judged", *[F.round(c, 6).alias(c) for c in means.columns[2:]])
 
 
@@ -616,6 +627,14 @@ def udf_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("_id", *[F.col("v")[i].cast("long").alias(n) for i, n in enumerate(("n_chars", "n_e", "n_spaces"))])
 
 
+@query
+def udf_embed_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same encoder, given texts of like lengths."""
+    by_length = Embedder(_length_encoder, 3, batches=LengthBatches(rows=500, padded=1 << 16))
+    made = corpus(spark, sf_dir).select("_id", by_length.vector("text").alias("v"))
+    return made.select("_id", *[F.col("v")[i].cast("long").alias(n) for i, n in enumerate(("n_chars", "n_e", "n_spaces"))])
+
+
 def _ratio_scorer():
     def score(queries: list[str], texts: list[str]) -> np.ndarray:
         return np.array([len(q) / (len(t) + 1) for q, t in zip(queries, texts)])

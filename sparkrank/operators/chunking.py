@@ -11,6 +11,7 @@ from sparkrank.functions import splitting
 from sparkrank.functions import text as T
 from sparkrank.functions.embedding import Embedder
 from sparkrank.operators.ordered import WIDTH, occurrence_number, place_in_run, running_sums
+from sparkrank.operators.skew import broadcast_if_small
 from sparkrank.sources.collection import checkpointed
 
 LONG_WORDS = 300
@@ -116,28 +117,55 @@ def chunk_ids(pieces: DataFrame, suffix: str | None = None) -> DataFrame:
     return pieces.withColumn("parent_id", F.col("_id")).withColumn("_id", F.concat_ws("_", "_id", *parts))
 
 
+# Counters and repeat numbers are broadcast up to this many rows (about 100 bytes each).
+BROADCAST_REPEATS = 1_000_000
+
+
+def segment_counters(segments: DataFrame, pos: str = "pos", width: int = WIDTH) -> DataFrame:
+    """``pos, __first, __doc_no``: segments and documents before each document that gave segments.
+
+    Of the segments only ``pos`` is shuffled.
+    """
+    # written: positions are looked at before the sums are made
+    per_doc = checkpointed(segments.groupBy(pos).agg(F.count(F.lit(1)).alias("__n")))
+    run = running_sums(per_doc, {"__segments": F.col("__n"), "__docs": F.lit(1)}, pos, width=width)
+    return run.select(
+        pos, (F.col("__segments") - F.col("__n")).alias("__first"), (F.col("__docs") - 1).alias("__doc_no")
+    )
+
+
+def with_counters(
+    rows: DataFrame, counters: DataFrame, pos: str = "pos", broadcast_rows: int = BROADCAST_REPEATS
+) -> DataFrame:
+    """Documents with their counters, joined before they are cut.
+
+    A counted and small table of counters is broadcast, so texts stay where they lie; beyond
+    that documents are shuffled once, and not their overlapping pieces. Rows without a position share
+    one counter.
+    """
+    known = broadcast_if_small(counters.withColumnRenamed(pos, "__pos"), broadcast_rows)
+    return rows.join(known, F.col(pos).eqNullSafe(F.col("__pos")), "left").drop("__pos")
+
+
 def counter_chunk_ids(
-    pieces: DataFrame, segments: DataFrame, pos: str = "pos", width: int = WIDTH
+    pieces: DataFrame, segments: DataFrame | None = None, pos: str = "pos", width: int = WIDTH
 ) -> DataFrame:
     """Chunk ids whose digits run together: counter, document, segment, piece.
 
     The counter runs over the segments of all documents in order, the document
-    number over the documents that gave segments. ``segments`` are the rows
-    before size splitting; both need ``pos``. Both come from the same rows, so
-    a stored or checkpointed table of segments saves making them twice.
+    number over the documents that gave segments. Pieces of documents that went
+    through :func:`with_counters` need nothing else; others need ``segments``, the
+    rows before size splitting.
     """
-    per_doc = segments.groupBy(pos).agg(F.count(F.lit(1)).alias("__n"))
-    run = running_sums(per_doc, {"__segments": F.col("__n"), "__docs": F.lit(1)}, pos, width=width)
-    base = run.select(
-        pos, (F.col("__segments") - F.col("__n")).alias("__first"), (F.col("__docs") - 1).alias("__doc_no")
-    )
+    if segments is not None:
+        pieces = with_counters(pieces, segment_counters(segments, pos, width), pos)
     digits = F.concat(
         (F.col("__first") + F.col("segment_no")).cast("string"),
         F.col("__doc_no").cast("string"),
         F.col("segment_no").cast("string"),
         F.coalesce(F.col("piece_no").cast("string"), F.lit("")),
     )
-    named = pieces.join(base, pos).withColumn("parent_id", F.col("_id"))
+    named = pieces.withColumn("parent_id", F.col("_id"))
     return named.withColumn("_id", F.concat_ws("_", "_id", digits)).drop("__first", "__doc_no")
 
 
@@ -147,23 +175,27 @@ def repeat_numbers(docs: DataFrame, pos: str = "pos", width: int = WIDTH) -> Dat
     Only documents whose id repeats are looked at any further.
     """
     repeated = docs.groupBy("_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    affected = docs.select("_id", pos).join(repeated.select("_id"), "_id", "left_semi")
+    # a repeated id may be that of most documents: they meet the ids where they lie, as long as those are few
+    ids = broadcast_if_small(repeated.select("_id"), BROADCAST_REPEATS)
+    affected = checkpointed(docs.select("_id", pos).join(ids, "_id", "left_semi"))
     return occurrence_number(affected, "_id", pos, "repeat", width).filter("repeat > 0")
 
 
-def number_repeats(docs: DataFrame, pos: str = "pos", width: int = WIDTH) -> DataFrame:
-    """Give the n-th repeat of an id the suffix ``_n``; keeps ``parent_id``."""
-    joined = docs.join(repeat_numbers(docs, pos, width), ["_id", pos], "left")
+def number_repeats(
+    docs: DataFrame, pos: str = "pos", width: int = WIDTH, broadcast_rows: int = BROADCAST_REPEATS
+) -> DataFrame:
+    """Give the n-th repeat of an id the suffix ``_n``; keeps ``parent_id``.
+
+    Texts are shuffled only when more than ``broadcast_rows`` documents repeat an id.
+    """
+    numbers = broadcast_if_small(repeat_numbers(docs, pos, width), broadcast_rows)
+    joined = docs.join(numbers, ["_id", pos], "left")
     suffixed = F.concat_ws("_", "_id", F.col("repeat").cast("string"))
     return (
         joined.withColumn("parent_id", F.col("_id")).withColumn("_id", suffixed).drop("repeat")
     )
 
 
-# Repeat numbers are broadcast up to this many rows (about 100 bytes each).
-BROADCAST_REPEATS = 1_000_000
-
-
 def chunk_documents(
     docs: DataFrame,
     embedder: Embedder,

@@ -97,6 +97,22 @@ def test_repeat_numbers(spark):
     assert [r.parent_id for r in out] == ["a", "b", "a", "a"]
 
 
+def test_ids_without_moving_texts(spark):
+    """Counters and repeat numbers come to the documents; documents without a position keep their rows."""
+    docs = spark.createDataFrame([("a", 0, "x"), ("b", None, "y"), ("a", 2, "z"), ("c", 1 << 60, "w")], "_id string, pos long, text string")
+    segments = docs.select("_id", "pos", F.explode(F.array("text", "text")).alias("segment"), F.lit(1).alias("segment_no"))
+    for rows, joined in ((10, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        counted = chunking.with_counters(docs, chunking.segment_counters(segments, width=2), broadcast_rows=rows)
+        assert counted.columns == [*docs.columns, "__first", "__doc_no"]
+        assert {r.text: (r["__first"], r["__doc_no"]) for r in counted.collect()} == {"y": (0, 0), "x": (2, 1), "z": (4, 2), "w": (6, 3)}
+        numbered = chunking.number_repeats(docs, width=2, broadcast_rows=rows)
+        assert sorted(r._id for r in numbered.collect()) == ["a", "a_1", "b", "c"]
+        if rows:
+            for made in (counted, numbered):
+                plan = made._jdf.queryExecution().executedPlan().toString()
+                assert joined in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_chunk_ids(spark):
     rows = [("d", 0, 0, None, "x"), ("d", 0, 1, 0, "y"), ("e", 3, 0, 1, "z")]
     cut = spark.createDataFrame(rows, "_id string, pos long, segment_no int, piece_no int, text string")
