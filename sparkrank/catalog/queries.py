@@ -233,10 +233,10 @@ def assign_chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def assign_chunk_ids_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = chunking.mark_long(corpus(spark, sf_dir))
-    cut = lambda d: chunking.semantic_segments(d, embedder(), only="is_long")
-    numbered = chunking.with_counters(docs, chunking.segment_counters(cut(docs)))
-    named = chunking.counter_chunk_ids(chunking.size_pieces(cut(numbered)))
+    # written once, as cutting costs more than reading; counted, numbered and cut further where they lie
+    cut = store.checkpointed(segments(spark, sf_dir))
+    numbered = chunking.with_counters(cut, chunking.segment_counters(cut))
+    named = chunking.counter_chunk_ids(chunking.size_pieces(numbered))
     return named.select("_id", "parent_id", F.length("text").alias("n_chars"))
 
 

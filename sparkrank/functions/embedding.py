@@ -16,6 +16,7 @@ from sparkrank.functions import splitting, vectors
 from sparkrank.functions.columns import as_column
 
 Encode = Callable[[list[str]], np.ndarray]
+CALL = 4096  # texts an encoder is given at once, whatever a batch holds
 
 
 @dataclass(frozen=True)
@@ -85,15 +86,16 @@ class Embedder:
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = load()
             for batch in batches:
-                rows = np.asarray(model(batch.fillna("").tolist()), dtype=np.float32)
-                yield pd.Series(list(rows), index=batch.index)
+                texts = batch.fillna("").tolist()
+                rows = [r for at in range(0, len(texts), CALL) for r in np.asarray(model(texts[at : at + CALL]), dtype=np.float32)]
+                yield pd.Series(rows, index=batch.index)
 
         return encode(as_column(text))
 
     def similarity_to_previous(self, sentences: Column | str) -> Column:
         """Cosine similarity of every sentence to the one before, as an array.
 
-        All sentences of a batch go through the encoder together and only the
+        The sentences of a batch go through the encoder some thousand at a time and only the
         similarities come back, so no vector crosses into the JVM.
         """
         load = self.load
@@ -107,12 +109,14 @@ class Embedder:
                 if not flat:
                     yield pd.Series([[] for _ in batch], index=batch.index)
                     continue
-                rows = np.asarray(model(flat), dtype=np.float32).astype(np.float64)
-                lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
                 sims = np.full(len(flat), np.nan)
-                scale = lengths[1:] * lengths[:-1]
-                product = np.einsum("ij,ij->i", rows[1:], rows[:-1])
-                np.divide(product, scale, out=sims[1:], where=scale > 0)
+                for at in range(1, len(flat), CALL):
+                    # with the text before, so that parts of a batch meet
+                    rows = np.asarray(model(flat[at - 1 : at + CALL]), dtype=np.float32).astype(np.float64)
+                    lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+                    scale = lengths[1:] * lengths[:-1]
+                    product = np.einsum("ij,ij->i", rows[1:], rows[:-1])
+                    np.divide(product, scale, out=sims[at : at + CALL], where=scale > 0)
                 values = [None if np.isnan(v) else float(v) for v in sims]
                 ends = np.cumsum(sizes)
                 out = []

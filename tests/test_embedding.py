@@ -80,3 +80,14 @@ def test_texts_of_like_lengths_go_together(spark):
     df = spark.createDataFrame([(i, None if i == 4 else "z" * (37 * i % 11)) for i in range(40)], "i long, text string")
     rows = df.coalesce(1).select("i", "text", made.vector("text").alias("v"), made.similarity_to_previous(F.array("text", "text")).alias("s")).collect()
     assert all(r.v[0] == len(r.text or "") and r.v[1] <= 3 and len(r.s) == 2 for r in rows)
+
+
+def test_parts_of_a_batch_meet(spark):
+    """More sentences than one call takes: similarities across the border are those of the built-in form."""
+    sentences = [f"w{i % 5} w{i % 3} w{i % 7}" for i in range(9000)]
+    df = spark.createDataFrame([(0, sentences[:5000]), (1, []), (2, sentences[5000:]), (3, ["w1"])], "i int, s array<string>").coalesce(1)
+    arrow, native = HashedBow(16), HashedBow(16, native=True)
+    for r in df.select(arrow.similarity_to_previous("s").alias("a"), native.similarity_to_previous("s").alias("b")).collect():
+        assert len(r.a) == len(r.b) and np.allclose(np.array(r.a[1:], float), np.array(r.b[1:], float))
+    texts = spark.createDataFrame([(t,) for t in sentences], "t string").coalesce(1)
+    assert texts.select(arrow.vector("t").alias("a"), native.vector("t").alias("b")).filter("a != b").count() == 0
