@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkrank.llm import substrings
@@ -78,3 +79,27 @@ def test_products_modulo_the_prime():
     got = substrings.times(np.array(a, np.uint64), np.array(b, np.uint64)).tolist()
     assert got == [x * y % substrings.PRIME for x, y in zip(a, b, strict=True)]
     assert substrings.powers(7, 40).tolist() == [pow(7, i, substrings.PRIME) for i in range(40)]
+
+
+def test_windows_of_two_texts_lie_in_runs_or_are_asked():
+    """Each common window of two texts is in a run of common blocks or among the places asked for; runs hold common words only."""
+    rng = random.Random(3)
+    for _ in range(30):
+        passage = [f"p{rng.randrange(500)}" for _ in range(rng.choice([50, 60, 90, 200]))]
+        texts = [[f"{i}{rng.randrange(500)}" for _ in range(rng.randrange(80))] + passage + [f"{i}{rng.randrange(500)}" for _ in range(rng.randrange(80))] for i in "ab"]
+        batch = pa.RecordBatch.from_pydict({"doc_id": [0, 1], "key": [0, 1], "text": [" ".join(t) for t in texts]})
+        (indexed,) = substrings._index(50, 9)([batch])
+        one, two = indexed.to_pylist()
+        known = {(b["b1"], b["b2"]) for b in one["blocks"]}
+        parts = [b for b in two["blocks"] if (b["b1"], b["b2"]) in known]
+        windows = {tuple(texts[0][i : i + 50]) for i in range(len(texts[0]) - 49)}
+        common = {i for i in range(len(texts[1]) - 49) if tuple(texts[1][i : i + 50]) in windows}
+        blocks = substrings.Blocks(pa.array(parts, substrings.BLOCK), 9)
+        asked = {i for a, b in blocks.asked(50) for i in range(a, b)}
+        first, last = blocks.runs(50, 9)
+        held = {i for a, b in zip(blocks.at[first], blocks.ends[last], strict=True) for i in range(a, b - 49)}
+        assert common <= asked and held <= common
+
+
+def test_greedy_factors():
+    assert substrings.factors([(60, 130), (0, 60), (11, 70), (200, 250)], 50) == [(0, 70), (60, 130), (200, 250)]
