@@ -11,8 +11,9 @@ Three physical forms give the same rows:
   triangle inequality leaves out cells and vectors that can't be hits; see
   :mod:`sparkrank.operators.pruned`.
 * ``blocks``: any number of queries, each compared with every vector of its tag, for vectors
-  without any structure. Both sides are cut into cells of bounded size, so a tag that
-  holds a third of all vectors becomes many cells.
+  without any structure. Both sides are cut into cells, so a tag that holds a third of all vectors becomes
+  many cells. A row is copied for each cell of the other side, so a side is cut at most
+  ``CUTS`` times; beyond that cells grow, up to their limit in bytes.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,10 +39,13 @@ BROADCAST_HITS = 500_000  # queries times k that one task may have to hold
 BROADCAST_TAGS = 100_000
 CELL_VECTORS = 200_000
 CELL_QUERIES = 4_000
-CELL_BYTES = 256 << 20  # of the vectors of a cell in a worker
+CELL_BYTES = 64 << 20  # of the vectors, or of the queries, of a cell in a worker
+CUTS = 4  # parts of a side of a scope, and so copies of a row of the other side, while cells are below their limit in bytes
 MERGE_GROUPS = 1_024  # groups of tasks whose hits are merged before the last step
 QUERY_BLOCK = 256  # queries per matrix product
 VECTOR_BLOCK = 8_192  # vectors per matrix product
+CELL_BLOCK = 2_048  # the same where hits are arrays, so that a block stays in the cache
+PICKS = 1 << 16  # pairs whose differences are held at once
 
 HITS = "query_id string, corpus_id string, ticker string, distance double"
 HITS_ARROW = pa.schema(
@@ -132,6 +137,84 @@ class _Best:
         )
 
 
+class Nearest:
+    """The best ``k`` of the vectors of a cell for each of its queries, held as arrays.
+
+    ``limits`` are squared distances beyond which a query wants no hit.
+    """
+
+    def __init__(self, ids: pa.Array, rows: np.ndarray, asked: np.ndarray, k: int, metric: str, limits: np.ndarray | None = None):
+        self.k, self.scale = k, 0.5 if metric == "cosine" else 1.0
+        self.rows, self.asked = (_unit(rows), _unit(asked)) if metric == "cosine" else (rows, asked)
+        self.squares, self.asked_squares = (np.einsum("ij,ij->i", r, r) for r in (self.rows, self.asked))
+        self.doubled = np.concatenate([-2.0 * self.asked, np.ones((len(asked), 1))], axis=1)
+        # ties go to the smaller id
+        self.order = pc.rank(ids, sort_keys="ascending", tiebreaker="first").to_numpy(zero_copy_only=False)
+        self.distance = np.full((len(asked), k), np.inf)
+        self.place = np.full((len(asked), k), -1)
+        self.worst = np.full(len(asked), np.inf) if limits is None else limits.copy()
+        self.compared = 0
+
+    def compare(self, queries: np.ndarray, places: np.ndarray) -> None:
+        """Some vectors against some queries."""
+        self.compared += len(queries) * len(places)
+        for j in range(0, len(places), CELL_BLOCK):
+            part = places[j : j + CELL_BLOCK]
+            # with a column for the squares, one product gives distances but for the square of the query
+            rows = np.concatenate([self.rows[part], self.squares[part, None]], axis=1)
+            for i in range(0, len(queries), QUERY_BLOCK):
+                self._block(queries[i : i + QUERY_BLOCK], part, rows)
+
+    def _block(self, queries: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
+        # one matrix product finds who can still be among the best ...
+        near = self.doubled[queries] @ rows.T
+        own = self.asked_squares[queries]
+        limit = self.worst[queries] - own
+        unknown = np.flatnonzero(np.isinf(limit))
+        if len(unknown) and len(places) > self.k:
+            limit[unknown] = np.partition(near[unknown], self.k - 1, axis=1)[:, self.k - 1]
+        limit += 4e-9 + 1e-12 * (own + rows[:, -1].max())
+        at, found = np.divmod(np.flatnonzero(near <= limit[:, None]), len(places))
+        for i in range(0, len(at), PICKS):
+            self._merge(queries[at[i : i + PICKS]], places[found[i : i + PICKS]])
+
+    def _merge(self, queries: np.ndarray, places: np.ndarray) -> None:
+        # ... and those get their distance from the differences themselves
+        gap = self.rows[places] - self.asked[queries]
+        exact = np.round((gap * gap).sum(axis=1) * self.scale, DISTANCE_DIGITS)
+        kept = exact <= self.distance[queries, -1]
+        own, numbers = np.unique(queries[kept], return_inverse=True)
+        held = self.place[own] >= 0
+        number = np.concatenate([np.nonzero(held)[0], numbers])
+        exact = np.concatenate([self.distance[own][held], exact[kept]])
+        places = np.concatenate([self.place[own][held], places[kept]])
+        sort = np.lexsort((self.order[places], exact, number))
+        number = number[sort]
+        nth = np.arange(len(number)) - np.searchsorted(number, number)
+        best = nth < self.k
+        to = own[number[best]], nth[best]
+        self.distance[to], self.place[to] = exact[sort][best], places[sort][best]
+        self.worst[own] = np.minimum(self.worst[own], self.distance[own, -1] / self.scale)
+
+    def table(self, names: pa.Array, ids: pa.Array, tags: pa.Array) -> pa.Table:
+        """Hits with the names of queries, and ids and tags of vectors."""
+        query, nth = np.nonzero(self.place >= 0)
+        at = pa.array(self.place[query, nth])
+        return pa.Table.from_arrays([names.take(pa.array(query)), ids.take(at), tags.take(at), pa.array(self.distance[query, nth])], schema=HITS_ARROW)
+
+
+def sound_rows(rows: pa.Table, *columns: str) -> tuple[np.ndarray, list[pa.Array]]:
+    """The vectors of finite numbers of a table, and other columns of their rows."""
+    matrix = _matrix(rows["embedding"])
+    at = np.flatnonzero(np.isfinite(matrix).all(axis=1))
+    return matrix[at], [rows[c].combine_chunks().take(pa.array(at)) for c in columns]
+
+
+def cuts(n: Column, rows: int, row_bytes: int, most_bytes: int = CELL_BYTES) -> Column:
+    """Parts of ``n`` rows: of ``rows`` rows each, but no more than ``CUTS`` unless the limit in bytes asks for them."""
+    return F.greatest(F.least(F.ceil(n / F.lit(rows)), F.lit(CUTS)), F.ceil(n * F.lit(row_bytes / most_bytes)), F.lit(1)).cast("int")
+
+
 def _scan(vectors: DataFrame, queries: pa.Table, k: int, metric: str) -> DataFrame:
     """Best ``k`` per query and task, for queries that travel with the code."""
     groups: dict[str | None, tuple[list[str], np.ndarray]] = {}
@@ -172,12 +255,12 @@ def _scan(vectors: DataFrame, queries: pa.Table, k: int, metric: str) -> DataFra
 
 
 def _cells(
-    queries: DataFrame, vectors: DataFrame, k: int, metric: str, cell_vectors: int, cell_queries: int
+    queries: DataFrame, vectors: DataFrame, k: int, metric: str, cell_vectors: int, cell_queries: int, width: int
 ) -> DataFrame:
-    """Best ``k`` per query and cell of at most about ``cell_vectors`` vectors."""
+    """Best ``k`` per query and cell; a tag is cut as :func:`cuts` says."""
 
-    def parts(rows: int):
-        return F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int")
+    def parts(rows: int, more: int = 0):
+        return cuts(F.count(F.lit(1)), rows, 8 * width + more)
 
     def slot(column: str, n: str):
         return F.pmod(F.xxhash64(column), F.col(n)).cast("int")
@@ -192,7 +275,7 @@ def _cells(
     # one row per tag; counting reads no vectors, as those without one only make
     # a cell smaller
     query_parts = broadcast_if_small(
-        scoped.groupBy("scope").agg(parts(cell_queries).alias("query_parts")), BROADCAST_TAGS
+        scoped.groupBy("scope").agg(parts(cell_queries, 16 * k).alias("query_parts")), BROADCAST_TAGS
     )
     vector_parts = broadcast_if_small(
         vectors.groupBy("ticker").agg(parts(cell_vectors).alias("vector_parts")), BROADCAST_TAGS
@@ -223,13 +306,11 @@ def _cells(
     def score(vector_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         if vector_rows.num_rows == 0 or query_rows.num_rows == 0:
             return HITS_ARROW.empty_table()
-        best = _Best(query_rows["query_id"].to_pylist(), _matrix(query_rows["embedding"]), k, metric)
-        best.add(
-            vector_rows["_id"].combine_chunks(),
-            vector_rows["ticker"].combine_chunks(),
-            _matrix(vector_rows["embedding"]),
-        )
-        return pa.Table.from_batches([best.table()])
+        rows, (ids, tags) = sound_rows(vector_rows, "_id", "ticker")
+        asked, (names,) = sound_rows(query_rows, "query_id")
+        best = Nearest(ids, rows, asked, k, metric)
+        best.compare(np.arange(len(asked)), np.arange(len(rows)))
+        return best.table(names, ids, tags)
 
     keys = ["scope", "block", "ticker", "slot"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, HITS)
@@ -284,8 +365,7 @@ def nearest(
         return pruned.nearest(queries, vectors, k, metric=metric)
     else:
         width = vectors.filter(F.col("embedding").isNotNull()).select(F.size("embedding").alias("w")).first()
-        cell_vectors = min(cell_vectors, max(CELL_BYTES // (8 * max(width.w if width else 1, 1)), 1))
-        hits = _cells(queries, vectors, k, metric, cell_vectors, cell_queries)
+        hits = _cells(queries, vectors, k, metric, cell_vectors, cell_queries, max(width.w if width else 1, 1))
 
     # every task hands on k hits of a query, so they are merged in two steps: no
     # group of the first holds more than its share of the tasks

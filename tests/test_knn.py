@@ -119,3 +119,12 @@ def test_hits_of_many_tasks_are_merged(spark):
     found = knn.nearest(queries, vectors, 7).orderBy("rank").collect()
     want = sorted((x * x + y * y, name) for name, _, (x, y) in rows)[:7]
     assert [(r.distance, r.corpus_id) for r in found] == want
+
+
+def test_small_cells_do_not_copy_rows_for_each_other(spark, monkeypatch):
+    queries, vectors, *_ = data(spark, n=200, q=100)
+    seen, ranked = [], knn._ranked
+    monkeypatch.setattr(knn, "_ranked", lambda hits, k, *keys: seen.append(hits.count()) or ranked(hits, k, *keys))
+    got = found(knn.nearest(queries, vectors, 3, strategy="blocks", cell_vectors=2, cell_queries=2))
+    assert 0 < seen[0] <= 100 * 3 * knn.CUTS * 4  # four tags for a query without one
+    same(got, found(knn.nearest(queries, vectors, 3, strategy="broadcast")))
