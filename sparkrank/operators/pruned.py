@@ -1,18 +1,19 @@
 """Exact nearest neighbours without comparing every query with every vector.
 
-A bounded sample of the vectors are pivots. Each vector belongs to the cell of its nearest pivot, and
-a cell knows the least and the greatest distance of its vectors to the pivot. For a query at distance ``d`` from a pivot,
-the triangle inequality says that no vector of the cell is nearer than ``d - greatest`` or ``least - d``, and
-a single vector at distance ``e`` from the pivot not nearer than ``|d - e|``.
-
-The search goes in rounds. The first visits the cells with the least bounds until they hold ``k`` vectors, which gives each
-query a first distance of its ``k``-th hit; the next ones visit more cells and lower it, and the last
-one visits every further cell whose bound does not exceed it. Inside a cell, vectors lie by their distance
-to the pivot, so those that can still be hits are one range of them, and only these are compared. Rows are those
-of the full search: bounds have a margin for rounding, and equal distances go to the smaller id.
-
-Cells and queries meet in groups of bounded rows and bytes, by scope (a tag, or all vectors) and pivot; a
-group never holds a whole tag. Nothing but the pivots is broadcast.
+A bounded sample of the vectors are pivots. Their order in space deals the vectors of a scope (a tag, or all
+vectors) to slots, so that near ones lie together. Inside a slot some of its vectors are pivots again: each vector belongs to
+the cell of its nearest one, and a cell knows the least and the greatest distance of its vectors to the pivot. For a query at
+distance ``d`` from a pivot, the triangle inequality says that no vector of the cell is nearer than ``d - greatest`` or
+``least - d``, and a single vector at distance ``e`` from the pivot not nearer than ``|d - e|``.
+
+The search goes in two rounds. In the first a query meets its own slot, cells with the least bounds first, which
+gives it a distance of its ``k``-th hit; in the second it meets the other slots with that bound, and only cells and
+vectors that can still be hits are compared. Rows are those of the full search: bounds have a margin for rounding, and equal
+distances go to the smaller id.
+
+Visits are never rows: queries and slots meet in groups of bounded bytes, and a row is copied once for each group it is in, of which
+there are at most ``knn.CUTS`` a side until groups reach their limit in bytes. So where bounds leave out nothing, time
+grows with the pairs, but rows moved with the rows. Nothing but the pivots is broadcast.
 """
 
 from __future__ import annotations
@@ -22,24 +23,23 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sparkrank.operators import knn
+from sparkrank.operators.skew import broadcast_if_small
 from sparkrank.sources.collection import checkpointed
 
 MAX_PIVOTS = 2_048
 PIVOT_BYTES = 16 << 20
-CELL_BYTES = 64 << 20
-QUERY_BLOCK = 1_000  # queries that meet the list of cells, or one cell, in a task
-GROWTH = (1, 16)  # vectors in the cells of the first rounds, as multiples of k; the last round has no limit
+MAX_CELLS = 128  # of a slot
+SLOT_VECTORS = 50_000
+QUERY_BLOCK = 25_000  # queries that meet a slot in a task
+GROUP = 1_024  # queries near one pivot that go through the cells together
+BROADCAST_SPOTS = 1_000_000
 MARGIN = 1e-9
 
-ASSIGNED = "_id string, ticker string, embedding array<double>, pivot int, away double"
-VISITS = "query_id string, scope string, pivot int, away double, most double, embedding array<double>"
-VISIT_ARROW = pa.schema(
-    [("query_id", pa.string()), ("scope", pa.string()), ("pivot", pa.int32()), ("away", pa.float64()), ("most", pa.float64()), ("embedding", pa.list_(pa.float64()))]
-)
-
 
 def sound(vector: Column | str) -> Column:
     """Whether a vector has components, all of them finite numbers."""
@@ -53,7 +53,7 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for i in range(0, len(a), 64):
         part = a[i : i + 64, None, :] - b[None, :, :] if a.shape[1] * len(b) * 64 < 1 << 22 else None
         if part is not None:
-            out[i : i + 64] = np.sqrt((part * part).sum(axis=2))
+            out[i : i + 64] = np.sqrt(np.einsum("ijk,ijk->ij", part, part))
         else:
             for j in range(i, min(i + 64, len(a))):
                 gap = b - a[j]
@@ -61,96 +61,105 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _lists(rows: np.ndarray) -> pa.Array:
-    flat = pa.array(rows.ravel())
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), flat)
-
-
-def _assign(pivots, metric: str):
-    """Vectors with their nearest pivot and the distance to it."""
-
-    def run(batches):
-        books = pivots.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2_048):
-                part = batch.slice(at, 2_048)
-                rows = knn._matrix(part.column("embedding"))
-                rows = knn._unit(rows) if metric == "cosine" else rows
-                away = distances(rows, books)
-                nearest = away.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), part.column("ticker"), _lists(rows), pa.array(nearest.astype(np.int32)), pa.array(away[np.arange(len(rows)), nearest])],
-                    names=["_id", "ticker", "embedding", "pivot", "away"],
-                )
+def _nearest_pivots(rows: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each row and the distance to it."""
+    at, away = np.empty(len(rows), np.int64), np.empty(len(rows))
+    for i in range(0, len(rows), 2_048):
+        part = distances(rows[i : i + 2_048], pivots)
+        at[i : i + 2_048] = part.argmin(axis=1)
+        away[i : i + 2_048] = part.min(axis=1)
+    return at, away
 
-    return run
 
+def _in_order(pivots: np.ndarray) -> np.ndarray:
+    """Pivots so that near ones follow each other: halved along their widest axis again and again."""
+    def halve(rows: np.ndarray) -> list[int]:
+        if len(rows) <= 2:
+            return rows.tolist()
+        axis = np.ptp(pivots[rows], axis=0).argmax()
+        rows = rows[np.argsort(pivots[rows, axis], kind="stable")]
+        half = len(rows) // 2
+        return halve(rows[:half]) + halve(rows[half:])
 
-def _choose(pivots, k: int, skip: float, wanted: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The cells that the queries of a block visit in this round.
+    return pivots[halve(np.arange(len(pivots)))]
 
-    Cells count in the order of their bounds; those that begin before ``skip`` vectors were
-    visited in earlier rounds, those from ``wanted`` vectors on belong to later ones.
-    """
 
-    def run(cells: pa.Table, queries: pa.Table) -> pa.Table:
-        if not cells.num_rows or not queries.num_rows:
-            return VISIT_ARROW.empty_table()
-        at, least, most, n = (cells[c].to_numpy() for c in ("pivot", "least", "most", "n"))
-        rows, limits = knn._matrix(queries["embedding"]), queries["most"].to_numpy()
-        ids, scopes = queries["query_id"].to_pylist(), queries["scope"].to_pylist()
-        away = distances(rows, pivots.value[at])
-        bounds = np.maximum(np.maximum(away - most, least - away), 0)
-        out = []
-        for i in range(len(rows)):
-            order = np.lexsort((at, bounds[i]))
-            before = np.cumsum(n[order]) - n[order]
-            picked = order[(before >= skip) & (before < wanted) & (bounds[i][order] <= limits[i] * (1 + MARGIN) + MARGIN)]
-            out += [(ids[i], scopes[i], int(at[j]), float(away[i, j]), float(limits[i]), i) for j in picked.tolist()]
-        if not out:
-            return VISIT_ARROW.empty_table()
-        *columns, own = zip(*out, strict=True)
-        arrays = [pa.array(c, f.type) for c, f in zip(columns, VISIT_ARROW)]
-        return pa.Table.from_arrays([*arrays, _lists(rows[list(own)])], schema=VISIT_ARROW)
+def _placed(df: DataFrame, pivots, metric: str) -> DataFrame:
+    """Rows with ``spot``, the number of the nearest pivot."""
+    def run(batches):
+        for batch in batches:
+            rows = knn._matrix(batch.column("embedding"))
+            spots = _nearest_pivots(knn._unit(rows) if metric == "cosine" else rows, pivots.value)[0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spots.astype(np.int32))], names=[*batch.schema.names, "spot"])
 
-    return run
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("spot", IntegerType())]))
 
 
 def _search(k: int, metric: str, counter) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The best ``k`` of a part of a cell for each query that visits it."""
-    scale = 0.5 if metric == "cosine" else 1.0
+    """The best ``k`` of a slot for each query that meets it."""
 
-    def run(vectors: pa.Table, visits: pa.Table) -> pa.Table:
-        if not vectors.num_rows or not visits.num_rows:
+    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+        if not vectors.num_rows or not queries.num_rows:
             return knn.HITS_ARROW.empty_table()
-        order = np.argsort(vectors["away"].to_numpy(), kind="stable")
-        along, rows = vectors["away"].to_numpy()[order], knn._matrix(vectors["embedding"])[order]
-        ids = np.array(vectors["_id"].to_pylist(), dtype=object)[order]
-        tags = np.array(vectors["ticker"].to_pylist(), dtype=object)[order]
-        asked, compared, out = knn._matrix(visits["embedding"]), 0, []
-        for name, away, most, own in zip(visits["query_id"].to_pylist(), visits["away"].to_numpy(), visits["most"].to_numpy(), asked, strict=True):
-            reach = most * (1 + MARGIN) + MARGIN
-            lo, hi = np.searchsorted(along, away - reach), np.searchsorted(along, away + reach, side="right")
-            if lo >= hi:
-                continue
-            compared += int(hi - lo)
-            gap = rows[lo:hi] - own
-            exact = np.round((gap * gap).sum(axis=1) * scale, knn.DISTANCE_DIGITS)
-            if len(exact) > k:
-                near = np.flatnonzero(exact <= np.partition(exact, k - 1)[k - 1])
-            else:
-                near = np.arange(len(exact))
-            hits = sorted(zip(exact[near].tolist(), ids[lo + near], tags[lo + near], strict=True), key=lambda h: h[:2])[:k]
-            out += [(name, i, tag, d) for d, i, tag in hits]
+        rows, (ids, tags) = knn.sound_rows(vectors, "_id", "ticker")
+        asked, (names, limits) = knn.sound_rows(queries, "query_id", "most")
+        if metric == "cosine":
+            rows, asked = knn._unit(rows), knn._unit(asked)
+        n = len(rows)
+        pivots = rows[np.unique(np.linspace(0, n - 1, min(n, MAX_CELLS, int(2 * np.sqrt(n)) + 1)).astype(int))]
+        cell, along = _nearest_pivots(rows, pivots)
+        order = np.lexsort((along, cell))
+        rows, cell, along = rows[order], cell[order], along[order]
+        ids, tags = ids.take(pa.array(order)), tags.take(pa.array(order))
+        used, starts = np.unique(cell, return_index=True)
+        ends, pivots = np.append(starts[1:], n), pivots[used]
+        least, most = along[starts], along[ends - 1]
+
+        best = knn.Nearest(ids, rows, asked, k, metric, limits.to_numpy(zero_copy_only=False))
+        home = _nearest_pivots(asked, pivots)[0]
+        by_home = np.argsort(home, kind="stable")
+        for group in np.split(by_home, np.flatnonzero(np.diff(home[by_home])) + 1):
+            for i in range(0, len(group), GROUP):
+                _visit(best, group[i : i + GROUP], pivots, least, most, along, starts, ends)
         if counter is not None:
-            counter.add(compared)
-        if not out:
-            return knn.HITS_ARROW.empty_table()
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), knn.HITS_ARROW)], schema=knn.HITS_ARROW)
+            counter.add(best.compared)
+        return best.table(names, ids, tags)
 
     return run
 
 
+def _visit(best: knn.Nearest, group: np.ndarray, pivots, least, most, along, starts, ends) -> None:
+    """The cells that can hold hits of some queries, those with the least bounds first.
+
+    Once all queries have ``k`` hits, some cells are looked at together, and compared as one where most queries need most of them.
+    """
+    away = distances(best.asked[group], pivots)
+    bounds = np.maximum(np.maximum(away - most, least - away), 0)
+    order = np.lexsort((away.mean(axis=0), bounds.mean(axis=0)))
+    sizes = np.cumsum((ends - starts)[order])
+    i = 0
+    while i < len(order):
+        # distances were rounded
+        reach = np.sqrt(best.worst[group] + 4 * 10.0**-knn.DISTANCE_DIGITS) * (1 + MARGIN) + MARGIN
+        until = i + 1
+        if np.isfinite(reach).all():
+            until = max(until, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + knn.CELL_BLOCK, side="right")))
+        cells, i = order[i:until], until
+        need = bounds[:, cells] <= reach[:, None]
+        parts = []
+        for c, own in zip(cells.tolist(), need.T):
+            inside, d, r = along[starts[c] : ends[c]], away[own, c], reach[own]
+            lo, hi = (np.searchsorted(inside, (d - r).min()), np.searchsorted(inside, (d + r).max(), side="right")) if len(d) else (0, 0)
+            parts.append(np.arange(starts[c] + lo, starts[c] + hi))
+        any_cell = need.any(axis=1)
+        pairs = sum(n * len(p) for n, p in zip(need.sum(axis=0).tolist(), parts))
+        if len(parts) == 1 or 2 * pairs > any_cell.sum() * sum(map(len, parts)):
+            best.compare(group[any_cell], np.concatenate(parts))
+        else:
+            for own, part in zip(need.T, parts):
+                best.compare(group[own], part)
+
+
 def _scope(tag: str) -> Column:
     return F.coalesce(F.concat(F.lit("tag:"), F.col(tag)), F.lit("all"))
 
@@ -163,6 +172,15 @@ def _numbers(n: str) -> Column:
     return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
 
+def _with_slots(df: DataFrame, name: str, spots: DataFrame | None) -> DataFrame:
+    """Rows of a scope with their slot; those near one pivot are in one slot, or dealt over as many as they fill."""
+    if spots is None:
+        return df.withColumn("slot", F.lit(0))
+    known = df.join(spots, ["scope", "spot"], "left")
+    slot = F.coalesce(F.col("first") + _dealt(name, F.col("span")), _dealt(name, F.col("slots")))
+    return known.withColumn("slot", slot.cast("int")).drop("first", "span", "spot")
+
+
 def nearest(
     queries: DataFrame,
     vectors: DataFrame,
@@ -170,7 +188,7 @@ def nearest(
     *,
     metric: str = "l2",
     max_pivots: int = MAX_PIVOTS,
-    cell_bytes: int = CELL_BYTES,
+    cell_bytes: int = knn.CELL_BYTES,
     query_block: int = QUERY_BLOCK,
     counter=None,
 ) -> DataFrame:
@@ -179,57 +197,70 @@ def nearest(
     ``counter``, an accumulator, sums up the vectors that were compared with queries.
     """
     spark = queries.sparkSession
-    known = vectors.select("_id", "ticker", F.col("embedding").cast("array<double>").alias("embedding")).filter(sound("embedding"))
-    asked = queries.select("query_id", "ticker", F.col("embedding").cast("array<double>").alias("embedding")).filter(sound("embedding"))
-    total = known.count()
-    width = known.select(F.size("embedding").alias("w")).first()
+    known = checkpointed(vectors.select("_id", "ticker", "embedding").filter(sound("embedding")))
+    asked = checkpointed(queries.select("query_id", _scope("ticker").alias("scope"), "embedding").filter(sound("embedding")))
+    asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])  # queries may be the vectors themselves
+    width, total = known.agg(F.max(F.size("embedding")), F.count(F.lit(1))).first()
     if width is None:
         return _none(queries)
-    pivots = min(max_pivots, int(np.ceil(np.sqrt(total))), max(PIVOT_BYTES // (8 * width.w), 1))
-    sample = known.orderBy(F.xxhash64("_id"), "_id").limit(pivots).select("embedding").toArrow()
-    books = knn._matrix(sample["embedding"])
-    shared = spark.sparkContext.broadcast(knn._unit(books) if metric == "cosine" else books)
-
-    assigned = checkpointed(known.mapInArrow(_assign(shared, metric), ASSIGNED))
     scopes = F.explode(F.array_distinct(F.array(F.lit("all"), _scope("ticker")))).alias("scope")
-    unit = F.col("embedding")
-    if metric == "cosine":
-        length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-        unit = F.when(length > 0, F.transform("embedding", lambda x: x / length)).otherwise(F.col("embedding"))
-    asked = checkpointed(asked.select("query_id", _scope("ticker").alias("scope"), unit.alias("embedding")))
     # only scopes that are asked for
-    asked_scopes = asked.groupBy("scope").agg(F.ceil(F.count("*") / query_block).cast("int").alias("blocks"))
-    placed = assigned.select("_id", "ticker", "embedding", "pivot", "away", scopes).join(asked_scopes.select("scope"), "scope", "left_semi")
-    cells = placed.groupBy("scope", "pivot").agg(F.min("away").alias("least"), F.max("away").alias("most"), F.count("*").alias("n"))
-    cells = checkpointed(cells)
-    listed = cells.join(asked_scopes, "scope").withColumn("block", _numbers("blocks")).drop("blocks")
-    blocked = asked.join(asked_scopes, "scope").withColumn("block", _dealt("query_id", F.col("blocks"))).drop("blocks")
-
-    slots = F.ceil(F.col("n") * (8 * width.w) / cell_bytes).cast("int")
-    sized = cells.select("scope", "pivot", slots.alias("slots"))
-    limits = asked.select("query_id", F.lit(float("inf")).alias("most")).distinct()
-    found, skip = None, 0.0
-    for wanted in (*(float(g * k) for g in GROWTH), float("inf")):
-        # a query without k hits yet has no bound
-        now = blocked.join(limits, "query_id")
-        chosen = listed.groupBy("scope", "block").cogroup(now.groupBy("scope", "block"))
-        visits = checkpointed(chosen.applyInArrow(_choose(shared, k, skip, wanted), VISITS))
-        met = visits.groupBy("scope", "pivot").agg(F.ceil(F.count("*") / query_block).cast("int").alias("blocks")).join(sized, ["scope", "pivot"])
-        met = checkpointed(met)
-        left = placed.join(met, ["scope", "pivot"]).withColumn("slot", _dealt("_id", F.col("slots"))).withColumn("block", _numbers("blocks"))
-        right = visits.join(met, ["scope", "pivot"]).withColumn("block", _dealt("query_id", F.col("blocks"))).withColumn("slot", _numbers("slots"))
-        keys = ["scope", "pivot", "slot", "block"]
-        hits = left.drop("slots", "blocks").groupBy(*keys).cogroup(right.drop("slots", "blocks").groupBy(*keys)).applyInArrow(_search(k, metric, counter), knn.HITS)
-        hits = hits if found is None else hits.unionByName(found)
-        # a query has few cells in a round, or few hits in each
-        found = checkpointed(knn._ranked(hits, k, "query_id").drop("rank"))
-        reached = found.groupBy("query_id").agg(F.max("distance").alias("worst"), F.count("*").alias("hits"))
-        worst = F.sqrt(F.col("worst") * (2.0 if metric == "cosine" else 1.0) + 2 * 10.0**-knn.DISTANCE_DIGITS)
-        most = F.when(F.col("hits") >= k, worst).otherwise(F.lit(float("inf")))
-        limits = asked.select("query_id").distinct().join(reached.select("query_id", most.alias("most")), "query_id", "left")
-        limits = limits.withColumn("most", F.coalesce("most", F.lit(float("inf"))))
-        skip = wanted
-    return knn._ranked(found, k, "query_id")
+    parts = knn.cuts(F.col("n_asked"), query_block, 8 * width + 16 * k, cell_bytes)
+    sizes = known.select(scopes).groupBy("scope").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.join(asked.groupBy("scope").agg(F.count(F.lit(1)).alias("n_asked")), "scope")
+    slots = knn.cuts(F.col("n"), SLOT_VECTORS, 8 * width, cell_bytes)
+    sizes = broadcast_if_small(sizes.select("scope", "n", slots.alias("slots"), parts.alias("parts")), knn.BROADCAST_TAGS)
+    several = (sizes.agg(F.max("slots")).first()[0] or 1) > 1
+
+    spots = None
+    held, wanted = known, asked
+    if several:
+        n_pivots = min(max_pivots, int(np.ceil(np.sqrt(total))), max(PIVOT_BYTES // (8 * width), 1))
+        sample = known.orderBy(F.xxhash64("_id"), "_id").limit(n_pivots).select("embedding").toArrow()
+        books = knn._matrix(sample["embedding"])
+        shared = spark.sparkContext.broadcast(_in_order(knn._unit(books) if metric == "cosine" else books))
+        held, wanted = _placed(known, shared, metric), _placed(asked, shared, metric)
+        spots = _spots(held.select("spot", scopes).join(sizes.filter("slots > 1"), "scope"))
+    held = _with_slots(held.select("*", scopes).join(sizes, "scope"), "_id", spots).drop("n")
+    wanted = _with_slots(wanted.join(sizes, "scope"), "query_id", spots).drop("n")
+    if several:
+        wanted = checkpointed(wanted)
+    search, keys = _search(k, metric, counter), ["scope", "slot", "block"]
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, knn.HITS)
+
+    left = held.select("_id", "ticker", "embedding", "scope", "slot")
+    right = wanted.withColumn("most", F.lit(float("inf")))
+    homes = broadcast_if_small(
+        wanted.groupBy("scope", "slot").agg(knn.cuts(F.count(F.lit(1)), query_block, 8 * width + 16 * k, cell_bytes).alias("blocks")), BROADCAST_SPOTS
+    )
+    right = right.drop("slots", "parts").join(homes, ["scope", "slot"]).withColumn("block", _dealt("query_id", F.col("blocks"))).drop("blocks")
+    left = left.join(homes, ["scope", "slot"]).withColumn("block", _numbers("blocks")).drop("blocks")
+    found = checkpointed(knn._ranked(met(left, right), k, "query_id"))
+    if not several:
+        return found
+
+    # a query without k hits yet has no bound
+    reached = found.groupBy("query_id").agg(F.max("distance").alias("worst"), F.count(F.lit(1)).alias("hits"))
+    most = F.when(F.col("hits") >= k, F.col("worst") * (2.0 if metric == "cosine" else 1.0)).otherwise(F.lit(float("inf")))
+    limited = wanted.filter("slots > 1").join(reached.select("query_id", most.alias("most")), "query_id", "left")
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.col("slots") - 1), lambda s: s != F.col("home")))
+    right = limited.withColumnRenamed("slot", "home").withColumn("slot", others).withColumn("block", _dealt("query_id", F.col("parts")))
+    right = right.withColumn("most", F.coalesce("most", F.lit(float("inf")))).drop("slots", "parts", "home")
+    left = held.filter("slots > 1").select("_id", "ticker", "embedding", "scope", "slot", _numbers("parts").alias("block"))
+    return checkpointed(knn._ranked(met(left, right).unionByName(found.drop("rank")), k, "query_id"))
+
+
+def _spots(rows: DataFrame) -> DataFrame:
+    """``scope, spot, first, span``: the slots that the vectors near a pivot fill, from counts in the order of pivots."""
+    counts = rows.groupBy("scope", "spot", "n", "slots").agg(F.count(F.lit(1)).alias("own"))
+    # one row for each pivot of a scope
+    until = F.sum("own").over(W.partitionBy("scope").orderBy("spot"))
+    last = F.floor((until - 1) * F.col("slots") / F.col("n"))
+    first = F.floor((until - F.col("own")) * F.col("slots") / F.col("n"))
+    spots = counts.select("scope", "spot", first.cast("int").alias("first"), (last - first + 1).cast("int").alias("span"))
+    return broadcast_if_small(spots, BROADCAST_SPOTS)
 
 
 def _none(queries: DataFrame) -> DataFrame:

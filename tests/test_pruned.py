@@ -57,3 +57,22 @@ def test_large_query_sets_take_the_bounds(spark, monkeypatch):
     monkeypatch.setattr(pruned, "nearest", lambda *a, **b: called.append(1) or queries)
     knn.nearest(queries, vectors, 3, max_queries=5)
     assert called
+
+
+def test_rows_moved_do_not_grow_with_the_pairs(spark, monkeypatch):
+    """On vectors without structure, bounds leave out nothing; queries times pivots were written as rows."""
+    rng = np.random.default_rng(1)
+    data = [(f"v{i}", None, r.tolist()) for i, r in enumerate(rng.normal(size=(400, 32)))]
+    vectors = spark.createDataFrame(data, "_id string, ticker string, embedding array<double>")
+    queries = vectors.withColumnRenamed("_id", "query_id")
+    written, write = [], pruned.checkpointed
+
+    def counted(df):
+        out = write(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(pruned, "checkpointed", counted)
+    got = pruned.nearest(queries, vectors, 3, cell_bytes=128 * 256)  # four slots
+    assert rows(got) == rows(knn.nearest(queries, vectors, 3, strategy="broadcast"))
+    assert max(written) <= 3 * 400
