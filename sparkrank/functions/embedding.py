@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +18,11 @@ from sparkrank.functions.columns import as_column
 
 Encode = Callable[[list[str]], np.ndarray]
 CALL = 4096  # texts an encoder is given at once, whatever a batch holds
+CALL_BYTES = 4 << 20  # of these texts; one text over it goes alone
+
+
+def _calls(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    return splitting.slices(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), CALL, CALL_BYTES)
 
 
 @dataclass(frozen=True)
@@ -82,13 +88,17 @@ class Embedder:
         """``array<float>`` per text."""
         load = self.load
 
-        @F.pandas_udf("array<float>")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<float>")
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = load()
             for batch in batches:
-                texts = batch.fillna("").tolist()
-                rows = [r for at in range(0, len(texts), CALL) for r in np.asarray(model(texts[at : at + CALL]), dtype=np.float32)]
-                yield pd.Series(rows, index=batch.index)
+                texts = pc.fill_null(batch, "")  # stay Arrow but for those of a call
+                made = [pa.array([], pa.list_(pa.float32()))]
+                for start, end in _calls(texts):
+                    rows = np.asarray(model(texts[start:end].to_pylist()), dtype=np.float32)
+                    at = pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32())
+                    made.append(pa.ListArray.from_arrays(at, pa.array(rows.ravel())))
+                yield pa.concat_arrays(made)
 
         return encode(as_column(text))
 
@@ -100,29 +110,23 @@ class Embedder:
         """
         load = self.load
 
-        @F.pandas_udf("array<double>")
-        def compare(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<double>")
+        def compare(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = load()
             for batch in batches:
-                sizes = np.array([0 if s is None else len(s) for s in batch])
-                flat = [text or "" for s in batch if s is not None for text in s]
-                if not flat:
-                    yield pd.Series([[] for _ in batch], index=batch.index)
-                    continue
+                ends = np.cumsum(pc.list_value_length(batch).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+                starts = np.concatenate([[0], ends]).astype(np.int64)
+                flat = pc.fill_null(batch.flatten(), "")  # stay Arrow but for those of a call
                 sims = np.full(len(flat), np.nan)
-                for at in range(1, len(flat), CALL):
+                for at, end in _calls(flat[1:]):
                     # with the text before, so that parts of a batch meet
-                    rows = np.asarray(model(flat[at - 1 : at + CALL]), dtype=np.float32).astype(np.float64)
+                    rows = np.asarray(model(flat[at : end + 1].to_pylist()), dtype=np.float32).astype(np.float64)
                     lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
                     scale = lengths[1:] * lengths[:-1]
                     product = np.einsum("ij,ij->i", rows[1:], rows[:-1])
-                    np.divide(product, scale, out=sims[at : at + CALL], where=scale > 0)
-                values = [None if np.isnan(v) else float(v) for v in sims]
-                ends = np.cumsum(sizes)
-                out = []
-                for start, end in zip(ends - sizes, ends):
-                    out.append([None, *values[start + 1 : end]] if end > start else [])
-                yield pd.Series(out, index=batch.index)
+                    np.divide(product, scale, out=sims[at + 1 : end + 1], where=scale > 0)
+                sims[starts[:-1][starts[:-1] < ends]] = np.nan  # the first of a document has none before it
+                yield pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(sims, mask=np.isnan(sims)))
 
         return compare(as_column(sentences))
 
@@ -145,7 +149,7 @@ class HashedBow(Embedder):
             def bucket(word: bytes) -> int:
                 found = known.get(word)
                 if found is None:
-                    if len(known) > 500_000:  # bounds the memory of a task
+                    if len(known) > 1 << 18:  # bounds the memory of a task
                         known.clear()
                     digest = hashlib.md5(word).hexdigest()
                     found = known[word] = int(digest[:digits], 16) % dim

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ from sparkrank.functions.vectors import dot, norm
 # not decide where a segment ends.
 SIMILARITY_DIGITS = 9
 
+PACK_ROWS = 1_024  # texts, and words of them, that are Python objects at once; one text over it goes alone
+PACK_WORDS = 1 << 17
+
 
 def similarity_to_previous(vectors: Column) -> Column:
     """Cosine similarity of every vector to the one before it; null for the first."""
@@ -61,6 +66,16 @@ def join_segments(sentences: Column, similarity: Column, threshold: float) -> Co
     return F.when(F.size(sentences) > 0, joined).otherwise(F.array().cast("array<string>"))
 
 
+def slices(sizes: np.ndarray, rows: int, total: int) -> Iterator[tuple[int, int]]:
+    """Starts and ends of runs of at most ``rows`` items that sum up to at most ``total``, or are one item."""
+    sums, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = sums[start - 1] if start else 0
+        end = max(start + 1, min(start + rows, int(np.searchsorted(sums, before + total, side="right"))))
+        yield start, end
+        start = end
+
+
 def pack_words(words: Iterable[str], size: int, overlap: int) -> list[str]:
     """Words in order as pieces of at most ``size`` characters, in one pass."""
     pieces: list[str] = []
@@ -90,10 +105,16 @@ def size_pieces(text: Column | str, size: int = 300, overlap: int = 30) -> Colum
         raise ValueError("overlap must be at least 0 and below size")
     text = as_column(text)
 
-    @F.pandas_udf("array<string>")
-    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.string())
         for batch in batches:
-            yield pd.Series([None if w is None else pack_words(w, size, overlap) for w in batch], index=batch.index, dtype=object)
+            made = [pa.array([], kind)]
+            counts = pc.list_value_length(batch).fill_null(0).to_numpy(zero_copy_only=False)
+            for start, end in slices(counts, PACK_ROWS, PACK_WORDS):
+                some = batch[start:end].to_pylist()
+                made.append(pa.array([None if w is None else pack_words(w, size, overlap) for w in some], kind))
+            yield pa.concat_arrays(made)
 
     # only words of texts over the limit go to Python
     cut = packed(F.when(F.length(text) > size, words(text)))

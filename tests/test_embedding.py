@@ -91,3 +91,23 @@ def test_parts_of_a_batch_meet(spark):
         assert len(r.a) == len(r.b) and np.allclose(np.array(r.a[1:], float), np.array(r.b[1:], float))
     texts = spark.createDataFrame([(t,) for t in sentences], "t string").coalesce(1)
     assert texts.select(arrow.vector("t").alias("a"), native.vector("t").alias("b")).filter("a != b").count() == 0
+
+
+def test_long_texts_go_to_an_encoder_in_parts(spark):
+    """A call of an encoder was bounded in texts only, so that its memory grew with their length."""
+    def load():
+        return lambda texts: np.array([[sum(map(len, texts)), len(texts), t.count("a")] for t in texts], np.float32).reshape(len(texts), 3)
+
+    texts = spark.range(0, 30, 1, 1).select("id", F.expr("repeat('ab ', 170000 + int(id))").alias("text"))
+    made = texts.select("id", Embedder(load, 3).vector("text").alias("v")).collect()
+    assert all(r.v[0] <= 4 << 20 and r.v[2] == 170_000 + r.id for r in made)
+    joined = texts.agg(F.sort_array(F.collect_list("text")).alias("all"))
+    sims = joined.select(HashedBow(8).similarity_to_previous("all").alias("s")).first().s
+    assert len(sims) == 30 and sims[0] is None and all(abs(s - 1) < 1e-6 for s in sims[1:])
+
+
+def test_slices():
+    from sparkrank.functions.splitting import slices
+
+    assert list(slices(np.array([1, 1, 9, 0, 2, 2]), 3, 4)) == [(0, 2), (2, 3), (3, 6)]
+    assert list(slices(np.array([], int), 3, 4)) == []
