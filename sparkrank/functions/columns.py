@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,3 +20,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def as_column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
+
+
+def slices(sizes: np.ndarray, rows: int, total: int) -> Iterator[tuple[int, int]]:
+    """Starts and ends of runs of at most ``rows`` items that sum up to at most ``total``, or are one item."""
+    sums, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = sums[start - 1] if start else 0
+        end = max(start + 1, min(start + rows, int(np.searchsorted(sums, before + total, side="right"))))
+        yield start, end
+        start = end

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections import deque
+import re
 from collections.abc import Iterable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -11,16 +12,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkrank.functions.columns import as_column, let
-from sparkrank.functions.text import words
+from sparkrank.functions.columns import as_column, let, slices
 from sparkrank.functions.vectors import dot, norm
 
 # Similarities are compared after rounding, so that the last bit of a sum does
 # not decide where a segment ends.
 SIMILARITY_DIGITS = 9
 
-PACK_ROWS = 1_024  # texts, and words of them, that are Python objects at once; one text over it goes alone
-PACK_WORDS = 1 << 17
+PACK_ROWS = 4_096  # texts, and bytes of them, that are Python objects at once; one text over it goes alone
+PACK_BYTES = 1 << 20
+WORD = re.compile(r"[^ \t\n\x0b\f\r]+")  # what white space of ASCII separates
 
 
 def similarity_to_previous(vectors: Column) -> Column:
@@ -66,31 +67,33 @@ def join_segments(sentences: Column, similarity: Column, threshold: float) -> Co
     return F.when(F.size(sentences) > 0, joined).otherwise(F.array().cast("array<string>"))
 
 
-def slices(sizes: np.ndarray, rows: int, total: int) -> Iterator[tuple[int, int]]:
-    """Starts and ends of runs of at most ``rows`` items that sum up to at most ``total``, or are one item."""
-    sums, start = np.cumsum(sizes), 0
-    while start < len(sizes):
-        before = sums[start - 1] if start else 0
-        end = max(start + 1, min(start + rows, int(np.searchsorted(sums, before + total, side="right"))))
-        yield start, end
-        start = end
+def is_below(similarity: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether similarities are below the threshold after rounding; half a digit goes away from zero, as in Spark."""
+    unit = Decimal(1).scaleb(-SIMILARITY_DIGITS)
+    below = similarity < threshold
+    for i in np.flatnonzero(np.abs(similarity - threshold) < 2 * float(unit)):
+        below[i] = float(Decimal(repr(float(similarity[i]))).quantize(unit, ROUND_HALF_UP)) < threshold
+    return below
 
 
 def pack_words(words: Iterable[str], size: int, overlap: int) -> list[str]:
-    """Words in order as pieces of at most ``size`` characters, in one pass."""
+    """Words in order as pieces of at most ``size`` characters; the steps are pieces, not words."""
+    words = list(words)
+    if not words:
+        return []
+    if max(map(len, words)) > size:
+        words = [word[i : i + size] for word in words for i in range(0, len(word), size)]
+    text, start = " ".join(words), 0
     pieces: list[str] = []
-    piece: deque[str] = deque()
-    length = -1  # of the words joined by spaces
-    for word in words:
-        for part in (word[i : i + size] for i in range(0, len(word), size)):
-            if piece and length + 1 + len(part) > size:
-                pieces.append(" ".join(piece))
-                length -= 1 + len(piece.popleft())
-                while piece and length > min(overlap, size - 1 - len(part)):
-                    length -= 1 + len(piece.popleft())
-            piece.append(part)
-            length += 1 + len(part)
-    return [*pieces, " ".join(piece)] if piece else pieces
+    while len(text) - start > size:
+        end = text.rfind(" ", start, start + size + 1)  # no word is longer than a piece
+        pieces.append(text[start:end])
+        after = text.find(" ", end + 1)
+        room = size - 1 - ((after if after >= 0 else len(text)) - end - 1)
+        # the first word never stays, of the others those at the end that fit
+        again = text.find(" ", max(start, end - 1 - min(overlap, room)), end)
+        start = (again if again >= 0 else end) + 1
+    return [*pieces, text[start:]]
 
 
 def size_pieces(text: Column | str, size: int = 300, overlap: int = 30) -> Column:
@@ -110,12 +113,12 @@ def size_pieces(text: Column | str, size: int = 300, overlap: int = 30) -> Colum
         kind = pa.list_(pa.string())
         for batch in batches:
             made = [pa.array([], kind)]
-            counts = pc.list_value_length(batch).fill_null(0).to_numpy(zero_copy_only=False)
-            for start, end in slices(counts, PACK_ROWS, PACK_WORDS):
+            sizes = pc.binary_length(batch).fill_null(0).to_numpy(zero_copy_only=False)
+            for start, end in slices(sizes, PACK_ROWS, PACK_BYTES):
                 some = batch[start:end].to_pylist()
-                made.append(pa.array([None if w is None else pack_words(w, size, overlap) for w in some], kind))
+                made.append(pa.array([None if t is None else pack_words(WORD.findall(t), size, overlap) for t in some], kind))
             yield pa.concat_arrays(made)
 
-    # only words of texts over the limit go to Python
-    cut = packed(F.when(F.length(text) > size, words(text)))
+    # only texts over the limit go to Python
+    cut = packed(F.when(F.length(text) > size, text))
     return F.when(F.length(text) <= size, F.filter(F.array(text), lambda t: F.trim(t) != "")).otherwise(cut)

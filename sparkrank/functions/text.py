@@ -1,15 +1,21 @@
 """Text normalisation as Column expressions.
 
-Everything here is a chain of built-in string functions: it needs no shuffle,
-never leaves the JVM and works on the whole text.
+Everything here needs no shuffle and works on the whole text. All but the cleaning of
+whole documents are chains of built-in string functions; that one is an Arrow function, as a
+text takes a dozen passes, which bytes are several times faster in.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sparkrank.functions.columns import as_column
+from sparkrank.functions.columns import as_column, slices
 
 # The replacements of the cleaning contract.
 PERCENT = " percent "
@@ -17,6 +23,9 @@ DOLLAR = " dollar "
 NUMBER = " number "
 MARKS = ("`", "'")
 
+CLEAN_ROWS = 4_096  # texts, and bytes of them, that are Python objects at once; one text over it goes alone
+CLEAN_BYTES = 4 << 20
+
 
 def _swap(c: Column, needle: str, new: str) -> Column:
     return F.replace(c, F.lit(needle), F.lit(new))
@@ -63,6 +72,26 @@ def replace_word(text: Column, old: Column, new: Column, substring: bool = False
     return F.replace(inner, F.lit("  "), space)
 
 
+# upper case goes to lower case and some signs to a space; all but letters, digits, "(). " and signs replaced later leave
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ+*#", b"abcdefghijklmnopqrstuvwxyz   ")
+_GONE = bytes(sorted(set(range(256)) - set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789(). +*#%$")))
+# dashes, commas and bullets vanish, also between a mark and its s; nothing else has to be done for them
+_OWNERS = [re.compile(f"{mark}[—,•]*s") for mark in MARKS]
+_SPACES, _NUMBER, _ASIDE = re.compile(rb"  +"), re.compile(rb"\((\d+(?:\.\d+)?)\)"), re.compile(rb"\(([^)0-9]+)\)")
+
+
+def cleaned(text: str) -> str:
+    """One text normalised, see :func:`clean_corpus_text`."""
+    for owner in _OWNERS:
+        text = owner.sub("", text)
+    if not text.isascii():  # the letters beyond ASCII whose lower case is in it
+        text = text.replace("\u0130", "i").replace("\u212a", "k")
+    c = text.encode("utf-8", "replace").translate(_LOWER, _GONE)
+    c = c.replace(b"%", PERCENT.encode()).replace(b"$", DOLLAR.encode())
+    c = _ASIDE.sub(rb"\1", _NUMBER.sub(rb"-\1", _SPACES.sub(b" ", c)))
+    return c.strip(b" ").decode()
+
+
 def clean_corpus_text(title: Column, body: Column, newline_as_space: bool = False) -> Column:
     """Searchable text of a document: title and body, normalised.
 
@@ -72,18 +101,17 @@ def clean_corpus_text(title: Column, body: Column, newline_as_space: bool = Fals
     c = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(body, F.lit("")))
     if newline_as_space:
         c = F.regexp_replace(c, r"\s", " ")
-    # dashes, commas and bullets vanish, also between a mark and its s; nothing
-    # else has to be done for them, as the kept characters below leave them out
-    for mark in MARKS:
-        c = F.regexp_replace(c, f"{mark}[—,•]*s", "")
-    c = F.lower(F.regexp_replace(c, "[+*#]", " "))
-    c = _swap(_swap(c, "%", PERCENT), "$", DOLLAR)
-    # several times faster than replacing everything else by nothing
-    c = F.array_join(F.regexp_extract_all(c, F.lit("[a-z0-9(). ]+"), F.lit(0)), "")
-    c = F.regexp_replace(c, " {2,}", " ")
-    c = F.regexp_replace(c, r"\((\d+(?:\.\d+)?)\)", "-$1")
-    c = F.regexp_replace(c, r"\(([^)0-9]+)\)", "$1")
-    return F.trim(c)
+
+    @F.arrow_udf("string")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            made = [pa.array([], pa.string())]
+            sizes = pc.binary_length(batch).fill_null(0).to_numpy(zero_copy_only=False)
+            for start, end in slices(sizes, CLEAN_ROWS, CLEAN_BYTES):
+                made.append(pa.array([cleaned(t) for t in batch[start:end].to_pylist()], pa.string()))
+            yield pa.concat_arrays(made)
+
+    return clean(c)
 
 
 def clean_query_text(text: Column | str) -> Column:

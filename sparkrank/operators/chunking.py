@@ -66,13 +66,9 @@ def semantic_segments(
     all the cleaning behind the flag, down to the scan.
     """
     flag = F.col(only) if only else F.lit(True)
-    cut = docs.withColumn("__sentences", F.when(flag, split("text")))
-    compared = cut.withColumn("__similarity", embedder.similarity_to_previous("__sentences"))
-    joined = splitting.join_segments(F.col("__sentences"), F.col("__similarity"), threshold)
+    joined = embedder.segments(F.when(flag, split("text")), threshold)
     rest = F.array("text") if whole else F.lit(None)
-    segments = compared.withColumn("__segments", F.when(flag, joined).otherwise(rest)).drop(
-        "__sentences", "__similarity", "text"
-    )
+    segments = docs.withColumn("__segments", F.when(flag, joined).otherwise(rest)).drop("text")
     return _explode(segments, "__segments", "segment_no", "segment")
 
 

@@ -150,3 +150,38 @@ def test_chunk_corpus(spark, monkeypatch):
 def test_repeated_ids(spark):
     rows = spark.createDataFrame([("a",), ("b",), ("a",)], "_id string")
     assert [tuple(r) for r in chunking.repeated_ids(rows).collect()] == [("a", 2)]
+
+
+def _packed_by_words(words, size, overlap):
+    """The rule stated word by word."""
+    pieces, piece = [], []
+    measure = lambda own: sum(map(len, own)) + len(own) - 1
+    for part in (w[i : i + size] for w in words for i in range(0, len(w), size)):
+        if piece and measure([*piece, part]) > size:
+            pieces.append(" ".join(piece))
+            piece = piece[1:]
+            while piece and measure(piece) > min(overlap, size - 1 - len(part)):
+                piece = piece[1:]
+        piece.append(part)
+    return [*pieces, " ".join(piece)] if piece else pieces
+
+
+def test_packing_goes_by_pieces():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(3000):
+        size = rng.randint(1, 40)
+        overlap = rng.randrange(size)
+        words = ["é" * (rng.choice([1, 1, 2, 5, size, size + 1, 2 * size + 3])) for _ in range(rng.randint(0, 30))]
+        assert splitting.pack_words(words, size, overlap) == _packed_by_words(words, size, overlap)
+    # words are walked once, not once for each step
+    seen = iter(["ab"] * 50_000)
+    assert len(splitting.pack_words(seen, 300, 30)) > 400
+
+
+def test_sentences_are_split_once(spark):
+    """The plan of the chunks split all sentences twice, and counted the words of a text three times."""
+    docs = spark.createDataFrame([("A1", "t", "x y. z", 0)], "_id string, title string, text string, pos long")
+    plan = chunk_corpus(docs, HashedBow())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("([.!?])") == 1

@@ -111,3 +111,22 @@ def test_slices():
 
     assert list(slices(np.array([1, 1, 9, 0, 2, 2]), 3, 4)) == [(0, 2), (2, 3), (3, 6)]
     assert list(slices(np.array([], int), 3, 4)) == []
+
+
+def test_segments_are_joined_where_sentences_are_compared(spark):
+    rng = np.random.default_rng(5)
+    words = lambda: " ".join(rng.choice(list("abcdef"), rng.integers(0, 5)))
+    rows = [(i, None if i % 9 == 0 else [None if rng.random() < 0.1 else words() for _ in range(i % 8)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, s array<string>")
+    arrow, native = HashedBow(8), HashedBow(8, native=True)
+    for threshold in (0.55, 0.5, 0.707106781, 1.0):
+        both = df.select(arrow.segments("s", threshold).alias("a"), native.segments("s", threshold).alias("b"), "s")
+        assert both.filter("s is not null and not (a <=> b)").count() == 0
+
+
+def test_words_of_arrow_texts():
+    import pyarrow as pa
+
+    texts = [*TEXTS, " a\tb\x0bc\x0cd\re\n", "a\x1cb\x85c d", "é x "]
+    encode = HashedBow(16).load()
+    assert (encode(pa.array(["x", *texts])[1:]) == encode(texts)).all() and encode([]).shape == (0, 16)

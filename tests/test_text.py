@@ -124,3 +124,12 @@ def test_judgments(spark):
 
 def test_version_keeps_its_digits(spark):
     assert values(spark, T.bump_version, ["v1.25", "v1.04", "7", "v12.50"]) == ["v1.35", "v1.14", "v7.1", "v12.6"]
+
+
+def test_corpus_cleaning_is_one_function(spark):
+    """A text took seven passes of regular expressions in the plan."""
+    rows = ["İs Kg 5% of $3 `—,s'•s", "(1.5) (١) (a(b)c)  d\x00\n\te", "''s '`s ÉCU +*#x", "", None]
+    out = values(spark, lambda c: T.clean_corpus_text(F.lit(""), c), rows)
+    assert out == ["is kg 5 percent of dollar 3", "-1.5 () a(bc) de", "cu x", "", ""]
+    df = spark.createDataFrame([("x",)], "c string").select(T.clean_corpus_text(F.lit(""), F.col("c")).alias("c"))
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
