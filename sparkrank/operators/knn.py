@@ -46,6 +46,8 @@ QUERY_BLOCK = 256  # queries per matrix product
 VECTOR_BLOCK = 8_192  # vectors per matrix product
 CELL_BLOCK = 2_048  # the same where hits are arrays, so that a block stays in the cache
 PICKS = 1 << 16  # pairs whose differences are held at once
+MANY = 2  # picks of a query, as multiples of k, from which on the best k of the block are looked for first
+FINE = 128  # one pick of so many pairs in single precision has a block compared in double precision
 
 HITS = "query_id string, corpus_id string, ticker string, distance double"
 HITS_ARROW = pa.schema(
@@ -147,37 +149,82 @@ class Nearest:
         self.k, self.scale = k, 0.5 if metric == "cosine" else 1.0
         self.rows, self.asked = (_unit(rows), _unit(asked)) if metric == "cosine" else (rows, asked)
         self.squares, self.asked_squares = (np.einsum("ij,ij->i", r, r) for r in (self.rows, self.asked))
-        self.doubled = np.concatenate([-2.0 * self.asked, np.ones((len(asked), 1))], axis=1)
         # ties go to the smaller id
         self.order = pc.rank(ids, sort_keys="ascending", tiebreaker="first").to_numpy(zero_copy_only=False)
         self.distance = np.full((len(asked), k), np.inf)
         self.place = np.full((len(asked), k), -1)
         self.worst = np.full(len(asked), np.inf) if limits is None else limits.copy()
         self.compared = 0
+        self.single = self._in_single()
+        self.near, self.wanted = np.empty(QUERY_BLOCK * CELL_BLOCK, np.float32), np.empty(QUERY_BLOCK * CELL_BLOCK, bool)
+
+    def _in_single(self) -> tuple[np.ndarray, ...] | None:
+        """Both sides in single precision, around the middle of the vectors and at most one long; the squares of the
+        queries, what single precision may be wrong by, and the scale of squares. None if numbers are too large or small."""
+        longest = np.sqrt(max(self.squares.max(initial=0), self.asked_squares.max(initial=0)))
+        if not 1e-100 < longest < 1e100:
+            return None
+        middle = self.rows.mean(axis=0)
+        scale = 0.5 ** np.ceil(np.log2(2 * longest))  # a power of two changes no digits
+        rows, asked = (self.rows - middle) * scale, (self.asked - middle) * scale
+        squares, own = (np.einsum("ij,ij->i", r, r) for r in (rows, asked))
+        most = squares.max(initial=0)
+        wrong = (rows.shape[1] + 8) * 2.0**-24 * (2 * np.sqrt(own * most) + most) + 1e-35
+        # with a column for the squares, one product gives distances but for the square of the query
+        rows = np.concatenate([rows, squares[:, None]], axis=1, dtype=np.float32)
+        asked = np.concatenate([-2.0 * asked, np.ones((len(asked), 1))], axis=1, dtype=np.float32)
+        return rows, asked, own, wrong, scale * scale
+
+    def again(self, queries: np.ndarray) -> None:
+        """Drops the hits of some queries, which are compared anew; what they told of the distance of hits stays."""
+        self.distance[queries], self.place[queries] = np.inf, -1
 
     def compare(self, queries: np.ndarray, places: np.ndarray) -> None:
         """Some vectors against some queries."""
         self.compared += len(queries) * len(places)
         for j in range(0, len(places), CELL_BLOCK):
             part = places[j : j + CELL_BLOCK]
-            # with a column for the squares, one product gives distances but for the square of the query
-            rows = np.concatenate([self.rows[part], self.squares[part, None]], axis=1)
+            rows = None if self.single is None else self.single[0][part]
             for i in range(0, len(queries), QUERY_BLOCK):
                 self._block(queries[i : i + QUERY_BLOCK], part, rows)
 
-    def _block(self, queries: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
-        # one matrix product finds who can still be among the best ...
-        near = self.doubled[queries] @ rows.T
-        own = self.asked_squares[queries]
-        limit = self.worst[queries] - own
-        unknown = np.flatnonzero(np.isinf(limit))
-        if len(unknown) and len(places) > self.k:
-            limit[unknown] = np.partition(near[unknown], self.k - 1, axis=1)[:, self.k - 1]
-        limit += 4e-9 + 1e-12 * (own + rows[:, -1].max())
-        at, found = np.divmod(np.flatnonzero(near <= limit[:, None]), len(places))
+    def _block(self, queries: np.ndarray, places: np.ndarray, rows: np.ndarray | None) -> None:
+        # one matrix product in single precision finds who can still be among the best ...
+        found = None if rows is None else self._coarse(queries, rows)
+        if found is None or len(found) * FINE > len(queries) * len(places):  # many lie too close together for it
+            found = self._fine(queries, places)
+        at, found = np.divmod(found, len(places))
         for i in range(0, len(at), PICKS):
             self._merge(queries[at[i : i + PICKS]], places[found[i : i + PICKS]])
 
+    def _coarse(self, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        _, asked, own, wrong, scale = self.single
+        own, n = own[queries], len(queries) * len(rows)
+        near = np.matmul(asked[queries], rows.T, out=self.near[:n].reshape(len(queries), -1))
+        limit = self.worst[queries] * scale - own
+        slack = 2 * wrong[queries] + 2.0**-22 * own + scale * self._slack(queries)
+        return self._picks(near, limit, slack, self.wanted[:n].reshape(near.shape))
+
+    def _fine(self, queries: np.ndarray, places: np.ndarray) -> np.ndarray:
+        near = (-2.0 * self.asked[queries]) @ self.rows[places].T + self.squares[places]
+        return self._picks(near, self.worst[queries] - self.asked_squares[queries], self._slack(queries))
+
+    def _picks(self, near: np.ndarray, limit: np.ndarray, slack: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
+        """Places in ``near`` of what is within the limits, or within those of the best ``k`` here where these leave out little."""
+
+        def within(limit: np.ndarray) -> np.ndarray:
+            # rounded up to the precision of the product
+            most = np.nextafter((limit + slack).astype(near.dtype), near.dtype.type(np.inf))
+            return np.less_equal(near, most[:, None], out=wanted)
+
+        found = within(limit)
+        if near.shape[1] > self.k and np.count_nonzero(found) > MANY * self.k * len(near):
+            found = within(np.minimum(limit, np.partition(near, self.k - 1, axis=1)[:, self.k - 1]))
+        return np.flatnonzero(found)
+
+    def _slack(self, queries: np.ndarray) -> np.ndarray:
+        return 4e-9 + 1e-12 * (self.asked_squares[queries] + self.squares.max())
+
     def _merge(self, queries: np.ndarray, places: np.ndarray) -> None:
         # ... and those get their distance from the differences themselves
         gap = self.rows[places] - self.asked[queries]
@@ -210,9 +257,22 @@ def sound_rows(rows: pa.Table, *columns: str) -> tuple[np.ndarray, list[pa.Array
     return matrix[at], [rows[c].combine_chunks().take(pa.array(at)) for c in columns]
 
 
-def cuts(n: Column, rows: int, row_bytes: int, most_bytes: int = CELL_BYTES) -> Column:
-    """Parts of ``n`` rows: of ``rows`` rows each, but no more than ``CUTS`` unless the limit in bytes asks for them."""
-    return F.greatest(F.least(F.ceil(n / F.lit(rows)), F.lit(CUTS)), F.ceil(n * F.lit(row_bytes / most_bytes)), F.lit(1)).cast("int")
+def fewest_copies(rows: np.ndarray, ids: pa.Array, k: int) -> np.ndarray:
+    """Places of the vectors that can be among the best ``k``: of equal ones, those with the smallest ids."""
+    data = pa.py_buffer(np.ascontiguousarray(rows, np.float64))
+    equal = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * rows.shape[1]), len(rows), [None, data])
+    codes = equal.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    if np.bincount(codes, minlength=1).max() <= k:
+        return np.arange(len(rows))
+    order = pc.rank(ids, sort_keys="ascending", tiebreaker="first").to_numpy(zero_copy_only=False)
+    sort = np.lexsort((order, codes))
+    nth = np.arange(len(rows)) - np.searchsorted(codes[sort], codes[sort])
+    return np.sort(sort[nth < k])
+
+
+def cuts(n: Column, rows: int, row_bytes: int, most_bytes: int = CELL_BYTES, most: int | None = None) -> Column:
+    """Parts of ``n`` rows: of ``rows`` rows each, but no more than ``most`` (``CUTS``) unless the limit in bytes asks for them."""
+    return F.greatest(F.least(F.ceil(n / F.lit(rows)), F.lit(CUTS if most is None else most)), F.ceil(n * F.lit(row_bytes / most_bytes)), F.lit(1)).cast("int")
 
 
 def _scan(vectors: DataFrame, queries: pa.Table, k: int, metric: str) -> DataFrame:
@@ -308,6 +368,10 @@ def _cells(
             return HITS_ARROW.empty_table()
         rows, (ids, tags) = sound_rows(vector_rows, "_id", "ticker")
         asked, (names,) = sound_rows(query_rows, "query_id")
+        if not len(rows) or not len(asked):
+            return HITS_ARROW.empty_table()
+        few = fewest_copies(rows, ids, k)
+        rows, ids, tags = rows[few], ids.take(pa.array(few)), tags.take(pa.array(few))
         best = Nearest(ids, rows, asked, k, metric)
         best.compare(np.arange(len(asked)), np.arange(len(rows)))
         return best.table(names, ids, tags)

@@ -12,8 +12,9 @@ vectors that can still be hits are compared. Rows are those of the full search:
 distances go to the smaller id.
 
 Visits are never rows: queries and slots meet in groups of bounded bytes, and a row is copied once for each group it is in, of which
-there are at most ``knn.CUTS`` a side until groups reach their limit in bytes. So where bounds leave out nothing, time
-grows with the pairs, but rows moved with the rows. Nothing but the pivots is broadcast.
+there are at most ``PARTS`` of queries and ``knn.CUTS`` of vectors until groups reach their limit in bytes. So where bounds leave out nothing, time
+grows with the pairs, but rows moved with the rows; such queries are compared with a whole slot in large products of
+matrices, which take a few times less than cells one by one. Nothing but the pivots is broadcast.
 """
 
 from __future__ import annotations
@@ -34,9 +35,15 @@ from sparkrank.sources.collection import checkpointed
 MAX_PIVOTS = 2_048
 PIVOT_BYTES = 16 << 20
 MAX_CELLS = 128  # of a slot
-SLOT_VECTORS = 50_000
-QUERY_BLOCK = 25_000  # queries that meet a slot in a task
+SLOT_VECTORS = 10_000
+QUERY_BLOCK = 10_000  # queries that meet a slot in a task
+PARTS = 8  # of the queries that meet a slot, while they are below their limit in bytes: more groups than cores, so that these are evenly busy
+FEW_GROUPS = 256
+SPREAD = 4  # partitions for each of few groups
+HOME_QUERIES = 2_500  # queries that meet their own slot in a task, of which there are fewer tasks
 GROUP = 1_024  # queries near one pivot that go through the cells together
+FIRST_CELLS = 4  # looked at before bounds of queries without a limit are judged
+PLAIN = 0.4  # the share of the vectors from which on a query is compared with all of them
 BROADCAST_SPOTS = 1_000_000
 MARGIN = 1e-9
 
@@ -50,14 +57,15 @@ def sound(vector: Column | str) -> Column:
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distances of all rows of ``a`` to all rows of ``b``, from the differences themselves."""
     out = np.empty((len(a), len(b)))
-    for i in range(0, len(a), 64):
-        part = a[i : i + 64, None, :] - b[None, :, :] if a.shape[1] * len(b) * 64 < 1 << 22 else None
-        if part is not None:
-            out[i : i + 64] = np.sqrt(np.einsum("ijk,ijk->ij", part, part))
-        else:
-            for j in range(i, min(i + 64, len(a))):
-                gap = b - a[j]
-                out[j] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+    step = (1 << 17) // max(a.shape[1] * len(b), 1)  # differences that stay in the cache
+    if step:
+        for i in range(0, len(a), step):
+            part = a[i : i + step, None, :] - b[None, :, :]
+            out[i : i + step] = np.sqrt(np.einsum("ijk,ijk->ij", part, part))
+    else:
+        for j in range(len(a)):
+            gap = b - a[j]
+            out[j] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
     return out
 
 
@@ -103,6 +111,8 @@ def _search(k: int, metric: str, counter) -> Callable[[pa.Table, pa.Table], pa.T
             return knn.HITS_ARROW.empty_table()
         rows, (ids, tags) = knn.sound_rows(vectors, "_id", "ticker")
         asked, (names, limits) = knn.sound_rows(queries, "query_id", "most")
+        few = knn.fewest_copies(rows, ids, k)  # or each query near a group of copies would pick them all
+        rows, ids, tags = rows[few], ids.take(pa.array(few)), tags.take(pa.array(few))
         if metric == "cosine":
             rows, asked = knn._unit(rows), knn._unit(asked)
         n = len(rows)
@@ -118,9 +128,13 @@ def _search(k: int, metric: str, counter) -> Callable[[pa.Table, pa.Table], pa.T
         best = knn.Nearest(ids, rows, asked, k, metric, limits.to_numpy(zero_copy_only=False))
         home = _nearest_pivots(asked, pivots)[0]
         by_home = np.argsort(home, kind="stable")
+        plain = []
         for group in np.split(by_home, np.flatnonzero(np.diff(home[by_home])) + 1):
             for i in range(0, len(group), GROUP):
-                _visit(best, group[i : i + GROUP], pivots, least, most, along, starts, ends)
+                plain.append(_visit(best, group[i : i + GROUP], pivots, least, most, along, starts, ends))
+        plain = np.concatenate(plain)
+        best.again(plain)
+        best.compare(plain, np.arange(len(rows)))
         if counter is not None:
             counter.add(best.compared)
         return best.table(names, ids, tags)
@@ -128,21 +142,28 @@ def _search(k: int, metric: str, counter) -> Callable[[pa.Table, pa.Table], pa.T
     return run
 
 
-def _visit(best: knn.Nearest, group: np.ndarray, pivots, least, most, along, starts, ends) -> None:
+def _visit(best: knn.Nearest, group: np.ndarray, pivots, least, most, along, starts, ends) -> np.ndarray:
     """The cells that can hold hits of some queries, those with the least bounds first.
 
     Once all queries have ``k`` hits, some cells are looked at together, and compared as one where most queries need most of them.
+    Returns the queries whose bounds then leave out too little: all vectors in large blocks take less time than cells one by one.
     """
     away = distances(best.asked[group], pivots)
     bounds = np.maximum(np.maximum(away - most, least - away), 0)
     order = np.lexsort((away.mean(axis=0), bounds.mean(axis=0)))
     sizes = np.cumsum((ends - starts)[order])
-    i = 0
-    while i < len(order):
+    i, plain = 0, None
+    while i < len(order) and len(group):
         # distances were rounded
         reach = np.sqrt(best.worst[group] + 4 * 10.0**-knn.DISTANCE_DIGITS) * (1 + MARGIN) + MARGIN
         until = i + 1
         if np.isfinite(reach).all():
+            if plain is None and (i == 0 or i >= FIRST_CELLS):
+                needed = (bounds <= reach[:, None]) @ (ends - starts)
+                plain = group[needed > PLAIN * sizes[-1]]
+                kept = needed <= PLAIN * sizes[-1]
+                group, away, bounds, reach = group[kept], away[kept], bounds[kept], reach[kept]
+                continue
             until = max(until, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + knn.CELL_BLOCK, side="right")))
         cells, i = order[i:until], until
         need = bounds[:, cells] <= reach[:, None]
@@ -158,6 +179,7 @@ def _visit(best: knn.Nearest, group: np.ndarray, pivots, least, most, along, sta
         else:
             for own, part in zip(need.T, parts):
                 best.compare(group[own], part)
+    return group[:0] if plain is None else plain
 
 
 def _scope(tag: str) -> Column:
@@ -205,12 +227,13 @@ def nearest(
         return _none(queries)
     scopes = F.explode(F.array_distinct(F.array(F.lit("all"), _scope("ticker")))).alias("scope")
     # only scopes that are asked for
-    parts = knn.cuts(F.col("n_asked"), query_block, 8 * width + 16 * k, cell_bytes)
+    parts = knn.cuts(F.col("n_asked"), query_block, 8 * width + 16 * k, cell_bytes, PARTS)
     sizes = known.select(scopes).groupBy("scope").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.join(asked.groupBy("scope").agg(F.count(F.lit(1)).alias("n_asked")), "scope")
     slots = knn.cuts(F.col("n"), SLOT_VECTORS, 8 * width, cell_bytes)
     sizes = broadcast_if_small(sizes.select("scope", "n", slots.alias("slots"), parts.alias("parts")), knn.BROADCAST_TAGS)
-    several = (sizes.agg(F.max("slots")).first()[0] or 1) > 1
+    most_slots, groups = sizes.agg(F.max("slots"), F.sum(F.col("slots") * F.col("parts"))).first()
+    several, groups = (most_slots or 1) > 1, groups or 1
 
     spots = None
     held, wanted = known, asked
@@ -228,12 +251,14 @@ def nearest(
     search, keys = _search(k, metric, counter), ["scope", "slot", "block"]
 
     def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        if groups <= FEW_GROUPS:  # small in bytes, but not in time: most go to a task of their own
+            left, right = (side.repartition(SPREAD * int(groups), *keys) for side in (left, right))
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, knn.HITS)
 
     left = held.select("_id", "ticker", "embedding", "scope", "slot")
     right = wanted.withColumn("most", F.lit(float("inf")))
     homes = broadcast_if_small(
-        wanted.groupBy("scope", "slot").agg(knn.cuts(F.count(F.lit(1)), query_block, 8 * width + 16 * k, cell_bytes).alias("blocks")), BROADCAST_SPOTS
+        wanted.groupBy("scope", "slot").agg(knn.cuts(F.count(F.lit(1)), min(query_block, HOME_QUERIES), 8 * width + 16 * k, cell_bytes, PARTS).alias("blocks")), BROADCAST_SPOTS
     )
     right = right.drop("slots", "parts").join(homes, ["scope", "slot"]).withColumn("block", _dealt("query_id", F.col("blocks"))).drop("blocks")
     left = left.join(homes, ["scope", "slot"]).withColumn("block", _numbers("blocks")).drop("blocks")

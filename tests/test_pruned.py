@@ -1,6 +1,7 @@
 """Search by bounds against the full search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkrank.operators import knn, pruned
@@ -76,3 +77,68 @@ def test_rows_moved_do_not_grow_with_the_pairs(spark, monkeypatch):
     got = pruned.nearest(queries, vectors, 3, cell_bytes=128 * 256)  # four slots
     assert rows(got) == rows(knn.nearest(queries, vectors, 3, strategy="broadcast"))
     assert max(written) <= 3 * 400
+
+
+def _found(queries, vectors, k, metric="l2", limits=None):
+    best = knn.Nearest(pa.array([f"v{i:05}" for i in range(len(vectors))]), vectors, queries, k, metric, limits)
+    best.compare(np.arange(len(queries)), np.arange(len(vectors)))
+    return best
+
+
+def _full(queries, vectors, k):
+    rows = [np.round(((vectors - q) ** 2).sum(axis=1), knn.DISTANCE_DIGITS) for q in queries]
+    return [sorted(zip(d.tolist(), range(len(d))))[:k] for d in rows]
+
+
+@pytest.mark.parametrize(("offset", "spread"), [(0.0, 1.0), (1e4, 1e-3), (0.0, 1e-7), (1e120, 0.0), (0.0, 1e30)])
+def test_single_precision_loses_no_hit(offset, spread):
+    """Vectors too close together, too long or too short for it, and copies, next to ordinary ones."""
+    rng = np.random.default_rng(3)
+    vectors = offset + spread * rng.normal(size=(3_000, 6))
+    vectors[100:140] = vectors[7]
+    vectors[:5] = rng.normal(size=(5, 6))
+    queries = np.concatenate([vectors[5:200:4], offset + spread * rng.normal(size=(40, 6))])
+    if not offset > 1e100:
+        best = _found(queries, vectors, 9)
+        assert [list(zip(d, p)) for d, p in zip(best.distance.tolist(), best.place.tolist())] == _full(queries, vectors, 9)
+    else:  # squares of differences are exact only where nothing overflows
+        assert _found(queries, vectors, 9).single is None
+
+
+def test_only_hits_are_picked(monkeypatch):
+    """Limits of the first blocks let through most of a block, whose differences were all taken."""
+    rng = np.random.default_rng(4)
+    vectors, queries = rng.normal(size=(6_000, 32)), rng.normal(size=(300, 32))
+    picked, merge = [], knn.Nearest._merge
+    monkeypatch.setattr(knn.Nearest, "_merge", lambda self, q, p: picked.append(len(q)) or merge(self, q, p))
+    best = _found(queries, vectors, 5, limits=np.full(300, 60.0))
+    assert [list(zip(d, p)) for d, p in zip(best.distance.tolist(), best.place.tolist())] == _full(queries, vectors, 5)
+    assert sum(picked) <= 300 * 5 * 2 * 3  # twice k a block
+
+
+def test_copies_that_cannot_be_hits_are_left_out():
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(50, 4))
+    rows[10:] = rows[3]
+    ids = pa.array([f"v{(7 * i) % 50:02}" for i in range(50)])
+    few = knn.fewest_copies(rows, ids, 3)
+    copies = sorted([3, *range(10, 50)], key=lambda i: (7 * i) % 50)[:3]
+    assert few.tolist() == sorted({0, 1, 2, 4, 5, 6, 7, 8, 9, *copies})
+
+
+def test_queries_whose_bounds_leave_out_nothing_meet_few_blocks(spark, monkeypatch):
+    """On vectors without structure, cells one by one took most of the time, and few groups shared a task."""
+    rng = np.random.default_rng(6)
+    data = [(f"v{i}", None, r.tolist()) for i, r in enumerate(rng.normal(size=(600, 32)))]
+    vectors = spark.createDataFrame(data, "_id string, ticker string, embedding array<double>")
+    queries = vectors.withColumnRenamed("_id", "query_id")
+    table, limits = vectors.toArrow(), np.full(600, 60.0)
+    asked = queries.toArrow().append_column("most", pa.array(limits))
+    calls, compare = [], knn.Nearest.compare
+    monkeypatch.setattr(knn.Nearest, "compare", lambda self, q, p: calls.append(len(q)) or compare(self, q, p))
+    hits = pruned._search(3, "l2", None)(table, asked)
+    assert calls == [600]
+    got = pruned.nearest(queries, vectors, 3, cell_bytes=256 * 200)
+    full = knn.nearest(queries, vectors, 3, strategy="broadcast")
+    assert rows(got) == rows(full)
+    assert sorted(zip(hits["query_id"].to_pylist(), hits["corpus_id"].to_pylist())) == sorted((r[0], r[2]) for r in rows(full))
